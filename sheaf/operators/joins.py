@@ -1,0 +1,25 @@
+"""Join helper: broadcast a side only after its size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count a side may have to be broadcast. Rows of the sides used
+# here are a key and one or two numbers (well under 100 bytes), so the cap
+# keeps a broadcast under ~100 MB.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join ``big`` with a side expected to be small.
+
+    The small side's row count is measured first (it is an aggregate, so the
+    count is cheap); it is broadcast only under ``max_rows``. Otherwise the
+    join is left to the planner: a shuffle join, where AQE splits a skewed
+    key of the big side.
+    """
+    n = small.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return big.join(F.broadcast(small), on=on, how=how)
+    return big.join(small, on=on, how=how)
