@@ -1,0 +1,210 @@
+"""Edge cases on small literal documents."""
+
+import json
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from sheaf.functions import variant as fv
+from sheaf.operators import explode as ex
+from sheaf.operators import pivot as pv
+from sheaf.operators import quality as q
+from sheaf.operators import summaries as sm
+from sheaf.sources import documents as docs
+
+
+def bronze_of(spark, path, **kw):
+    return docs.to_bronze(docs.read_documents(spark, path), "test", id_mode="content", **kw)
+
+
+def doc(entries=None, meta=None, did="d1", ts="2024-01-01T00:00:00Z", **extra):
+    d = {"resourceType": "Bundle", "id": did, "timestamp": ts}
+    if meta is not None:
+        d["Meta"] = meta
+    if entries is not None:
+        d["entry"] = entries
+    d.update(extra)
+    return json.dumps(d)
+
+
+def e(url, **res):
+    out = {"resource": res}
+    if url is not None:
+        out["fullUrl"] = url
+    return out
+
+
+@pytest.mark.parametrize("entry", ["missing", None, 3, []])
+def test_no_entries_give_no_long_rows_but_header_rows(spark, docs_dir, entry):
+    d = json.loads(doc(meta={"A": 1}))
+    if entry != "missing":
+        d["entry"] = entry
+    b = bronze_of(spark, docs_dir({"a.json": json.dumps(d)}))
+    assert ex.explode_fields(b).count() == 0
+    assert ex.explode_header(b).count() == 1
+    # keep_empty keeps the document
+    assert ex.explode_entries(b, keep_empty=True).count() == 1
+
+
+def test_entry_object_explodes_members(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries={"x": e("u1", resourceType="T", a=1), "y": e("u2", resourceType="T")})}))
+    assert ex.explode_entries(b).count() == 2
+
+
+def test_entry_without_resource_or_empty_resource(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[{"fullUrl": "u1"}, {"fullUrl": "u2", "resource": {}}])}))
+    assert ex.explode_fields(b).count() == 0
+
+
+def test_resource_without_type_is_kept_but_not_discovered(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e("u1", a=1), e("u2", resourceType="T", b=2)])}))
+    f = ex.explode_fields(b)
+    assert f.filter(F.col("resourceType").isNull()).count() == 1
+    assert sm.discover_types(sm.resource_types(f)) == ["T"]
+
+
+def test_type_with_only_discriminator_has_key_columns_only(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e("u1", resourceType="Empty")])}))
+    f = ex.explode_fields(b)
+    keys = sm.type_key_dict(sm.resource_type_keys(f))
+    assert keys == {"Empty": []}
+    w = pv.pivot_resource(f, "Empty", keys["Empty"])
+    assert w.columns == ["bundleUUID", "bundle_timestamp", "Empty_uuid"]
+    assert w.count() == 1
+
+
+def test_missing_url_dropped_by_expectation(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e(None, resourceType="T", a=1), e("u2", resourceType="T", a=2)])}))
+    f = ex.explode_fields(b)
+    assert f.count() == 4
+    w = pv.pivot_resource(f, "T", ["a"])
+    kept, obs = q.expect(w, drop={"valid_url": "T_uuid IS NOT NULL"})
+    assert kept.count() == 1
+    assert obs.get["valid_url_failed"] == 1
+
+
+def test_json_null_is_variant_null_absent_key_is_sql_null(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e("u1", resourceType="T", a=None), e("u2", resourceType="T", b=1)])}))
+    w = pv.pivot_resource(ex.explode_fields(b), "T", ["a", "b"])
+    rows = {r["T_uuid"]: r for r in w.select("T_uuid", fv.is_json_null("a").alias("a_null"), F.col("a").isNull().alias("a_sql_null")).collect()}
+    assert rows["u1"]["a_null"] is True and rows["u1"]["a_sql_null"] is False
+    assert rows["u2"]["a_sql_null"] is True
+
+
+def test_meta_array_gives_null_keys_and_lowercase_meta_nothing(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(meta=[1, 2]), "b.json": json.dumps({"id": "x", "meta": {"A": 1}})}))
+    h = ex.explode_header(b)
+    assert h.count() == 2
+    assert h.filter(F.col("key").isNull()).count() == 2
+    assert sm.discover_header_keys(sm.header_keys(h)) == []
+
+
+def test_duplicate_url_merges_first_entry_wins(spark, docs_dir):
+    entries = [e("u1", resourceType="T", a=1), e("u1", resourceType="T", a=2, b=3)]
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=entries)}))
+    f = ex.explode_fields(b)
+    w = pv.typed(pv.pivot_resource(f, "T", ["a", "b"]), {"a": "int", "b": "int"})
+    assert [(r.a, r.b) for r in w.collect()] == [(1, 3)]
+    proj = pv.pivot_resource(None, "T", ["a", "b"], method="project", entries=ex.explode_entries(b))
+    assert proj.count() == 2
+    assert sm.duplicate_keys(f).filter(F.col("key") == "a").first().cnt == 2
+    builtin = pv.typed(pv.pivot_resource(f, "T", ["a", "b"], method="pivot"), {"a": "int", "b": "int"})
+    assert [(r.a, r.b) for r in builtin.collect()] == [(1, 3)]
+
+
+def test_clashing_key_names_are_renamed(spark, docs_dir):
+    res = {"resourceType": "T", "Name": "x", "name": "y", "T_uuid": "z", "a.b": 1, "q'x": 2}
+    b = bronze_of(spark, docs_dir({"a.json": json.dumps({"id": "d", "entry": [{"fullUrl": "u", "resource": res}]})}))
+    f = ex.explode_fields(b)
+    keys = sm.type_key_dict(sm.resource_type_keys(f))["T"]
+    names = pv.column_names(keys, ["bundleUUID", "bundle_timestamp", "T_uuid"])
+    assert len({n.lower() for n in names.values()}) == len(keys)
+    for method in ("regroup", "project"):
+        w = pv.pivot_resource(f, "T", keys, method=method, entries=ex.explode_entries(b))
+        row = pv.comparable(w).first().asDict()
+        assert row[names["Name"]] == '"x"' and row[names["name"]] == '"y"'
+        assert row[names["T_uuid"]] == '"z"' and row["T_uuid"] == "u"
+        assert row[names["a.b"]] == "1" and row[names["q'x"]] == "2"
+
+
+def test_malformed_json_fails_or_quarantines(spark, docs_dir):
+    path = docs_dir({"a.json": doc(entries=[]), "b.json": '{"id": 1,', "c.json": '{"a": 1, "a": 2}'})
+    with pytest.raises(Exception):
+        bronze_of(spark, path).collect()
+    good, rejects = docs.split_rejects(bronze_of(spark, path, on_error="quarantine"))
+    assert good.count() == 1
+    assert sorted(r.inputFileName for r in rejects.collect()) == ["b.json", "c.json"]
+
+
+def test_unreadable_timestamp_strict_or_lenient(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e("u", resourceType="T", a=1)], ts="not a time")}))
+    with pytest.raises(PySparkException):
+        ex.explode_fields(b).collect()
+    rows = ex.explode_fields(b, lenient_time=True).collect()
+    assert rows and rows[0].bundle_timestamp is None
+
+
+def test_content_id_is_stable_and_random_id_is_not(spark, docs_dir):
+    path = docs_dir({"a.json": doc(entries=[])})
+    a = bronze_of(spark, path).first().bundleUUID
+    assert a == bronze_of(spark, path).first().bundleUUID
+    r = docs.to_bronze(docs.read_documents(spark, path), "t", id_mode="random").first().bundleUUID
+    assert len(r) == 36
+
+
+def test_skip_rows_and_line_mode(spark, docs_dir):
+    path = docs_dir({"a.txt": "header\n" + doc(did="x", entries=[]) + "\n" + doc(did="y", entries=[])})
+    lines = docs.read_documents(spark, path, whole_text=False, skip_rows=1)
+    ids = sorted(r.i for r in lines.select(fv.field_text("value", "$.id").alias("i")).collect())
+    assert ids == ["x", "y"]
+    whole = docs.read_documents(spark, path, whole_text=True, skip_rows=1)
+    assert whole.first().value.startswith("{")
+
+
+def test_parse_size():
+    assert docs.parse_size("10g") == 10 * 1024**3
+    assert docs.parse_size("20G") == 20 * 1024**3
+    assert docs.parse_size(1234) == 1234
+    with pytest.raises(ValueError):
+        docs.parse_size("ten")
+
+
+def test_source_path():
+    assert docs.source_path("/v") == "/v/"
+    assert docs.source_path("/v/", "sub/") == "/v/sub/"
+
+
+def test_require_type_and_find_and_sample(spark, docs_dir):
+    path = docs_dir({"a.json": doc(did="a", entries=[]), "b.json": json.dumps({"resourceType": "bundle", "id": "b"}), "c.json": json.dumps({"resourceType": "Other", "id": "c"})})
+    b = bronze_of(spark, path)
+    assert docs.require_type(b).count() == 2
+    assert docs.find_document(b, "c").count() == 1
+    assert [r.bundle_id for r in docs.sample_documents(b, 2).collect()] == ["a", "b"]
+
+
+def test_fail_expectation_raises(spark, docs_dir):
+    b = bronze_of(spark, docs_dir({"a.json": doc(entries=[e(None, resourceType="T", a=1)])}))
+    w = pv.pivot_resource(ex.explode_fields(b), "T", ["a"])
+    out, _ = q.expect(w, fail={"valid_url": "T_uuid IS NOT NULL"})
+    with pytest.raises(Exception, match="valid_url"):
+        out.collect()
+
+
+def test_row_filter_null_keeps_nothing(spark):
+    df = spark.createDataFrame([(1,), (None,)], "a INT")
+    assert q.row_filter(df, "a > 0").count() == 1
+
+
+def test_name_difference(spark):
+    seen = spark.createDataFrame([("A",), ("B",)], "resourceType STRING")
+    out = {(r.name, r.side) for r in sm.name_difference(spark, ["B", "C"], seen).collect()}
+    assert out == {("C", "missing"), ("A", "unexpected")}
+    out = {(r.name, r.side) for r in sm.name_difference(spark, ["B", "C"], seen, ignore=("A",)).collect()}
+    assert out == {("C", "missing")}
+
+
+def test_json_path_quoting():
+    assert fv.json_path("a", "b") == "$.a.b"
+    assert fv.json_path("a.b") == '$["a.b"]'
+    assert fv.json_path('q"x') == "$['q\"x']"
