@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 SEQ = "_seq"
 DEL = "_del"
 TRUNC = "_trunc"
@@ -128,27 +130,67 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
     """Type 2. A row opens a new version when it follows nothing, a delete, or
     a row with different tracked values; otherwise it updates the open
     version in place. A version ends at the sequence of the row after its
-    last row (the next version's start, or a delete)."""
+    last row (the next version's start, or a delete).
+
+    Skew-safe: rows are range-partitioned on (keys, sequence), so a key with
+    a third of all rows is split over many partitions. Windows then run per
+    (key, partition) *segment*, never over a whole key. What a segment needs
+    from its neighbours (the previous row's tracked values, the running
+    version count, the next row's sequence) comes from a per-segment summary
+    whose windows hold at most one row per partition for any key.
+    """
+    spark = src.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seq_value = F.col(seq[0]) if len(seq) == 1 else F.struct(*[F.col(c) for c in seq])
-    w = Window.partitionBy(*keys).orderBy(SEQ)
-    tj = _tracked_json(tracked)
-    rows = src.select(
-        *keys, *value_cols, SEQ, DEL,
-        seq_value.alias("_seq_value"),
-        tj.alias("_tj"),
-    )
-    prev_tj = F.lag("_tj").over(w)
-    prev_del = F.lag(DEL).over(w)
-    start = ~F.col(DEL) & (prev_tj.isNull() | prev_del | (F.col("_tj") != prev_tj))
+    rows = src.select(*keys, *value_cols, SEQ, DEL, seq_value.alias("_seq_value"), _tracked_json(tracked).alias("_tj"))
+    rows = rows.repartitionByRange(n, *[F.col(k) for k in keys], F.col(SEQ)).withColumn("_pid", F.spark_partition_id())
+
+    # Within a segment.
+    w = Window.partitionBy(*keys, "_pid").orderBy(SEQ)
+    prev_tj, prev_del = F.lag("_tj").over(w), F.lag(DEL).over(w)
+    local_start = ~F.col(DEL) & (prev_del | (F.col("_tj") != prev_tj))  # NULL on a segment's first row
     rows = rows.select(
         "*",
-        start.alias("_start"),
-        F.lead("_seq_value").over(w).alias("_next_seq"),
+        prev_tj.isNull().alias("_first"),
+        F.lead("_seq_value").over(w).alias("_next_local"),
+        F.lead(F.lit(1)).over(w).isNull().alias("_last_row"),
+        F.coalesce(local_start, F.lit(False)).alias("_local_start"),
     )
-    rows = rows.select(
-        "*", F.sum(F.col("_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_version")
+    rows = rows.withColumn(
+        "_local_cum", F.sum(F.col("_local_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    )
+    # Both the segment summary and the join below read these rows; a reliable
+    # checkpoint (in the shared checkpoint folder) fixes the partition ids so
+    # the two reads agree, and cuts the lineage for recovery.
+    rows = reliable_checkpoint(rows)
+
+    # One row per segment, then carries across the segments of a key.
+    seg = rows.groupBy(*keys, "_pid").agg(
+        F.min_by("_tj", F.col(SEQ)).alias("_first_tj"),
+        F.min_by(DEL, F.col(SEQ)).alias("_first_del"),
+        F.min_by("_seq_value", F.col(SEQ)).alias("_first_seq_value"),
+        F.max_by("_tj", F.col(SEQ)).alias("_last_tj"),
+        F.max_by(DEL, F.col(SEQ)).alias("_last_del"),
+        F.sum(F.col("_local_start").cast("long")).alias("_n_local"),
+    )
+    ws = Window.partitionBy(*keys).orderBy("_pid")
+    before_tj, before_del = F.lag("_last_tj").over(ws), F.lag("_last_del").over(ws)
+    first_start = ~F.col("_first_del") & (before_tj.isNull() | before_del | (F.col("_first_tj") != before_tj))
+    seg = seg.select(
+        *keys, "_pid",
+        first_start.alias("_first_start"),
+        F.lead("_first_seq_value").over(ws).alias("_next_segment_seq"),
+        (F.col("_n_local") + first_start.cast("long")).alias("_n_starts"),
     )
-    versions = rows.filter(~F.col(DEL)).groupBy(*keys, "_version").agg(
+    seg = seg.withColumn(
+        "_carry", F.coalesce(F.sum("_n_starts").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    ).drop("_n_starts")
+
+    joined = rows.join(seg, [*keys, "_pid"])
+    version = F.col("_carry") + F.col("_first_start").cast("long") + F.col("_local_cum")
+    next_seq = F.when(F.col("_last_row"), F.col("_next_segment_seq")).otherwise(F.col("_next_local"))
+    live = joined.filter(~F.col(DEL)).select(*keys, *value_cols, SEQ, "_seq_value", version.alias("_version"), next_seq.alias("_next_seq"))
+    versions = live.groupBy(*keys, "_version").agg(
         F.min_by("_seq_value", F.col(SEQ)).alias(START_AT),
         F.max_by(F.struct(*[F.col(c) for c in value_cols], F.col("_next_seq")), F.col(SEQ)).alias("_last"),
     )

@@ -15,6 +15,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
+from ..session import reliable_checkpoint
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 
@@ -117,7 +118,7 @@ def build_silver(
         types = sorted(type_keys)
     src = fields
     if out_path is not None:
-        src = fields.filter(F.col("resourceType").isin(types)).checkpoint(eager=True)
+        src = reliable_checkpoint(fields.filter(F.col("resourceType").isin(types)))
     out = {t: resource_silver(src, t, type_keys.get(t, []), method=method, entries=entries) for t in types}
     if out_path is None:
         return out

@@ -169,6 +169,7 @@ SQL: dict[str, str] = {
     "pivot_header_project": HEADER_WIDE,
     "header_silver": HEADER_WIDE,
     "pivot_duplicates": f"{ODOCS} SELECT {LI_WIDE} FROM r JOIN orders ON o_orderkey = l_orderkey WHERE rn = 1",
+    "pivot_duplicates_long": f"{ODOCS} SELECT {LI_WIDE} FROM r JOIN orders ON o_orderkey = l_orderkey WHERE rn = 1",
     "wide_difference": f"{ODOCS} SELECT {LI_WIDE}, 'b_only' AS side FROM r JOIN orders ON o_orderkey = l_orderkey WHERE rn > 1",
     "text_pivot_user": """
         SELECT 'urn:turn:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR) AS user_uuid, turn AS n, text

@@ -139,10 +139,10 @@ def text_resource_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_wide(spark, sf_dir, method) -> DataFrame:
     b = _bronze(spark, sf_dir)
-    if method == "project":
-        w = pv.pivot_resource(None, "Order", ORDER_KEYS, method="project", entries=ex.explode_entries(b))
-    else:
+    if method == "pivot":
         w = pv.pivot_resource(ex.explode_fields(b), "Order", ORDER_KEYS, method=method)
+    else:
+        w = pv.pivot_resource(None, "Order", ORDER_KEYS, method=method, entries=ex.explode_entries(b))
     return pv.typed(w, ORDER_TYPES).select("Order_uuid", _doc_time(), *ORDER_KEYS)
 
 
@@ -159,6 +159,7 @@ def pivot_resource_order_builtin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pivot_resource_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # long-table route: regroup of key/value rows, as when only the long table is kept
     w = pv.pivot_resource(_fields(spark, sf_dir), "Customer", CUSTOMER_KEYS)
     return pv.typed(w, CUSTOMER_TYPES).select("Customer_uuid", *CUSTOMER_KEYS)
 
@@ -175,10 +176,10 @@ def pivot_header_project(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lineitem_wide(spark, sf_dir, method) -> DataFrame:
     b = _bronze(spark, sf_dir, "order")
-    if method == "project":
-        w = pv.pivot_resource(None, "LineItem", LINEITEM_KEYS, method="project", entries=ex.explode_entries(b))
-    else:
+    if method == "pivot":
         w = pv.pivot_resource(ex.explode_fields(b, types=["LineItem"]), "LineItem", LINEITEM_KEYS, method=method)
+    else:
+        w = pv.pivot_resource(None, "LineItem", LINEITEM_KEYS, method=method, entries=ex.explode_entries(b))
     return pv.typed(w, LINEITEM_TYPES).select("LineItem_uuid", _doc_time(), *LINEITEM_KEYS)
 
 
@@ -186,6 +187,13 @@ def pivot_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineitem_wide(spark, sf_dir, "regroup")
 
 
+def pivot_duplicates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same merge computed from the long key/value table."""
+    b = _bronze(spark, sf_dir, "order")
+    w = pv.pivot_resource(ex.explode_fields(b, types=["LineItem"]), "LineItem", LINEITEM_KEYS)
+    return pv.typed(w, LINEITEM_TYPES).select("LineItem_uuid", _doc_time(), *LINEITEM_KEYS)
+
+
 def wide_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = _lineitem_wide(spark, sf_dir, "regroup")
     per_entry = _lineitem_wide(spark, sf_dir, "project")

@@ -60,3 +60,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     job: stream checkpoints, landing folders, change logs."""
     base = ensure_checkpoint_dir(spark)
     return f"{base}/sheaf/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df):
+    """Materialise ``df`` in the shared checkpoint folder and cut its lineage
+    (never a local checkpoint: an executor loss must not lose the data)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

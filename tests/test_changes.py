@@ -101,3 +101,44 @@ def test_order_and_split_invariance(spark, rows, seed):
         if k not in latest or s > latest[k][1]:
             latest[k] = (k, s, v, op)
     assert expected == sorted(r for r in latest.values() if r[3] != "d")
+
+
+def _brute_history(rows, track_idx):
+    """rows: (k, seq, v, op). Versions per the type-2 rule, by brute force."""
+    out = []
+    by_key = {}
+    for r in rows:
+        by_key.setdefault(r[0], []).append(r)
+    for k, rs in by_key.items():
+        rs.sort(key=lambda r: r[1])
+        cur = None
+        prev = None
+        for i, r in enumerate(rs):
+            dele = r[3] == "d"
+            if not dele:
+                start = prev is None or prev[3] == "d" or prev[track_idx] != r[track_idx]
+                if start:
+                    if cur is not None and cur[3] is None:
+                        cur[3] = r[1]
+                    cur = [k, r[2], r[1], None]
+                    out.append(cur)
+                else:
+                    cur[1] = r[2]
+            elif cur is not None and cur[3] is None and prev is not None and prev[3] != "d":
+                cur[3] = r[1]
+            prev = r
+    return sorted(tuple(x) for x in out)
+
+
+def test_history_with_a_hot_key_spanning_partitions(spark):
+    """One key holds most rows, so range partitioning splits it over several
+    partitions; the result must equal the brute-force rule."""
+    rng = random.Random(7)
+    rows = [(0, i, rng.choice(["a", "b"]) if i % 7 else "a", "d" if i % 53 == 0 else "u") for i in range(3000)]
+    rows += [(k, i, rng.choice(["a", "b"]), "u") for k in range(1, 6) for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = ch.apply_changes(df, "k", "seq", scd=2, delete_when="op = 'd'", track=["v"], columns=["v"])
+    got = state(out.select("k", "v", ch.START_AT, ch.END_AT))
+    assert got == _brute_history(rows, 2)
+    pids = df.repartitionByRange(8, "k", "seq").select(F.spark_partition_id().alias("p"), "k").filter("k = 0").distinct().count()
+    assert pids > 1
