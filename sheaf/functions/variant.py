@@ -109,3 +109,15 @@ def is_json_null(v: ColumnOrName) -> Column:
 def first_or_null(arr: ColumnOrName) -> Column:
     """First element of an array, NULL for an empty array (never raises)."""
     return F.try_element_at(_col(arr), F.lit(1))
+
+
+def columns_except(df, exclude) -> list[str]:
+    """All column names of ``df`` but those in ``exclude``, in order (the
+    complement projection used for grouping columns)."""
+    drop = set(exclude)
+    return [c for c in df.columns if c not in drop]
+
+
+def split_names(text: str | None) -> list[str]:
+    """Comma-separated names from configuration text -> clean list."""
+    return [t.strip() for t in (text or "").split(",") if t.strip()]

@@ -109,3 +109,45 @@ def explode_json_column(df: DataFrame, text_col: str, keep: list[str], keep_empt
     parsed = df.select(*keep, F.parse_json(F.col(text_col)).alias("_doc"))
     x = _explode(parsed, F.col("_doc"), "x", keep_empty)
     return x.select(*keep, F.col("x.pos").alias("pos"), F.col("x.key").alias("key"), F.col("x.value").alias("value"))
+
+
+# The same long table in Spark SQL, as the reference writes it: a chained
+# LATERAL variant_explode over a (possibly streaming) temporary view.
+_FIELDS_SQL = """
+SELECT fileMetadata, ingestDate, ingestTime, bundleUUID,
+       CAST(resource:id AS STRING) AS bundle_id,
+       CAST(resource:timestamp AS TIMESTAMP) AS bundle_timestamp,
+       CAST(entry.value:fullUrl AS STRING) AS fullUrl,
+       CAST(entry.value:resource.resourceType AS STRING) AS resourceType,
+       entry.pos AS entry_pos,
+       resource_data.pos AS pos, resource_data.key AS key, resource_data.value AS value
+FROM {view},
+     LATERAL variant_explode(resource:entry) AS entry,
+     LATERAL variant_explode(entry.value:resource) AS resource_data
+"""
+
+_HEADER_SQL = """
+SELECT bundleUUID, fileMetadata, ingestDate, ingestTime,
+       CAST(resource:id AS STRING) AS bundle_id,
+       CAST(resource:timestamp AS TIMESTAMP) AS bundle_timestamp,
+       meta_exploded.pos AS pos, meta_exploded.key AS key, meta_exploded.value AS value
+FROM {view}, LATERAL variant_explode(resource:Meta) AS meta_exploded
+"""
+
+
+def _sql_over(bronze: DataFrame, template: str, view: str | None) -> DataFrame:
+    import uuid
+
+    name = view or f"bronze_{uuid.uuid4().hex[:12]}"
+    bronze.createOrReplaceTempView(name)
+    return bronze.sparkSession.sql(template.format(view=name))
+
+
+def explode_fields_sql(bronze: DataFrame, view: str | None = None) -> DataFrame:
+    """:func:`explode_fields` written in SQL over a temporary view of
+    ``bronze``; works on streaming DataFrames (a streaming view)."""
+    return _sql_over(bronze, _FIELDS_SQL, view)
+
+
+def explode_header_sql(bronze: DataFrame, view: str | None = None) -> DataFrame:
+    return _sql_over(bronze, _HEADER_SQL, view)

@@ -68,6 +68,29 @@ def refresh_summaries(fields: DataFrame, header: DataFrame) -> dict[str, DataFra
     }
 
 
+def write_summaries(summaries: dict[str, DataFrame], base_path: str) -> dict[str, str]:
+    """Persist each summary, replacing the previous version (a recomputed,
+    not streamed, table)."""
+    out = {}
+    for name, df in summaries.items():
+        path = f"{base_path.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = path
+    return out
+
+
+def stage(df: DataFrame, name: str, temporary: bool = True, path: str | None = None) -> DataFrame:
+    """A stage table: temporary (a session view, recomputed when read) or
+    kept (written to ``path`` and read back)."""
+    if temporary:
+        df.createOrReplaceTempView(name)
+        return df.sparkSession.table(name)
+    if path is None:
+        raise ValueError("a kept stage table needs a path")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def header_silver(header: DataFrame, keys: list[str] | None = None, expect_drop: dict[str, str] | None = None) -> DataFrame:
     """Header wide stage + latest per document (key bundleUUID, sequence
     bundle_timestamp), rows with a NULL key dropped."""

@@ -108,6 +108,7 @@ SQL: dict[str, str] = {
         SELECT CAST(pos.doc_key AS VARCHAR) AS bundle_id, pos.url AS fullUrl, pos.rtype AS resourceType, pos.entry_pos,
                CAST(f.p AS INTEGER) AS pos, f.key, f.value_kind, f.value_string, f.value_number
         FROM pos JOIN ({FIELD_ROWS}) f ON f.url = pos.url""",
+    "document_fields_sql": None,
     "fields_of_type": f"""{CDOCS}
         SELECT CAST(pos.doc_key AS VARCHAR) AS bundle_id, pos.url AS Order_uuid, f.key, f.value_kind, f.value_string, f.value_number
         FROM pos JOIN ({FIELD_ROWS}) f ON f.url = pos.url WHERE pos.rtype = 'Order'""",
@@ -254,11 +255,19 @@ SQL: dict[str, str] = {
         SELECT CAST(d.doc_key AS VARCHAR) AS bundle_id, c_mktsegment AS segment FROM d JOIN customer ON c_custkey = d.doc_key""",
     "require_type_bundle": f"""{CDOCS}
         SELECT CAST(doc_key AS VARCHAR) AS bundle_id, CAST(count(*) AS INTEGER) AS n_entries FROM doc GROUP BY doc_key, part""",
+    "bronze_layout": f"""{CDOCS}
+        SELECT 'fixture:/customer/' AS datasource,
+               CAST(doc_key AS VARCHAR) || '-' || CAST(part AS VARCHAR) || '.json' AS inputFileName,
+               'fixture:/customer/' || CAST(doc_key AS VARCHAR) || '-' || CAST(part AS VARCHAR) || '.json' AS fullFilePath,
+               true AS whole_file, 64 AS id_length, true AS ingested_today
+        FROM d""",
     "sample_documents": f"""{CDOCS}
         SELECT * FROM (SELECT CAST(doc_key AS VARCHAR) AS bundle_id, CAST(count(*) AS INTEGER) AS n_entries
                        FROM doc GROUP BY doc_key, part) ORDER BY bundle_id LIMIT 10""",
 }
 
+SQL["document_fields_sql"] = SQL["document_fields"]
+
 STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
     "stream_pivot": ORDER_WIDE,

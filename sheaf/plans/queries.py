@@ -356,7 +356,12 @@ def bronze_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = _bronze(spark, sf_dir)
     return b.select(
         "datasource", "inputFileName", F.col("fullFilePath"),
-        F.col("fileMetadata.file_size").alias("file_size"),
+        (F.col("fileMetadata.file_block_length") == F.col("fileMetadata.file_size")).alias("whole_file"),
         F.length("bundleUUID").alias("id_length"),
         (F.col("ingestDate") == F.current_date()).alias("ingested_today"),
     )
+
+
+def document_fields_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    f = ex.explode_fields_sql(_bronze(spark, sf_dir))
+    return f.select("bundle_id", "fullUrl", "resourceType", "entry_pos", "pos", "key", *_value_cols())

@@ -65,6 +65,8 @@ def with_file_columns(df: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_size").alias("file_size"),
+        F.col("_metadata.file_block_start").alias("file_block_start"),
+        F.col("_metadata.file_block_length").alias("file_block_length"),
         F.col("_metadata.file_modification_time").alias("file_modification_time"),
     )
 
@@ -109,6 +111,8 @@ def file_metadata(df: DataFrame) -> Column:
         F.col("file_path"),
         F.col("file_name"),
         F.col("file_size"),
+        F.col("file_block_start"),
+        F.col("file_block_length"),
         F.col("file_modification_time"),
     )
 

@@ -88,6 +88,8 @@ def as_raw(docs: DataFrame, source: str) -> DataFrame:
         F.concat(F.lit(f"fixture:/{source}/"), name).alias("file_path"),
         name.alias("file_name"),
         F.octet_length("value").cast("bigint").alias("file_size"),
+        F.lit(0).cast("bigint").alias("file_block_start"),
+        F.octet_length("value").cast("bigint").alias("file_block_length"),
         F.lit(FIXTURE_MODIFICATION_TIME).cast("timestamp").alias("file_modification_time"),
     )
 

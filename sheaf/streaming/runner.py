@@ -122,8 +122,26 @@ class ChangeLog:
     def append(self, batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
 
+    def _snapshot(self) -> tuple[int, str] | None:
+        """(last batch folded in, path) of the newest snapshot, if any."""
+        try:
+            rows = self.spark.read.parquet(f"{self.path}/snapshot").select("upto").distinct().collect()
+        except Exception:  # no snapshot yet
+            return None
+        if not rows:
+            return None
+        upto = max(r.upto for r in rows)
+        return upto, f"{self.path}/snapshot/upto={upto}"
+
     def changes(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/log")
+        """Change rows not yet folded into a snapshot, plus the snapshot's
+        rows (the latest change per key, tombstones included)."""
+        log = self.spark.read.parquet(f"{self.path}/log")
+        snap = self._snapshot()
+        if snap is None:
+            return log
+        upto, path = snap
+        return self.spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto))
 
     def current(self, **options) -> DataFrame:
         log = self.changes()
@@ -132,6 +150,22 @@ class ChangeLog:
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
         )
 
+    def compact(self) -> int:
+        """Fold the log into a snapshot holding the latest change row per key
+        (one ``max_by`` aggregation; deletes stay as rows so that older
+        changes arriving later are still overridden). Later reads start from
+        it. Valid for latest-value reads without ignored NULL updates."""
+        log = self.changes()
+        upto = log.agg(F.max("batch_id")).first()[0]
+        if upto is None:
+            return -1
+        seq = F.struct(*[F.col(c) for c in self.sequence_by + self.tie_break + ["batch_id"]])
+        cols = [c for c in log.columns if c not in self.keys]
+        latest = log.groupBy(*self.keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), seq).alias("_r"))
+        latest = latest.select(*self.keys, *[F.col("_r")[c].alias(c) for c in cols])
+        latest.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
+        return upto
+
     def stream_into(self, changes_stream: DataFrame, checkpoint: str) -> StreamingQuery:
         return run_batches(changes_stream, self.append, checkpoint)
 
