@@ -7,6 +7,8 @@ Discovery (types, keys) collects only the small summaries.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, scratch_path
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 
@@ -27,11 +29,45 @@ FIXTURES = {
 
 
 def fixture_bronze(spark: SparkSession, sf_dir: str, fixture: str = "customer", id_mode: str = "content") -> DataFrame:
-    """Bronze table of documents made from the test tables."""
+    """Bronze rows of documents made from the test tables (not persisted)."""
     raw = FIXTURES[fixture](spark, sf_dir)
     return docs.to_bronze(raw, f"fixture:/{fixture}/", id_mode=id_mode)
 
 
+# Persisted landing (raw text) and bronze tables, one per (application,
+# scale folder, fixture): the pipeline writes them once and every later step
+# reads them, as a bronze table is read by the steps after it.
+_TABLES: dict[tuple[str, str, str, str], str] = {}
+
+
+def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build) -> DataFrame:
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), fixture, layer)
+    path = _TABLES.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except Exception:  # folder gone: build again
+            _TABLES.pop(key, None)
+    path = scratch_path(spark, f"{layer}-{fixture}")
+    build().write.mode("overwrite").parquet(path)
+    _TABLES[key] = path
+    return spark.read.parquet(path)
+
+
+def raw_table(spark: SparkSession, sf_dir: str, fixture: str = "customer") -> DataFrame:
+    """Landing table: the documents' JSON text with file columns."""
+    return _persisted(spark, sf_dir, fixture, "raw", lambda: FIXTURES[fixture](spark, sf_dir))
+
+
+def bronze_table(spark: SparkSession, sf_dir: str, fixture: str = "customer") -> DataFrame:
+    """Bronze table (VARIANT documents, content ids), written once from the
+    landing table."""
+    return _persisted(
+        spark, sf_dir, fixture, "bronze",
+        lambda: docs.to_bronze(raw_table(spark, sf_dir, fixture), f"fixture:/{fixture}/", id_mode="content"),
+    )
+
+
 def write_table(
     df: DataFrame,
     path: str,

@@ -59,7 +59,11 @@ def _value_cols(v: str = "value") -> list[Column]:
 
 
 def _bronze(spark, sf_dir, fixture="customer") -> DataFrame:
-    return md.fixture_bronze(spark, sf_dir, fixture)
+    return md.bronze_table(spark, sf_dir, fixture)
+
+
+def _raw(spark, sf_dir, fixture="customer") -> DataFrame:
+    return md.raw_table(spark, sf_dir, fixture)
 
 
 def _fields(spark, sf_dir, fixture="customer") -> DataFrame:
@@ -313,14 +317,14 @@ BUNDLE_SCHEMA = StructType([
 
 
 def typed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.customer_bundles(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
     e = t.select(F.col("b.id").alias("bundle_id"), F.explode("b.entry").alias("e"))
     return e.select("bundle_id", "e.fullUrl", F.col("e.resource.*"))
 
 
 def entry_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.customer_bundles(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
     z = t.select(F.col("b.id").alias("bundle_id"), F.arrays_zip(F.col("b.entry.fullUrl"), F.col("b.entry.resource.resourceType")).alias("z"))
     p = z.select("bundle_id", F.posexplode("z").alias("entry_pos", "e"))
@@ -328,14 +332,14 @@ def entry_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_entry_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.customer_bundles(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
     first = fv.first_or_null(F.filter("b.entry", lambda x: x["resource"]["resourceType"] == "Order"))
     return t.select(F.col("b.id").alias("bundle_id"), first["fullUrl"].alias("first_order_url"))
 
 
 def field_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = fx.customer_bundles(spark, sf_dir)
+    raw = _raw(spark, sf_dir)
     return raw.select(fv.field_text("value", "$.id").alias("bundle_id"), fv.field_text("value", "$.Meta.Segment").alias("segment"))
 
 

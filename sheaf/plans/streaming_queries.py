@@ -17,6 +17,7 @@ from ..session import scratch_path
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 from ..streaming import runner as rn
+from . import medallion as md
 from . import queries as q
 
 # Landing layout of the streaming fixtures.
@@ -24,9 +25,9 @@ LANDING_FILES = 8
 EVENT_FILES = 4
 
 
-def _land_documents(spark: SparkSession, sf_dir: str, root: str, fixture=fx.customer_bundles) -> str:
+def _land_documents(spark: SparkSession, sf_dir: str, root: str, fixture: str = "customer") -> str:
     landing = f"{root}/landing/"
-    raw = fixture(spark, sf_dir)
+    raw = md.raw_table(spark, sf_dir, fixture)
     rn.landing_writer(raw.repartition(LANDING_FILES), landing)
     return landing
 

@@ -62,13 +62,14 @@ def bundle_entries(entries: DataFrame, max_entries: int = MAX_ENTRIES_PER_DOCUME
             F.pmod(F.col("split"), F.col("_nparts"))
         ),
     )
-    grouped = tagged.groupBy("doc_key", "part").agg(
-        F.sort_array(F.collect_list(F.struct("sort", "url", "res"))).alias("_arr")
-    )
+    # Entry JSON is built by a codegen'd projection before the shuffle; the
+    # lambda after the group-by only picks the text out of the sorted array.
+    tagged = tagged.select("doc_key", "part", "sort", _entry_json(F.struct("url", "res")).alias("_json"))
+    grouped = tagged.groupBy("doc_key", "part").agg(F.sort_array(F.collect_list(F.struct("sort", "_json"))).alias("_arr"))
     return grouped.select(
         "doc_key",
         "part",
-        F.concat(F.lit("["), F.array_join(F.transform("_arr", _entry_json), ","), F.lit("]")).alias("entries_json"),
+        F.concat(F.lit("["), F.array_join(F.transform("_arr", lambda x: x["_json"]), ","), F.lit("]")).alias("entries_json"),
     )
 
 
