@@ -48,6 +48,11 @@ def column_names(keys: list[str], reserved: list[str]) -> dict[str, str]:
     return out
 
 
+def col_of(name: str) -> Column:
+    """Column by exact name, whatever characters it holds (dots, quotes)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _first_value(k: str, order: tuple[str, ...]) -> Column:
     hit = F.col("key") == F.lit(k)
     return F.min_by(F.when(hit, F.col("value")), F.when(hit, F.struct(*order)))
@@ -109,7 +114,7 @@ def pivot_resource(
         if not keys:
             return f.select(*group).distinct()
         wide = f.groupBy(*group).pivot("key", keys).agg(F.min_by("value", F.struct("entry_pos", "pos")))
-        return wide.select(*group, *[F.col(f"`{k}`").alias(names[k]) for k in keys])
+        return wide.select(*group, *[col_of(k).alias(names[k]) for k in keys])
     raise ValueError("method must be 'regroup', 'pivot' or 'project'")
 
 
@@ -127,8 +132,8 @@ def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], gr
     )
     if not keys:
         return e.select(*group).distinct()
-    present = lambda c: F.when(F.col(c).isNotNull(), F.col("entry_pos"))
-    return e.groupBy(*group).agg(*[F.min_by(F.col(names[k]), present(names[k])).alias(names[k]) for k in keys])
+    present = lambda c: F.when(col_of(c).isNotNull(), F.col("entry_pos"))
+    return e.groupBy(*group).agg(*[F.min_by(col_of(names[k]), present(names[k])).alias(names[k]) for k in keys])
 
 
 def pivot_header(header: DataFrame | None, keys: list[str], method: str = "regroup", bronze: DataFrame | None = None) -> DataFrame:
@@ -150,14 +155,14 @@ def typed(wide: DataFrame, types: dict[str, str], lenient: bool = False) -> Data
     """Publish VARIANT cells as plain typed columns (``{column: spark type}``);
     other columns pass through."""
     fn = F.try_variant_get if lenient else F.variant_get
-    return wide.select(*[fn(F.col(c), "$", types[c]).alias(c) if c in types else F.col(c) for c in wide.columns])
+    return wide.select(*[fn(col_of(c), "$", types[c]).alias(c) if c in types else col_of(c) for c in wide.columns])
 
 
 def comparable(df: DataFrame) -> DataFrame:
     """VARIANT columns as JSON text, so rows can be compared and hashed."""
     out = []
     for f in df.schema.fields:
-        out.append(F.to_json(F.col(f"`{f.name}`")).alias(f.name) if f.dataType.typeName() == "variant" else F.col(f"`{f.name}`"))
+        out.append(F.to_json(col_of(f.name)).alias(f.name) if f.dataType.typeName() == "variant" else col_of(f.name))
     return df.select(*out)
 
 
@@ -166,7 +171,7 @@ def wide_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     (side 'b_only'), multiset semantics, on ``a``'s columns. VARIANT cells are
     compared through their JSON text (Spark cannot compare VARIANT)."""
     ca = comparable(a)
-    cb = comparable(b.select(*[F.col(f"`{c}`") for c in a.columns]))
+    cb = comparable(b.select(*[col_of(c) for c in a.columns]))
     return ca.exceptAll(cb).withColumn("side", F.lit("a_only")).unionByName(
         cb.exceptAll(ca).withColumn("side", F.lit("b_only"))
     )
