@@ -17,7 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
-from ..session import reliable_checkpoint, scratch_path
+from ..session import reliable_checkpoint, scratch_path, variant_shredding
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 
@@ -49,7 +49,8 @@ def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build
         except Exception:  # folder gone: build again
             _TABLES.pop(key, None)
     path = scratch_path(spark, f"{layer}-{fixture}")
-    build().write.mode("overwrite").parquet(path)
+    with variant_shredding(spark, enabled=(layer == "bronze")):
+        build().write.mode("overwrite").parquet(path)
     _TABLES[key] = path
     return spark.read.parquet(path)
 

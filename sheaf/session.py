@@ -67,3 +67,35 @@ def reliable_checkpoint(df):
     (never a local checkpoint: an executor loss must not lose the data)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHREDDING = {
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+}
+
+
+class variant_shredding:
+    """Context manager: VARIANT columns written inside it are shredded (the
+    common paths become typed parquet columns), so later path reads fetch
+    only those columns. The session's own settings are restored after."""
+
+    def __init__(self, spark: SparkSession, enabled: bool = True):
+        self.spark = spark
+        self.enabled = enabled
+        self._old: dict[str, str | None] = {}
+
+    def __enter__(self):
+        if self.enabled:
+            for k, v in _SHREDDING.items():
+                self._old[k] = self.spark.conf.get(k, None)
+                self.spark.conf.set(k, v)
+        return self
+
+    def __exit__(self, *exc):
+        for k, v in self._old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
+        return False

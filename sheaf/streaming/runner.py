@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import changes as ch
 from ..operators import explode as ex
 from ..operators import pivot as pv
+from ..session import variant_shredding
 from ..sources import documents as docs
 
 
@@ -72,11 +73,15 @@ def ingest_documents(
     options: dict | None = None,
     id_mode: str = "content",
     on_error: str = "fail",
+    shred: bool = True,
 ) -> StreamingQuery:
-    """New files under ``source`` -> bronze parquet at ``bronze_path``."""
+    """New files under ``source`` -> bronze parquet at ``bronze_path``.
+    With ``shred`` the VARIANT column is written shredded, so later path
+    reads (id, timestamp, Meta, entry) fetch only those parquet columns."""
     raw = docs.stream_documents(spark, source, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
     bronze = docs.to_bronze(raw, datasource or source, id_mode=id_mode, on_error=on_error)
-    return run_stream(bronze, bronze_path, checkpoint)
+    with variant_shredding(spark, enabled=shred):
+        return run_stream(bronze, bronze_path, checkpoint)
 
 
 def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, header_path: str, checkpoint: str) -> None:
