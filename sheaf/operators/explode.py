@@ -36,17 +36,35 @@ def with_document_columns(bronze: DataFrame, lenient_time: bool = False) -> Data
     )
 
 
-def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: bool = False) -> DataFrame:
+UNIQUE_URLS = "doc_unique_urls"
+
+
+def unique_urls(resource) -> "F.Column":
+    """True when every entry of the document has its own url (NULL urls
+    count as equal). NULL when ``entry`` is not an array. A cast of the
+    entry array to ``array<struct<fullUrl>>`` reads only the urls."""
+    urls = F.try_variant_get(resource, "$.entry", "array<struct<fullUrl:string>>")["fullUrl"]
+    return F.size(F.array_distinct(urls)) == F.size(urls)
+
+
+def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: bool = False, url_check: bool = False) -> DataFrame:
     """One row per entry of each document: document columns, ``entry_pos``,
     ``fullUrl``, ``resourceType`` and the entry itself (VARIANT).
 
     Inner by default: a document with no, null, scalar or empty ``entry``
     yields no rows; ``keep_empty=True`` keeps it with NULL entry columns.
-    An ``entry`` given as an object yields one row per member."""
+    An ``entry`` given as an object yields one row per member.
+    ``url_check=True`` adds ``doc_unique_urls`` (see :func:`unique_urls`),
+    which lets the regroup pivot skip the shuffle for such documents."""
     docs = with_document_columns(bronze, lenient_time)
+    extra = []
+    if url_check:
+        docs = docs.withColumn(UNIQUE_URLS, unique_urls(F.col("resource")))
+        extra = [UNIQUE_URLS]
     e = _explode(docs, field("resource", "$.entry"), "e", keep_empty)
     return e.select(
         *DOCUMENT_COLUMNS,
+        *extra,
         F.col("e.pos").alias("entry_pos"),
         field(F.col("e.value"), "$.fullUrl", "string").alias("fullUrl"),
         field(F.col("e.value"), "$.resource.resourceType", "string").alias("resourceType"),

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import field, json_path
+from .explode import UNIQUE_URLS
 
 RESOURCE_GROUP = ["bundleUUID", "bundle_timestamp"]
 HEADER_GROUP = ["bundleUUID", "fileMetadata", "ingestDate", "ingestTime", "bundle_id", "bundle_timestamp"]
@@ -124,16 +125,28 @@ def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], gr
     Same result, but about (keys per entry) times fewer rows to shuffle and
     sort, since the long table repeats the group columns for every key."""
     names = column_names(keys, group)
+    checked = UNIQUE_URLS in entries.columns
     e = entries.filter(F.col("resourceType") == resource_type).select(
         *RESOURCE_GROUP,
         F.col("fullUrl").alias(group[-1]),
         "entry_pos",
+        *([F.col(UNIQUE_URLS)] if checked else []),
         *[field("entry", ("resource", k)).alias(names[k]) for k in keys],
     )
+    value_cols = [col_of(names[k]) for k in keys]
+    if checked:
+        # A group never leaves its document, so in a document whose urls are
+        # all distinct every group is one entry: its row is the result as is,
+        # with no shuffle. Only documents with a repeated (or NULL) url go
+        # through the group-by.
+        direct = e.filter(F.col(UNIQUE_URLS)).select(*group, *value_cols)
+        e = e.filter(~F.coalesce(F.col(UNIQUE_URLS), F.lit(False)))
     if not keys:
-        return e.select(*group).distinct()
-    present = lambda c: F.when(col_of(c).isNotNull(), F.col("entry_pos"))
-    return e.groupBy(*group).agg(*[F.min_by(col_of(names[k]), present(names[k])).alias(names[k]) for k in keys])
+        merged = e.select(*group).distinct()
+    else:
+        present = lambda c: F.when(col_of(c).isNotNull(), F.col("entry_pos"))
+        merged = e.groupBy(*group).agg(*[F.min_by(col_of(names[k]), present(names[k])).alias(names[k]) for k in keys])
+    return direct.unionByName(merged) if checked else merged
 
 
 def pivot_header(header: DataFrame | None, keys: list[str], method: str = "regroup", bronze: DataFrame | None = None) -> DataFrame:

@@ -146,7 +146,7 @@ def _order_wide(spark, sf_dir, method) -> DataFrame:
     if method == "pivot":
         w = pv.pivot_resource(ex.explode_fields(b), "Order", ORDER_KEYS, method=method)
     else:
-        w = pv.pivot_resource(None, "Order", ORDER_KEYS, method=method, entries=ex.explode_entries(b))
+        w = pv.pivot_resource(None, "Order", ORDER_KEYS, method=method, entries=ex.explode_entries(b, url_check=True))
     return pv.typed(w, ORDER_TYPES).select("Order_uuid", _doc_time(), *ORDER_KEYS)
 
 
@@ -183,7 +183,7 @@ def _lineitem_wide(spark, sf_dir, method) -> DataFrame:
     if method == "pivot":
         w = pv.pivot_resource(ex.explode_fields(b, types=["LineItem"]), "LineItem", LINEITEM_KEYS, method=method)
     else:
-        w = pv.pivot_resource(None, "LineItem", LINEITEM_KEYS, method=method, entries=ex.explode_entries(b))
+        w = pv.pivot_resource(None, "LineItem", LINEITEM_KEYS, method=method, entries=ex.explode_entries(b, url_check=True))
     return pv.typed(w, LINEITEM_TYPES).select("LineItem_uuid", _doc_time(), *LINEITEM_KEYS)
 
 

@@ -35,7 +35,7 @@ def _land_documents(spark: SparkSession, sf_dir: str, root: str, fixture: str =
 def _bronze(spark: SparkSession, sf_dir: str, root: str) -> str:
     landing = _land_documents(spark, sf_dir, root)
     bronze = f"{root}/bronze"
-    rn.ingest_documents(spark, landing, bronze, f"{root}/ckpt/bronze", datasource=landing, whole_text=False, max_files=2)
+    rn.ingest_documents(spark, landing, bronze, f"{root}/ckpt/bronze", datasource=landing, whole_text=False)
     return bronze
 
 

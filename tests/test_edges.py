@@ -208,3 +208,25 @@ def test_json_path_quoting():
     assert fv.json_path("a", "b") == "$.a.b"
     assert fv.json_path("a.b") == '$["a.b"]'
     assert fv.json_path('q"x') == "$['q\"x']"
+
+
+def test_regroup_routes_agree_on_mixed_documents(spark, docs_dir):
+    """Documents with unique urls skip the shuffle; documents with a repeated
+    or NULL url are merged; the three routes give one table."""
+    files = {
+        "u.json": doc(did="u", entries=[e("a", resourceType="T", x=1), e("b", resourceType="T", x=2, y=None)]),
+        "d.json": doc(did="d", entries=[e("a", resourceType="T", x=3), e("a", resourceType="T", x=4, y=5)]),
+        "n.json": doc(did="n", entries=[e(None, resourceType="T", x=6), e(None, resourceType="T", y=7)]),
+        "o.json": doc(did="o", entries={"m": e("a", resourceType="T", x=8)}),
+    }
+    b = bronze_of(spark, docs_dir(files))
+    keys = ["x", "y"]
+    routes = [
+        pv.pivot_resource(ex.explode_fields(b), "T", keys),
+        pv.pivot_resource(None, "T", keys, entries=ex.explode_entries(b)),
+        pv.pivot_resource(None, "T", keys, entries=ex.explode_entries(b, url_check=True)),
+    ]
+    key = lambda t: tuple((x is None, str(x)) for x in t)
+    rows = [sorted((tuple(r) for r in pv.comparable(w).drop("bundleUUID", "bundle_timestamp").collect()), key=key) for w in routes]
+    assert rows[0] == rows[1] == rows[2]
+    assert len(rows[0]) == 5
