@@ -65,6 +65,10 @@ def bundle_entries(entries: DataFrame, max_entries: int = MAX_ENTRIES_PER_DOCUME
     # Entry JSON is built by a codegen'd projection before the shuffle; the
     # lambda after the group-by only picks the text out of the sorted array.
     tagged = tagged.select("doc_key", "part", "sort", _entry_json(F.struct("url", "res")).alias("_json"))
+    # Entries of one document are scattered over the input, so a map-side
+    # partial list buys nothing: shuffle the rows by (document, part) once and
+    # build each list inside its partition (the group-by reuses this layout).
+    tagged = tagged.repartition("doc_key", "part")
     grouped = tagged.groupBy("doc_key", "part").agg(F.sort_array(F.collect_list(F.struct("sort", "_json"))).alias("_arr"))
     return grouped.select(
         "doc_key",
