@@ -55,7 +55,10 @@ def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: b
     yields no rows; ``keep_empty=True`` keeps it with NULL entry columns.
     An ``entry`` given as an object yields one row per member.
     ``url_check=True`` adds ``doc_unique_urls`` (see :func:`unique_urls`),
-    which lets the regroup pivot skip the shuffle for such documents."""
+    which lets the regroup pivot skip the shuffle for such documents. That
+    shortcut assumes one bronze row per document id, which holds for random
+    ids and for content ids of whole files (identical lines of one
+    line-mode file share a content id and would count as one document)."""
     docs = with_document_columns(bronze, lenient_time)
     extra = []
     if url_check:

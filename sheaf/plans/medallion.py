@@ -160,7 +160,7 @@ def resource_silver(
 
 
 def build_silver(
-    fields: DataFrame,
+    fields: DataFrame | None,
     types: list[str] | None = None,
     type_keys: dict[str, list[str]] | None = None,
     method: str = "regroup",
@@ -168,21 +168,35 @@ def build_silver(
     out_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """Fan out: one silver table per resource type. Types and key lists come
-    from the summaries unless given. With ``out_path`` the long table is
-    persisted once (checkpointed to the shared folder) and each type is
-    written to ``out_path/<type>``; the returned frames then read those."""
+    from the summaries unless given.
+
+    With ``out_path`` the source rows are persisted once, partitioned by
+    resource type (``out_path/_source``), so each type's build reads only its
+    own folder instead of rescanning the documents; each silver table is then
+    written to ``out_path/<type>`` and the returned frames read those."""
     if type_keys is None:
-        tk = sm.resource_type_keys(fields)
-        type_keys = sm.type_key_dict(tk, types)
+        long = fields if fields is not None else None
+        if long is None:
+            raise ValueError("type keys must be given when only the entry table is passed")
+        type_keys = sm.type_key_dict(sm.resource_type_keys(long), types)
     if types is None:
         types = sorted(type_keys)
-    src = fields
+    use_entries = entries is not None and method in ("regroup", "project")
+    src = entries if use_entries else fields
     if out_path is not None:
-        src = reliable_checkpoint(fields.filter(F.col("resourceType").isin(types)))
-    out = {t: resource_silver(src, t, type_keys.get(t, []), method=method, entries=entries) for t in types}
+        spark = src.sparkSession
+        source_path = f"{out_path.rstrip('/')}/_source"
+        src.filter(F.col("resourceType").isin(types)).write.mode("overwrite").partitionBy("resourceType").parquet(source_path)
+        src = spark.read.parquet(source_path)
+    out = {}
+    for t in types:
+        part = src.filter(F.col("resourceType") == t)
+        if use_entries:
+            out[t] = resource_silver(None, t, type_keys.get(t, []), method=method, entries=part)
+        else:
+            out[t] = resource_silver(part, t, type_keys.get(t, []), method=method)
     if out_path is None:
         return out
-    spark = fields.sparkSession
     result = {}
     for t, df in out.items():
         path = f"{out_path.rstrip('/')}/{t}"

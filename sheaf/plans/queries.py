@@ -18,6 +18,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
+from ..session import scratch_path
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 from . import medallion as md
@@ -291,8 +292,12 @@ def silver_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fan-out over every discovered type; rows per type."""
-    tables = md.build_silver(_fields(spark, sf_dir))
+    """Fan-out over every discovered type (keys from the summaries), entries
+    persisted once by type, one silver table written per type; rows per type."""
+    b = _bronze(spark, sf_dir)
+    type_keys = sm.type_key_dict(sm.resource_type_keys(ex.explode_fields(b)))
+    out = scratch_path(spark, "silver")
+    tables = md.build_silver(None, type_keys=type_keys, entries=ex.explode_entries(b, url_check=True), out_path=out)
     parts = [df.select(F.lit(t).alias("resourceType"), F.col(f"{t}_uuid").alias("entry_url")) for t, df in tables.items()]
     out = parts[0]
     for p in parts[1:]:

@@ -100,8 +100,8 @@ def pivot_stream(spark: SparkSession, bronze_path: str, resource_type: str, keys
     (a replayed batch overwrites its own folder)."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        fields = ex.explode_fields(batch, types=[resource_type])
-        wide = pv.pivot_resource(fields, resource_type, keys)
+        entries = ex.explode_entries(batch, url_check=True)
+        wide = pv.pivot_resource(None, resource_type, keys, entries=entries)
         wide.write.mode("overwrite").parquet(f"{stage_path.rstrip('/')}/batch_id={batch_id}")
 
     return run_batches(stream_table(spark, bronze_path), step, checkpoint)
