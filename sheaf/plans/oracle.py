@@ -14,7 +14,8 @@ TS = "'%Y-%m-%d %H:%M:%S.%f'"
 DT = "'%Y-%m-%d %H:%M:%S'"
 
 # Customer documents: entries, hot-key parts, entry positions.
-CDOCS = f"""
+def customer_docs(m: int = M) -> str:
+    return f"""
 WITH ent AS (
   SELECT c_custkey AS doc_key, CAST(-1 AS BIGINT) AS split, CAST(-1 AS BIGINT) AS srt,
          'Customer' AS rtype, 'urn:customer:' || CAST(c_custkey AS VARCHAR) AS url FROM customer
@@ -22,14 +23,17 @@ WITH ent AS (
   SELECT o_custkey, o_orderkey, o_orderkey, 'Order', 'urn:order:' || CAST(o_orderkey AS VARCHAR) FROM orders
 ), cnt AS (SELECT doc_key, count(*) AS n FROM ent GROUP BY doc_key),
 doc AS (
-  SELECT e.*, CASE WHEN c.n <= {M} OR e.split < 0 THEN 0
-                   ELSE e.split % CAST(ceil(c.n / {M}.0) AS BIGINT) END AS part
+  SELECT e.*, CASE WHEN c.n <= {m} OR e.split < 0 THEN 0
+                   ELSE e.split % CAST(ceil(c.n / {m}.0) AS BIGINT) END AS part
   FROM ent e JOIN cnt c USING (doc_key)
 ), pos AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY doc_key, part ORDER BY srt) - 1 AS INTEGER) AS entry_pos FROM doc
 ), d AS (SELECT DISTINCT doc_key, part FROM doc)
 """
 
+
+CDOCS = customer_docs()
+
 # Order documents: line items with their part and first-in-document rank.
 ODOCS = f"""
 WITH li AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
