@@ -17,7 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
-from ..session import reliable_checkpoint, scratch_path, variant_shredding
+from ..session import reliable_checkpoint, scratch_path, session_id, variant_shredding
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 
@@ -41,7 +41,7 @@ _TABLES: dict[tuple[str, str, str, str], str] = {}
 
 
 def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build) -> DataFrame:
-    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir), fixture, layer)
+    key = (session_id(spark), os.path.realpath(sf_dir), fixture, layer)
     path = _TABLES.get(key)
     if path is not None:
         try:

@@ -41,20 +41,37 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def _context(spark: SparkSession):
+    try:
+        return spark.sparkContext
+    except Exception:  # a remote (Connect) session has no local context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only when
     the session names none (local tests)."""
-    current = spark.conf.get(_CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    current = spark.conf.get(_CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc is not None else None)
     if current:
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(current)
+        if sc is not None and sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(current)
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="sheaf-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
-    spark.sparkContext.setCheckpointDir(local)
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local
 
 
+def session_id(spark: SparkSession) -> str:
+    """Identity of the running application (for per-session caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location for one run of one
     job: stream checkpoints, landing folders, change logs."""
