@@ -1,0 +1,36 @@
+"""Property: explode -> discover keys -> pivot -> rebuild gives back every
+resource object (keys, values, JSON nulls), whatever keys occur."""
+
+import json
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from sheaf.operators import explode as ex
+from sheaf.operators import pivot as pv
+from sheaf.operators import summaries as sm
+from sheaf.sources import documents as docs
+
+key = st.text(alphabet="abAB._ `", min_size=1, max_size=3)
+scalar = st.one_of(st.none(), st.booleans(), st.integers(-5, 5), st.text(alphabet="xyzé", max_size=3))
+value = st.one_of(scalar, st.lists(scalar, max_size=2), st.dictionaries(st.sampled_from(["p", "q"]), scalar, max_size=2))
+resource = st.dictionaries(key, value, max_size=4).filter(lambda d: "resourceType" not in d)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(resources=st.lists(resource, min_size=1, max_size=4))
+def test_explode_pivot_rebuild(spark, tmp_path_factory, resources):
+    d = tmp_path_factory.mktemp("rt")
+    entries = [{"fullUrl": f"u{i}", "resource": {"resourceType": "T", **r}} for i, r in enumerate(resources)]
+    (d / "a.json").write_text(json.dumps({"id": "x", "entry": entries}))
+    b = docs.to_bronze(docs.read_documents(spark, str(d)), "t", id_mode="content")
+    f = ex.explode_fields(b)
+    keys = sm.type_key_dict(sm.resource_type_keys(f)).get("T", [])
+    names = pv.column_names(keys, ["bundleUUID", "bundle_timestamp", "T_uuid"])
+    for method, kw in (("regroup", {}), ("project", {"entries": ex.explode_entries(b)}), ("regroup", {"entries": ex.explode_entries(b, url_check=True)})):
+        wide = pv.comparable(pv.pivot_resource(f if not kw else None, "T", keys, method=method, **kw))
+        rebuilt = {}
+        for row in wide.collect():
+            r = row.asDict()
+            rebuilt[r["T_uuid"]] = {k: json.loads(r[names[k]]) for k in keys if r[names[k]] is not None}
+        assert rebuilt == {f"u{i}": r for i, r in enumerate(resources)}, method
