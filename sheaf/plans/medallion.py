@@ -166,6 +166,7 @@ def build_silver(
     method: str = "regroup",
     entries: DataFrame | None = None,
     out_path: str | None = None,
+    persist_source: bool = True,
 ) -> dict[str, DataFrame]:
     """Fan out: one silver table per resource type. Types and key lists come
     from the summaries unless given.
@@ -175,15 +176,14 @@ def build_silver(
     own folder instead of rescanning the documents; each silver table is then
     written to ``out_path/<type>`` and the returned frames read those."""
     if type_keys is None:
-        long = fields if fields is not None else None
-        if long is None:
+        if fields is None:
             raise ValueError("type keys must be given when only the entry table is passed")
-        type_keys = sm.type_key_dict(sm.resource_type_keys(long), types)
+        type_keys = sm.type_key_dict(sm.resource_type_keys(fields), types)
     if types is None:
         types = sorted(type_keys)
     use_entries = entries is not None and method in ("regroup", "project")
     src = entries if use_entries else fields
-    if out_path is not None:
+    if out_path is not None and persist_source:
         spark = src.sparkSession
         source_path = f"{out_path.rstrip('/')}/_source"
         src.filter(F.col("resourceType").isin(types)).write.mode("overwrite").partitionBy("resourceType").parquet(source_path)
@@ -197,6 +197,7 @@ def build_silver(
             out[t] = resource_silver(part, t, type_keys.get(t, []), method=method)
     if out_path is None:
         return out
+    spark = src.sparkSession
     result = {}
     for t, df in out.items():
         path = f"{out_path.rstrip('/')}/{t}"
@@ -208,3 +209,43 @@ def build_silver(
 def long_tables(bronze: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(entries, fields, header) of a bronze table."""
     return ex.explode_entries(bronze), ex.explode_fields(bronze), ex.explode_header(bronze)
+
+
+def refresh_all(
+    spark: SparkSession,
+    source: str,
+    base: str,
+    types: list[str] | None = None,
+    whole_text: bool = True,
+    max_files: int | None = docs.DEFAULT_MAX_FILES,
+    max_bytes: str | int | None = None,
+) -> dict[str, str]:
+    """One scheduled run over every layer, under ``base``:
+
+    1. new files under ``source`` -> ``bronze`` (stream, availableNow),
+    2. bronze -> ``fields`` (partitioned by type) and ``header`` (stream),
+    3. the three summaries, recomputed (``summaries/<name>``),
+    4. one silver table per type (``silver/<type>``) and the header silver
+       (``silver_header``), rebuilt from the long tables with the key lists
+       discovered in step 3 (a key first seen today becomes a column today).
+
+    Rerunning with no new files adds no rows to the appended layers.
+    Returns the paths written."""
+    from ..streaming import runner as rn
+
+    b = base.rstrip("/")
+    ck = f"{b}/_checkpoints"
+    rn.ingest_documents(spark, source, f"{b}/bronze", f"{ck}/bronze", whole_text=whole_text, max_files=max_files, max_bytes=max_bytes)
+    rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
+    fields = spark.read.parquet(f"{b}/fields")
+    header = spark.read.parquet(f"{b}/header")
+    paths = write_summaries(refresh_summaries(fields, header), f"{b}/summaries")
+    type_keys = sm.type_key_dict(spark.read.parquet(paths["resource_type_keys"]), types)
+    silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False)
+    header_keys = sm.discover_header_keys(spark.read.parquet(paths["meta_keys"]))
+    if header_keys:
+        write_table(header_silver(header, header_keys), f"{b}/silver_header", cluster_by=["bundleUUID"])
+        paths["silver_header"] = f"{b}/silver_header"
+    paths.update({f"silver/{t}": f"{b}/silver/{t}" for t in silver})
+    paths.update({"bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
+    return paths

@@ -275,6 +275,7 @@ SQL["document_fields_sql"] = SQL["document_fields"]
 STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
     "stream_pivot": ORDER_WIDE,
+    "refresh_all_orders": SQL["silver_order"],
     "stream_latest": SQL["changes_latest"],
     "stream_change_feed": f"SELECT {EV_COLS} FROM events",
 }

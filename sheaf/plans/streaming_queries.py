@@ -91,3 +91,13 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inv.select(F.lit("landing").alias("folder"), F.col("day").cast("string").alias("day"), "files", "bytes").filter(
         F.col("files") > 0
     )
+
+
+def refresh_all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every layer in one scheduled run (land -> bronze -> long -> summaries
+    -> silver per type); the Order silver table it wrote."""
+    root = scratch_path(spark, "refresh")
+    landing = _land_documents(spark, sf_dir, root)
+    paths = md.refresh_all(spark, landing, f"{root}/lake", whole_text=False)
+    silver = spark.read.parquet(paths["silver/Order"])
+    return pv.typed(silver, q.ORDER_TYPES).select("Order_uuid", *q.ORDER_KEYS)

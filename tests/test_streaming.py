@@ -102,3 +102,24 @@ def test_sql_explode_runs_on_a_stream(spark, tmp_path):
     got = sorted((r.key, r.pos) for r in spark.read.parquet(str(tmp_path / "fields")).collect())
     assert got == [("resourceType", 0), ("x", 1), ("y", 2)]
     assert ex.explode_header_sql(spark.read.parquet(bronze)).count() == 1
+
+
+def test_refresh_all_runs_every_layer_and_reruns_cleanly(spark, tmp_path):
+    from sheaf.plans import medallion as md
+
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(_doc("a", [{"fullUrl": "u1", "resource": {"resourceType": "T", "x": 1}}]))
+    base = str(tmp_path / "lake")
+    paths = md.refresh_all(spark, str(land), base)
+    assert spark.read.parquet(paths["silver/T"]).count() == 1
+    assert spark.read.parquet(paths["silver_header"]).count() == 1
+    md.refresh_all(spark, str(land), base)  # no new files: nothing appended
+    assert spark.read.parquet(paths["bronze"]).count() == 1
+    assert spark.read.parquet(paths["silver/T"]).count() == 1
+    (land / "b.json").write_text(_doc("b", [{"fullUrl": "u2", "resource": {"resourceType": "T", "x": 2, "z": "new"}}]))
+    paths = md.refresh_all(spark, str(land), base)
+    t = spark.read.parquet(paths["silver/T"])
+    assert "z" in t.columns and t.count() == 2
+    kinds = {r.resourceType: r.raw_bundle_count for r in spark.read.parquet(paths["resource_types"]).collect()}
+    assert kinds == {"T": 2}
