@@ -140,7 +140,10 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
     whose windows hold at most one row per partition for any key.
     """
     spark = src.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):  # e.g. "auto" on some platforms
+        n = spark.sparkContext.defaultParallelism
     seq_value = F.col(seq[0]) if len(seq) == 1 else F.struct(*[F.col(c) for c in seq])
     rows = src.select(*keys, *value_cols, SEQ, DEL, seq_value.alias("_seq_value"), _tracked_json(tracked).alias("_tj"))
     rows = rows.repartitionByRange(n, *[F.col(k) for k in keys], F.col(SEQ)).withColumn("_pid", F.spark_partition_id())

@@ -74,12 +74,15 @@ def ingest_documents(
     id_mode: str = "content",
     on_error: str = "fail",
     shred: bool = True,
+    sub_folder: str = "",
 ) -> StreamingQuery:
-    """New files under ``source`` -> bronze parquet at ``bronze_path``.
-    With ``shred`` the VARIANT column is written shredded, so later path
-    reads (id, timestamp, Meta, entry) fetch only those parquet columns."""
-    raw = docs.stream_documents(spark, source, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
-    bronze = docs.to_bronze(raw, datasource or source, id_mode=id_mode, on_error=on_error)
+    """New files under ``source`` (plus an optional ``sub_folder``) -> bronze
+    parquet at ``bronze_path``; ``datasource`` defaults to that folder with a
+    trailing slash. With ``shred`` the VARIANT column is written shredded, so
+    later path reads (id, timestamp, Meta, entry) fetch only those columns."""
+    folder = docs.source_path(source, sub_folder)
+    raw = docs.stream_documents(spark, folder, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
+    bronze = docs.to_bronze(raw, datasource or folder, id_mode=id_mode, on_error=on_error)
     with variant_shredding(spark, enabled=shred):
         return run_stream(bronze, bronze_path, checkpoint)
 
