@@ -206,6 +206,9 @@ SQL: dict[str, str] = {
           WHERE NOT coalesce(event_type = 'signup' AND value > 300, false)
             AND coalesce({LAST} > (SELECT max({LAST}) FROM events WHERE event_type = 'signup' AND value > 300), true)
           {LATEST})""",
+    "changes_tied_sequence": """
+        SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM orders
+        QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC NULLS LAST, o_orderkey DESC NULLS LAST) = 1""",
     "changes_except_columns": f"SELECT user_id, event_id, event_type, value FROM events {LATEST}",
     "changes_history": f"""
         WITH r AS (

@@ -273,6 +273,14 @@ def changes_history_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _event_out(t, ["user_id", "event_type", "event_id", ch.START_AT, ch.END_AT])
 
 
+def changes_tied_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest order per customer by order date; equal dates are ordered by
+    the order key (the tie-break columns)."""
+    orders = fx.load(spark, sf_dir, "orders")
+    t = ch.apply_changes(orders, "o_custkey", "o_orderdate", tie_break="o_orderkey")
+    return t.select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_totalprice")
+
+
 def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     before = ch.apply_changes(ev.filter(F.col("ts") < F.lit(CHANGE_FEED_CUT).cast("timestamp_ntz")), EVENT_KEYS, "ts", tie_break="event_id")

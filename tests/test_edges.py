@@ -129,12 +129,14 @@ def test_clashing_key_names_are_renamed(spark, docs_dir):
 
 
 def test_malformed_json_fails_or_quarantines(spark, docs_dir):
-    path = docs_dir({"a.json": doc(entries=[]), "b.json": '{"id": 1,', "c.json": '{"a": 1, "a": 2}'})
+    path = docs_dir({"a.json": doc(entries=[]), "b.json": '{"id": 1,', "c.json": '{"a": 1, "a": 2}', "e.json": ""})
     with pytest.raises(Exception):
         bronze_of(spark, path).collect()
     good, rejects = docs.split_rejects(bronze_of(spark, path, on_error="quarantine"))
     assert good.count() == 1
     assert sorted(r.inputFileName for r in rejects.collect()) == ["b.json", "c.json"]
+    # an empty file gives no row at all; the metadata scan lists it
+    assert [r.inputFileName for r in docs.empty_files(spark, path).collect()] == ["e.json"]
 
 
 def test_unreadable_timestamp_strict_or_lenient(spark, docs_dir):
