@@ -72,7 +72,9 @@ def with_file_columns(df: DataFrame) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, whole_text: bool = True, skip_rows: int = 0, options: dict | None = None) -> DataFrame:
-    """Batch twin of :func:`stream_documents`."""
+    """Batch twin of :func:`stream_documents`. A zero-length file yields no
+    row (Spark's file sources skip empty files), so it never reaches
+    parsing."""
     if skip_rows > 0 and not whole_text:
         df = _reader(spark.read, True, options).schema(RAW_SCHEMA).load(path)
         return _skip_lines(with_file_columns(df), skip_rows, False)
@@ -158,16 +160,6 @@ def split_rejects(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, rejects
 
 
-def empty_files(spark: SparkSession, path: str) -> DataFrame:
-    """Zero-length files under ``path``. The text source yields no row for
-    them (so they never reach parsing); this metadata-only scan lists them
-    for the rejects table."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.filter(F.col("length") == 0).select(
-        F.col("path").alias("fullFilePath"), F.regexp_extract("path", r"([^/]*)$", 1).alias("inputFileName"), "modificationTime"
-    )
-
-
 def require_type(bronze: DataFrame, type_name: str = "Bundle") -> DataFrame:
     """Keep documents whose top-level resourceType matches, ignoring case."""
     t = field("resource", "$.resourceType", "string", lenient=True)
