@@ -43,12 +43,15 @@ def _entry_json(x: Column) -> Column:
     )
 
 
-def bundle_entries(entries: DataFrame, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
+def bundle_entries(entries: DataFrame, url: Column, res: Column, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
     """Group entry rows into documents.
 
-    ``entries`` has: ``doc_key`` (any type), ``split`` (BIGINT, negative =
-    always part 0), ``sort`` (orderable: the entry order inside a document),
-    ``url`` (STRING), ``res`` (JSON text of the resource).
+    ``entries`` has ``doc_key`` (any type), ``split`` (BIGINT, negative =
+    always part 0), ``sort`` (orderable: the entry order inside a document)
+    and the typed columns that ``url`` (STRING) and ``res`` (JSON text of the
+    resource) are computed from. Both are evaluated after the shuffle, so the
+    compact typed columns travel, not JSON text, and the serialisation runs
+    in every post-shuffle task however few input splits there are.
     Returns ``doc_key, part, entries_json`` with one row per document.
     """
     counts = entries.groupBy("doc_key").agg(F.count(F.lit(1)).alias("_n"))
@@ -62,13 +65,11 @@ def bundle_entries(entries: DataFrame, max_entries: int = MAX_ENTRIES_PER_DOCUME
             F.pmod(F.col("split"), F.col("_nparts"))
         ),
     )
-    # Entry JSON is built by a codegen'd projection before the shuffle; the
-    # lambda after the group-by only picks the text out of the sorted array.
-    tagged = tagged.select("doc_key", "part", "sort", _entry_json(F.struct("url", "res")).alias("_json"))
     # Entries of one document are scattered over the input, so a map-side
     # partial list buys nothing: shuffle the rows by (document, part) once and
     # build each list inside its partition (the group-by reuses this layout).
     tagged = tagged.repartition("doc_key", "part")
+    tagged = tagged.select("doc_key", "part", "sort", _entry_json(F.struct(url.alias("url"), res.alias("res"))).alias("_json"))
     grouped = tagged.groupBy("doc_key", "part").agg(F.sort_array(F.collect_list(F.struct("sort", "_json"))).alias("_arr"))
     return grouped.select(
         "doc_key",
@@ -109,16 +110,24 @@ def customer_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_EN
         F.col("c_custkey").alias("doc_key"),
         F.lit(-1).cast("bigint").alias("split"),
         F.lit(-1).cast("bigint").alias("sort"),
-        F.concat(F.lit("urn:customer:"), F.col("c_custkey").cast("string")).alias("url"),
-        F.to_json(
-            F.struct(F.lit("Customer").alias("resourceType"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"))
-        ).alias("res"),
+        F.lit("Customer").alias("_kind"),
+        "c_custkey", "c_name", "c_acctbal",
     )
     order_entries = orders.select(
         F.col("o_custkey").alias("doc_key"),
         F.col("o_orderkey").alias("split"),
         F.col("o_orderkey").alias("sort"),
-        F.concat(F.lit("urn:order:"), F.col("o_orderkey").cast("string")).alias("url"),
+        F.lit("Order").alias("_kind"),
+        "o_orderkey", "o_totalprice", "o_orderstatus",
+    )
+    is_customer = F.col("_kind") == "Customer"
+    url = F.when(is_customer, F.concat(F.lit("urn:customer:"), F.col("c_custkey").cast("string"))).otherwise(
+        F.concat(F.lit("urn:order:"), F.col("o_orderkey").cast("string"))
+    )
+    res = F.when(
+        is_customer,
+        F.to_json(F.struct(F.lit("Customer").alias("resourceType"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("bal"))),
+    ).otherwise(
         F.to_json(
             F.struct(
                 F.lit("Order").alias("resourceType"),
@@ -126,9 +135,9 @@ def customer_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_EN
                 F.col("o_totalprice").alias("total"),
                 F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus")).alias("status"),
             )
-        ).alias("res"),
+        )
     )
-    docs = bundle_entries(cust_entries.unionByName(order_entries), max_entries)
+    docs = bundle_entries(cust_entries.unionByName(order_entries, allowMissingColumns=True), url, res, max_entries)
     header = customer.select(
         F.col("c_custkey").alias("doc_key"),
         F.to_json(
@@ -174,24 +183,25 @@ def order_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRI
         F.col("l_orderkey").alias("doc_key"),
         F.col("l_partkey").alias("split"),
         F.struct(*LINEITEM_SORT).alias("sort"),
-        F.concat(F.lit("urn:li:"), F.col("l_orderkey").cast("string"), F.lit(":"), F.col("l_linenumber").cast("string")).alias("url"),
-        F.to_json(
-            F.struct(
-                F.lit("LineItem").alias("resourceType"),
-                F.col("l_partkey").alias("part"),
-                F.col("l_suppkey").alias("supp"),
-                F.col("l_linenumber").alias("line"),
-                F.col("l_quantity").alias("qty"),
-                F.col("l_extendedprice").alias("price"),
-                F.col("l_discount").alias("disc"),
-                F.col("l_tax").alias("tax"),
-                F.col("l_returnflag").alias("flag"),
-                F.col("l_linestatus").alias("status"),
-                F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipdate"),
-            )
-        ).alias("res"),
     )
-    docs = bundle_entries(entries, max_entries)
+    li = lambda c: F.col("sort")[c]
+    url = F.concat(F.lit("urn:li:"), F.col("doc_key").cast("string"), F.lit(":"), li("l_linenumber").cast("string"))
+    res = F.to_json(
+        F.struct(
+            F.lit("LineItem").alias("resourceType"),
+            li("l_partkey").alias("part"),
+            li("l_suppkey").alias("supp"),
+            li("l_linenumber").alias("line"),
+            li("l_quantity").alias("qty"),
+            li("l_extendedprice").alias("price"),
+            li("l_discount").alias("disc"),
+            li("l_tax").alias("tax"),
+            li("l_returnflag").alias("flag"),
+            li("l_linestatus").alias("status"),
+            F.date_format(li("l_shipdate"), "yyyy-MM-dd").alias("shipdate"),
+        )
+    )
+    docs = bundle_entries(entries, url, res, max_entries)
     header = orders.select(
         F.col("o_orderkey").alias("doc_key"),
         F.to_json(
@@ -222,12 +232,11 @@ def text_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRIE
         F.col("conv_id").alias("doc_key"),
         F.col("turn").alias("split"),
         F.col("turn").alias("sort"),
-        F.concat(F.lit("urn:turn:"), F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string")).alias("url"),
-        F.to_json(
-            F.struct(F.col("role").alias("resourceType"), F.col("text").alias("text"), F.col("turn").alias("n"))
-        ).alias("res"),
+        "role", "text",
     )
-    docs = bundle_entries(entries, max_entries)
+    url = F.concat(F.lit("urn:turn:"), F.col("doc_key").cast("string"), F.lit(":"), F.col("sort").cast("string"))
+    res = F.to_json(F.struct(F.col("role").alias("resourceType"), F.col("text").alias("text"), F.col("sort").alias("n")))
+    docs = bundle_entries(entries, url, res, max_entries)
     header = F.to_json(
         F.struct(
             F.lit("Bundle").alias("resourceType"),
