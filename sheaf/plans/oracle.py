@@ -279,6 +279,16 @@ STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
     "stream_pivot": ORDER_WIDE,
     "refresh_all_orders": SQL["silver_order"],
+    "stream_versions_feed": f"""
+        WITH b AS (SELECT * FROM (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00' {LATEST})
+                   WHERE NOT coalesce(event_type = 'error', false)),
+        a AS (SELECT * FROM (SELECT * FROM events {LATEST}) WHERE NOT coalesce(event_type = 'error', false)),
+        u AS (SELECT b.user_id FROM b JOIN a USING (user_id)
+              WHERE (b.event_id, b.ts, b.event_type, b.value, b.props) IS DISTINCT FROM (a.event_id, a.ts, a.event_type, a.value, a.props))
+        SELECT {EV_COLS}, 'insert' AS _change_type, CAST(1 AS BIGINT) AS _commit_version FROM a WHERE user_id NOT IN (SELECT user_id FROM b)
+        UNION ALL SELECT {EV_COLS}, 'delete', CAST(1 AS BIGINT) FROM b WHERE user_id NOT IN (SELECT user_id FROM a)
+        UNION ALL SELECT {EV_COLS}, 'update_preimage', CAST(1 AS BIGINT) FROM b WHERE user_id IN (SELECT user_id FROM u)
+        UNION ALL SELECT {EV_COLS}, 'update_postimage', CAST(1 AS BIGINT) FROM a WHERE user_id IN (SELECT user_id FROM u)""",
     "stream_latest": SQL["changes_latest"],
     "stream_change_feed": f"SELECT {EV_COLS} FROM events",
 }

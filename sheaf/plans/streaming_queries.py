@@ -101,3 +101,22 @@ def refresh_all_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = md.refresh_all(spark, landing, f"{root}/lake", whole_text=False)
     silver = spark.read.parquet(paths["silver/Order"])
     return pv.typed(silver, q.ORDER_TYPES).select("Order_uuid", *q.ORDER_KEYS)
+
+
+def stream_versions_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of change rows (before / from the cut date), each picked up
+    by its own availableNow run, so each is one micro-batch = one version;
+    the feed between version 0 and version 1 (deletes applied)."""
+    root = scratch_path(spark, "stream-versions")
+    landing = f"{root}/events"
+    events = fx.event_updates(spark, sf_dir)
+    cut = F.col("ts") < F.lit(q.CHANGE_FEED_CUT).cast("timestamp_ntz")
+    schema = events.schema
+    log = rn.ChangeLog(spark, f"{root}/changes", keys=q.EVENT_KEYS, sequence_by="ts", tie_break="event_id")
+    for part in (events.filter(cut), events.filter(~cut)):
+        part.write.mode("append").parquet(landing)
+        # one stream, one checkpoint: each run picks up only the new files
+        # and continues the batch numbering
+        log.stream_into(spark.readStream.schema(schema).parquet(landing), f"{root}/ckpt/changes")
+    feed = log.feed(0, 1, delete_when=q.EVENT_DELETE)
+    return q._event_out(feed, ["user_id", "event_id", "ts", "event_type", "value", "props", "_change_type", "_commit_version"])

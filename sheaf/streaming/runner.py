@@ -114,7 +114,9 @@ class ChangeLog:
     """Append-only change log with merge-on-read.
 
     Each micro-batch lands in ``<path>/batch_id=N`` (overwriting that one
-    folder, so a replayed batch is harmless). The current state is
+    folder, so a replayed batch is harmless). The batch id is the version,
+    so a log is fed by one stream with one checkpoint (a second checkpoint
+    would number its batches from 0 again). The current state is
     :func:`apply_changes` over the whole log with the batch id as the last
     tie-break; :meth:`compact` writes it as a snapshot that later reads start
     from.
@@ -158,6 +160,22 @@ class ChangeLog:
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
         )
 
+    def state_at(self, version: int, **options) -> DataFrame:
+        """The table as of micro-batch ``version`` (changes of batches up to
+        and including it), read from the raw log."""
+        log = self.spark.read.parquet(f"{self.path}/log").filter(F.col("batch_id") <= version)
+        return ch.apply_changes(
+            log, self.keys, self.sequence_by, tie_break=self.tie_break + ["batch_id"],
+            except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
+        )
+
+    def feed(self, from_version: int, to_version: int, **options) -> DataFrame:
+        """Row-level changes between two versions of the table (insert,
+        delete, update pre/post image), stamped with ``to_version``."""
+        return ch.change_feed(
+            self.state_at(from_version, **dict(options)), self.state_at(to_version, **dict(options)), self.keys, version=to_version
+        )
+
     def compact(self) -> int:
         """Fold the log into a snapshot holding the latest change row per key
         (one ``max_by`` aggregation; deletes stay as rows so that older

@@ -123,3 +123,16 @@ def test_refresh_all_runs_every_layer_and_reruns_cleanly(spark, tmp_path):
     assert "z" in t.columns and t.count() == 2
     kinds = {r.resourceType: r.raw_bundle_count for r in spark.read.parquet(paths["resource_types"]).collect()}
     assert kinds == {"T": 2}
+
+
+def test_change_log_versions_and_feed(spark, tmp_path):
+    log = rn.ChangeLog(spark, str(tmp_path / "log"), keys="k", sequence_by="seq")
+    s = "k INT, seq INT, v STRING, op STRING"
+    log.append(spark.createDataFrame([(1, 1, "a", "u"), (2, 1, "b", "u")], s), 0)
+    log.append(spark.createDataFrame([(1, 2, "c", "u"), (2, 2, None, "d"), (3, 1, "n", "u")], s), 1)
+    v0 = sorted(tuple(r) for r in log.state_at(0, delete_when="op = 'd'", except_columns=["op"]).collect())
+    assert v0 == [(1, 1, "a"), (2, 1, "b")]
+    feed = sorted(
+        (r.k, r.v, r._change_type) for r in log.feed(0, 1, delete_when="op = 'd'", except_columns=["op"]).collect()
+    )
+    assert feed == [(1, "a", "update_preimage"), (1, "c", "update_postimage"), (2, "b", "delete"), (3, "n", "insert")]
