@@ -17,7 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
-from ..session import reliable_checkpoint, scratch_path, session_id, variant_shredding
+from ..session import scratch_path, session_id, variant_shredding
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 

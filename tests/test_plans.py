@@ -4,7 +4,6 @@ size-checked broadcasts."""
 
 import re
 
-from pyspark.sql import functions as F
 
 from sheaf.operators import changes as ch
 from sheaf.operators import explode as ex

@@ -3,9 +3,7 @@ batch, change log survives replays."""
 
 import json
 
-from pyspark.sql import functions as F
 
-from sheaf.operators import changes as ch
 from sheaf.operators import explode as ex
 from sheaf.operators import pivot as pv
 from sheaf.operators import summaries as sm
