@@ -7,7 +7,7 @@ streaming DataFrames alike.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.variant import field
@@ -39,7 +39,7 @@ def with_document_columns(bronze: DataFrame, lenient_time: bool = False) -> Data
 UNIQUE_URLS = "doc_unique_urls"
 
 
-def unique_urls(resource) -> "F.Column":
+def unique_urls(resource: Column) -> Column:
     """True when every entry of the document has its own url (NULL urls
     count as equal). NULL when ``entry`` is not an array. A cast of the
     entry array to ``array<struct<fullUrl>>`` reads only the urls."""

@@ -236,6 +236,10 @@ def refresh_all(
     b = base.rstrip("/")
     ck = f"{b}/_checkpoints"
     rn.ingest_documents(spark, source, f"{b}/bronze", f"{ck}/bronze", whole_text=whole_text, max_files=max_files, max_bytes=max_bytes)
+    try:
+        spark.read.parquet(f"{b}/bronze").schema
+    except Exception:  # nothing has landed yet: no table to build on
+        return {}
     rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
     fields = spark.read.parquet(f"{b}/fields")
     header = spark.read.parquet(f"{b}/header")

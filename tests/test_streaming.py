@@ -134,3 +134,11 @@ def test_change_log_versions_and_feed(spark, tmp_path):
         (r.k, r.v, r._change_type) for r in log.feed(0, 1, delete_when="op = 'd'", except_columns=["op"]).collect()
     )
     assert feed == [(1, "a", "update_preimage"), (1, "c", "update_postimage"), (2, "b", "delete"), (3, "n", "insert")]
+
+
+def test_refresh_all_on_an_empty_folder_builds_nothing(spark, tmp_path):
+    from sheaf.plans import medallion as md
+
+    land = tmp_path / "empty"
+    land.mkdir()
+    assert md.refresh_all(spark, str(land), str(tmp_path / "lake")) == {}
