@@ -219,6 +219,7 @@ def refresh_all(
     whole_text: bool = True,
     max_files: int | None = docs.DEFAULT_MAX_FILES,
     max_bytes: str | int | None = None,
+    incremental: bool = False,
 ) -> dict[str, str]:
     """One scheduled run over every layer, under ``base``:
 
@@ -230,6 +231,10 @@ def refresh_all(
        discovered in step 3 (a key first seen today becomes a column today).
 
     Rerunning with no new files adds no rows to the appended layers.
+    With ``incremental=True`` step 4 is instead a stream over the new bronze
+    rows only (``silver_stream``): wide rows per type are appended to
+    ``silver/<type>/log`` and read by merge (``silver_table``), so a run's
+    work grows with the new data, not the history.
     Returns the paths written."""
     from ..streaming import runner as rn
 
@@ -244,6 +249,10 @@ def refresh_all(
     fields = spark.read.parquet(f"{b}/fields")
     header = spark.read.parquet(f"{b}/header")
     paths = write_summaries(refresh_summaries(fields, header), f"{b}/summaries")
+    if incremental:
+        rn.silver_stream(spark, f"{b}/bronze", f"{b}/silver", f"{ck}/silver", types=types)
+        paths.update({"silver": f"{b}/silver", "bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
+        return paths
     type_keys = sm.type_key_dict(spark.read.parquet(paths["resource_type_keys"]), types)
     silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False)
     header_keys = sm.discover_header_keys(spark.read.parquet(paths["meta_keys"]))

@@ -279,6 +279,7 @@ STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
     "stream_pivot": ORDER_WIDE,
     "refresh_all_orders": SQL["silver_order"],
+    "stream_silver_orders": SQL["silver_order"],
     "stream_versions_feed": f"""
         WITH b AS (SELECT * FROM (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00' {LATEST})
                    WHERE NOT coalesce(event_type = 'error', false)),

@@ -23,6 +23,7 @@ from . import queries as q
 # Landing layout of the streaming fixtures.
 LANDING_FILES = 8
 EVENT_FILES = 4
+SILVER_FILES_PER_BATCH = 2
 
 
 def _land_documents(spark: SparkSession, sf_dir: str, root: str, fixture: str = "customer") -> str:
@@ -120,3 +121,13 @@ def stream_versions_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         log.stream_into(spark.readStream.schema(schema).parquet(landing), f"{root}/ckpt/changes")
     feed = log.feed(0, 1, delete_when=q.EVENT_DELETE)
     return q._event_out(feed, ["user_id", "event_id", "ts", "event_type", "value", "props", "_change_type", "_commit_version"])
+
+
+def stream_silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental silver: bronze streamed in several micro-batches, wide
+    rows appended per type and batch, the Order table read by merge."""
+    root = scratch_path(spark, "stream-silver")
+    bronze = _bronze(spark, sf_dir, root)
+    rn.silver_stream(spark, bronze, f"{root}/silver", f"{root}/ckpt/silver", max_files=SILVER_FILES_PER_BATCH)
+    silver = rn.silver_table(spark, f"{root}/silver", "Order")
+    return pv.typed(silver, q.ORDER_TYPES).select("Order_uuid", *q.ORDER_KEYS)

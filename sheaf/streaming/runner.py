@@ -53,11 +53,14 @@ def run_batches(df: DataFrame, fn, checkpoint: str, wait: bool = True) -> Stream
     return query
 
 
-def stream_table(spark: SparkSession, path: str) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream a parquet table written by an earlier step (schema taken from
-    the table itself)."""
+    the table itself), optionally at most ``max_files`` files per batch."""
     schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    r = spark.readStream.schema(schema)
+    if max_files is not None:
+        r = r.option("maxFilesPerTrigger", str(int(max_files)))
+    return r.parquet(path)
 
 
 def ingest_documents(
@@ -143,15 +146,20 @@ class ChangeLog:
         upto = max(r.upto for r in rows)
         return upto, f"{self.path}/snapshot/upto={upto}"
 
+    def _log(self) -> DataFrame:
+        # batches may carry different columns (a key first seen later):
+        # merge the file schemas, older rows read NULL for new columns
+        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/log")
+
     def changes(self) -> DataFrame:
         """Change rows not yet folded into a snapshot, plus the snapshot's
         rows (the latest change per key, tombstones included)."""
-        log = self.spark.read.parquet(f"{self.path}/log")
+        log = self._log()
         snap = self._snapshot()
         if snap is None:
             return log
         upto, path = snap
-        return self.spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto))
+        return self.spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto), allowMissingColumns=True)
 
     def current(self, **options) -> DataFrame:
         log = self.changes()
@@ -163,7 +171,7 @@ class ChangeLog:
     def state_at(self, version: int, **options) -> DataFrame:
         """The table as of micro-batch ``version`` (changes of batches up to
         and including it), read from the raw log."""
-        log = self.spark.read.parquet(f"{self.path}/log").filter(F.col("batch_id") <= version)
+        log = self._log().filter(F.col("batch_id") <= version)
         return ch.apply_changes(
             log, self.keys, self.sequence_by, tie_break=self.tie_break + ["batch_id"],
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
@@ -206,3 +214,54 @@ def landing_writer(df: DataFrame, folder: str, column: str = "value") -> None:
     """Write a text column as files (one JSON document per line) into a
     landing folder, as an upstream system would."""
     df.select(F.col(column).alias("value")).write.mode("append").text(folder)
+
+
+def silver_stream(
+    spark: SparkSession,
+    bronze_path: str,
+    silver_root: str,
+    checkpoint: str,
+    types: list[str] | None = None,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Incremental silver: each micro-batch of new bronze rows is exploded
+    once; per resource type its wide rows (keys discovered from the batch)
+    are appended to ``silver_root/<type>/log/batch_id=N``. Read a table with
+    :func:`silver_table`. Work per run grows with the new data only."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        entries = ex.explode_entries(batch, url_check=True).persist()
+        try:
+            # one small collect: the types of this batch and their key lists
+            # (bounded by the distinct types and keys, not by the data)
+            keys = (
+                ex.explode_fields(batch)
+                .filter(F.col("resourceType").isNotNull())
+                .groupBy("resourceType")
+                .agg(F.sort_array(F.collect_set("key")).alias("keys"))
+                .collect()
+            )
+            found = {r.resourceType: [k for k in r["keys"] if k != "resourceType"] for r in keys}
+            for t in sorted(found):
+                if types is not None and t not in types:
+                    continue
+                wide = pv.pivot_resource(None, t, found.get(t, []), entries=entries)
+                wide.write.mode("overwrite").parquet(f"{silver_root.rstrip('/')}/{t}/log/batch_id={batch_id}")
+        finally:
+            entries.unpersist()
+
+    return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
+
+
+def silver_table(spark: SparkSession, silver_root: str, resource_type: str) -> DataFrame:
+    """Current silver rows of one type: latest per (document, entry url) over
+    the appended stage rows, NULL keys dropped, sequence column hidden."""
+    from ..operators import quality as q
+
+    url_col = f"{resource_type}_uuid"
+    log = ChangeLog(spark, f"{silver_root.rstrip('/')}/{resource_type}", keys=["bundleUUID", url_col], sequence_by="bundle_timestamp")
+    rules = {"valid_bundleUUID": "bundleUUID IS NOT NULL", f"valid_{url_col}": f"`{url_col}` IS NOT NULL"}
+    changes, _ = q.expect(log.changes(), drop=rules)
+    return ch.apply_changes(
+        changes, log.keys, log.sequence_by, tie_break=["batch_id"], except_columns=["bundle_timestamp", "batch_id"]
+    )
