@@ -87,8 +87,11 @@ def pivot_resource(
     ``<type>_uuid`` and one VARIANT column per key (``resourceType`` itself
     is never a column).
 
-    ``fields`` is the long table (for ``regroup`` / ``pivot``); ``entries``
-    the entry table (for ``project``)."""
+    ``fields`` is the long key/value table; ``entries`` the entry table.
+    ``project`` needs ``entries``; ``pivot`` needs ``fields``; ``regroup``
+    uses ``entries`` when given (fewer rows; with ``url_check`` columns it
+    skips the shuffle for documents whose urls are distinct), else
+    ``fields``."""
     keys = [k for k in keys if k != "resourceType"]
     url_col = f"{resource_type}_uuid"
     group = RESOURCE_GROUP + [url_col]
