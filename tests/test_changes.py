@@ -142,3 +142,53 @@ def test_history_with_a_hot_key_spanning_partitions(spark):
     assert got == _brute_history(rows, 2)
     pids = df.repartitionByRange(8, "k", "seq").select(F.spark_partition_id().alias("p"), "k").filter("k = 0").distinct().count()
     assert pids > 1
+
+
+history_rows = st.lists(
+    st.tuples(st.integers(0, 2), st.integers(0, 40), st.sampled_from(["a", "b"]), st.sampled_from(["u", "u", "u", "d"])),
+    min_size=1, max_size=60, unique_by=lambda r: (r[0], r[1]),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=history_rows, parts=st.integers(1, 5))
+def test_history_equals_brute_force_for_any_partitioning(spark, rows, parts):
+    """Type 2 equals the sequential rule whatever the number of range
+    partitions (so keys are cut into segments at arbitrary places)."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = spark.createDataFrame(rows, SCHEMA)
+        out = ch.apply_changes(df, "k", "seq", scd=2, delete_when="op = 'd'", track=["v"], columns=["v"])
+        got = state(out.select("k", "v", ch.START_AT, ch.END_AT))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert got == _brute_history(rows, 2)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=rows_strategy)
+def test_ignore_nulls_and_truncate_equal_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    # ignore NULL updates: per column the latest non-NULL value after the last delete
+    got = state(ch.apply_changes(df, "k", "seq", delete_when="op = 'd'", ignore_null_updates=True, columns=["v"]))
+    exp = []
+    for k in sorted({r[0] for r in rows}):
+        rs = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        if rs[-1][3] == "d":
+            continue
+        last_del = max((r[1] for r in rs if r[3] == "d"), default=None)
+        live = [r for r in rs if r[3] != "d" and (last_del is None or r[1] > last_del)]
+        vals = [r[2] for r in live if r[2] is not None]
+        exp.append((k, vals[-1] if vals else None))
+    assert got == sorted(exp, key=lambda t: (t[0], t[1] is None, t[1] or ""))
+    # truncate: only rows after the last truncate row count
+    trunc = [(k, s, v, "t" if op == "d" else op) for k, s, v, op in rows]
+    got = state(ch.apply_changes(spark.createDataFrame(trunc, SCHEMA), "k", "seq", truncate_when="op = 't'", columns=["v"]))
+    cut = max((r[1] for r in trunc if r[3] == "t"), default=None)
+    kept = [r for r in trunc if r[3] != "t" and (cut is None or r[1] > cut)]
+    latest = {}
+    for k, s, v, op in kept:
+        if k not in latest or s > latest[k][0]:
+            latest[k] = (s, v)
+    assert got == sorted(((k, v) for k, (s, v) in latest.items()), key=lambda t: (t[0], t[1] is None, t[1] or ""))
