@@ -14,6 +14,8 @@ append-only change log.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -138,12 +140,13 @@ class ChangeLog:
     def _snapshot(self) -> tuple[int, str] | None:
         """(last batch folded in, path) of the newest snapshot, if any."""
         try:
-            rows = self.spark.read.parquet(f"{self.path}/snapshot").select("upto").distinct().collect()
+            files = self.spark.read.parquet(f"{self.path}/snapshot").inputFiles()  # listing only
         except Exception:  # no snapshot yet
             return None
-        if not rows:
+        found = [int(m.group(1)) for f in files if (m := re.search(r"/upto=(\d+)/", f))]
+        if not found:
             return None
-        upto = max(r.upto for r in rows)
+        upto = max(found)
         return upto, f"{self.path}/snapshot/upto={upto}"
 
     def _log(self) -> DataFrame:
@@ -200,8 +203,18 @@ class ChangeLog:
         latest.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
         return upto
 
-    def stream_into(self, changes_stream: DataFrame, checkpoint: str) -> StreamingQuery:
-        return run_batches(changes_stream, self.append, checkpoint)
+    def stream_into(self, changes_stream: DataFrame, checkpoint: str, compact_every: int | None = None) -> StreamingQuery:
+        """Append every micro-batch of ``changes_stream``; with
+        ``compact_every`` the log is folded into a snapshot after every
+        N-th batch, so reads stay proportional to the live keys plus the
+        recent batches."""
+
+        def step(batch: DataFrame, batch_id: int) -> None:
+            self.append(batch, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                self.compact()
+
+        return run_batches(changes_stream, step, checkpoint)
 
 
 def stream_changes(spark: SparkSession, log_path: str) -> DataFrame:
@@ -223,6 +236,7 @@ def silver_stream(
     checkpoint: str,
     types: list[str] | None = None,
     max_files: int | None = None,
+    compact_every: int | None = None,
 ) -> StreamingQuery:
     """Incremental silver: each micro-batch of new bronze rows is exploded
     once; per resource type its wide rows (keys discovered from the batch)
@@ -247,19 +261,26 @@ def silver_stream(
                     continue
                 wide = pv.pivot_resource(None, t, found.get(t, []), entries=entries)
                 wide.write.mode("overwrite").parquet(f"{silver_root.rstrip('/')}/{t}/log/batch_id={batch_id}")
+                if compact_every and (batch_id + 1) % compact_every == 0:
+                    _silver_log(spark, silver_root, t).compact()
         finally:
             entries.unpersist()
 
     return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
 
 
+def _silver_log(spark: SparkSession, silver_root: str, resource_type: str) -> "ChangeLog":
+    url_col = f"{resource_type}_uuid"
+    return ChangeLog(spark, f"{silver_root.rstrip('/')}/{resource_type}", keys=["bundleUUID", url_col], sequence_by="bundle_timestamp")
+
+
 def silver_table(spark: SparkSession, silver_root: str, resource_type: str) -> DataFrame:
     """Current silver rows of one type: latest per (document, entry url) over
     the appended stage rows, NULL keys dropped, sequence column hidden."""
     from ..operators import quality as q
 
     url_col = f"{resource_type}_uuid"
-    log = ChangeLog(spark, f"{silver_root.rstrip('/')}/{resource_type}", keys=["bundleUUID", url_col], sequence_by="bundle_timestamp")
+    log = _silver_log(spark, silver_root, resource_type)
     rules = {"valid_bundleUUID": "bundleUUID IS NOT NULL", f"valid_{url_col}": f"`{url_col}` IS NOT NULL"}
     changes, _ = q.expect(log.changes(), drop=rules)
     return ch.apply_changes(

@@ -175,3 +175,19 @@ def test_refresh_all_incremental_matches_rebuild(spark, tmp_path):
     b = pv.comparable(spark.read.parquet(full["silver/T"])).drop("bundleUUID")
     key = lambda r: tuple((x is None, str(x)) for x in r)
     assert sorted((tuple(r) for r in a.select(*b.columns).collect()), key=key) == sorted((tuple(r) for r in b.collect()), key=key)
+
+
+def test_compaction_while_streaming_keeps_the_state(spark, tmp_path):
+    s = "k INT, seq INT, v STRING"
+    land = tmp_path / "changes"
+    rows = [(i % 3, i, f"v{i}") for i in range(12)]
+    for i in range(4):  # four files, one per micro-batch
+        spark.createDataFrame(rows[i * 3:(i + 1) * 3], s).coalesce(1).write.mode("append").parquet(str(land))
+    stream = lambda: spark.readStream.schema(s).option("maxFilesPerTrigger", "1").parquet(str(land))
+    plain = rn.ChangeLog(spark, str(tmp_path / "plain"), keys="k", sequence_by="seq")
+    plain.stream_into(stream(), str(tmp_path / "ck1"))
+    packed = rn.ChangeLog(spark, str(tmp_path / "packed"), keys="k", sequence_by="seq")
+    packed.stream_into(stream(), str(tmp_path / "ck2"), compact_every=2)
+    assert packed._snapshot() is not None
+    assert sorted(tuple(r) for r in packed.current().collect()) == sorted(tuple(r) for r in plain.current().collect())
+    assert sorted(tuple(r) for r in plain.current().collect()) == [(0, 9, "v9"), (1, 10, "v10"), (2, 11, "v11")]
