@@ -139,11 +139,13 @@ class ChangeLog:
 
     def _snapshot(self) -> tuple[int, str] | None:
         """(last batch folded in, path) of the newest snapshot, if any."""
-        try:
-            files = self.spark.read.parquet(f"{self.path}/snapshot").inputFiles()  # listing only
-        except Exception:  # no snapshot yet
-            return None
-        found = [int(m.group(1)) for f in files if (m := re.search(r"/upto=(\d+)/", f))]
+        # a recursive listing of the log's root (no file is read); the root
+        # exists once a batch has been appended
+        files = (
+            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+            .option("pathGlobFilter", "*.parquet").load(self.path).inputFiles()
+        )
+        found = [int(m.group(1)) for f in files if (m := re.search(r"/snapshot/upto=(\d+)/", f))]
         if not found:
             return None
         upto = max(found)
