@@ -189,6 +189,10 @@ SQL: dict[str, str] = {
     "silver_order": """
         SELECT 'urn:order:' || CAST(o_orderkey AS VARCHAR) AS Order_uuid, o_orderkey AS id,
                CASE WHEN o_orderstatus <> 'O' THEN o_orderstatus END AS status, o_totalprice AS total FROM orders""",
+    "silver_order_filtered": """
+        SELECT 'urn:order:' || CAST(o_orderkey AS VARCHAR) AS Order_uuid, o_orderkey AS id,
+               o_orderstatus AS status, o_totalprice AS total
+        FROM orders WHERE o_totalprice > 100000 AND o_orderstatus <> 'O'""",
     "silver_all_types": """
         SELECT 'Customer' AS resourceType, count(*) AS rows, count(DISTINCT c_custkey) AS urls FROM customer
         UNION ALL SELECT 'Order', count(*), count(DISTINCT o_orderkey) FROM orders""",

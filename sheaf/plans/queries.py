@@ -43,6 +43,7 @@ EVENT_KEYS = ["user_id"]
 EVENT_DELETE = "event_type = 'error'"
 EVENT_TRUNCATE = "event_type = 'signup' AND value > 300"
 CHANGE_FEED_CUT = "2024-01-16 00:00:00"
+ORDER_ROW_FILTER = "total > 100000 AND status IS NOT NULL"
 
 
 def _ts(c: str) -> Column:
@@ -299,6 +300,13 @@ def silver_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pv.typed(s, ORDER_TYPES).select("Order_uuid", *ORDER_KEYS)
 
 
+def silver_order_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Order silver table published through a row filter."""
+    s = md.resource_silver(_fields(spark, sf_dir), "Order", ORDER_KEYS)
+    t = pv.typed(s, ORDER_TYPES).select("Order_uuid", *ORDER_KEYS)
+    return q.row_filter(t, ORDER_ROW_FILTER)
+
+
 def silver_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fan-out over every discovered type (keys from the summaries), entries
     persisted once by type, one silver table written per type; rows per type."""
