@@ -132,27 +132,28 @@ def explode_json_column(df: DataFrame, text_col: str, keep: list[str], keep_empt
     return x.select(*keep, F.col("x.pos").alias("pos"), F.col("x.key").alias("key"), F.col("x.value").alias("value"))
 
 
-# The same long table in Spark SQL, as the reference writes it: a chained
-# LATERAL variant_explode over a (possibly streaming) temporary view.
+# The long tables in Spark SQL: each document joined laterally with the
+# rows of its entry array, then with the members of each entry's resource.
+# Runs over a temporary view, which may be a streaming one.
 _FIELDS_SQL = """
-SELECT fileMetadata, ingestDate, ingestTime, bundleUUID,
-       CAST(resource:id AS STRING) AS bundle_id,
-       CAST(resource:timestamp AS TIMESTAMP) AS bundle_timestamp,
-       CAST(entry.value:fullUrl AS STRING) AS fullUrl,
-       CAST(entry.value:resource.resourceType AS STRING) AS resourceType,
-       entry.pos AS entry_pos,
-       resource_data.pos AS pos, resource_data.key AS key, resource_data.value AS value
-FROM {view},
-     LATERAL variant_explode(resource:entry) AS entry,
-     LATERAL variant_explode(entry.value:resource) AS resource_data
+SELECT d.fileMetadata, d.ingestDate, d.ingestTime, d.bundleUUID,
+       variant_get(d.resource, '$.id', 'string') AS bundle_id,
+       variant_get(d.resource, '$.timestamp', 'timestamp') AS bundle_timestamp,
+       variant_get(e.value, '$.fullUrl', 'string') AS fullUrl,
+       variant_get(e.value, '$.resource.resourceType', 'string') AS resourceType,
+       e.pos AS entry_pos, f.pos AS pos, f.key AS key, f.value AS value
+FROM {view} AS d
+JOIN LATERAL variant_explode(variant_get(d.resource, '$.entry')) AS e
+JOIN LATERAL variant_explode(variant_get(e.value, '$.resource')) AS f
 """
 
 _HEADER_SQL = """
-SELECT bundleUUID, fileMetadata, ingestDate, ingestTime,
-       CAST(resource:id AS STRING) AS bundle_id,
-       CAST(resource:timestamp AS TIMESTAMP) AS bundle_timestamp,
-       meta_exploded.pos AS pos, meta_exploded.key AS key, meta_exploded.value AS value
-FROM {view}, LATERAL variant_explode(resource:Meta) AS meta_exploded
+SELECT d.bundleUUID, d.fileMetadata, d.ingestDate, d.ingestTime,
+       variant_get(d.resource, '$.id', 'string') AS bundle_id,
+       variant_get(d.resource, '$.timestamp', 'timestamp') AS bundle_timestamp,
+       h.pos AS pos, h.key AS key, h.value AS value
+FROM {view} AS d
+JOIN LATERAL variant_explode(variant_get(d.resource, '$.Meta')) AS h
 """
 
 
