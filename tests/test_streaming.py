@@ -191,3 +191,19 @@ def test_compaction_while_streaming_keeps_the_state(spark, tmp_path):
     assert packed._snapshot() is not None
     assert sorted(tuple(r) for r in packed.current().collect()) == sorted(tuple(r) for r in plain.current().collect())
     assert sorted(tuple(r) for r in plain.current().collect()) == [(0, 9, "v9"), (1, 10, "v10"), (2, 11, "v11")]
+
+
+def test_command_line_refresh(spark, tmp_path, capsys):
+    import json as _json
+
+    from sheaf.__main__ import main
+
+    land = tmp_path / "land" / "in"
+    land.mkdir(parents=True)
+    (land / "a.json").write_text(_doc("a", [{"fullUrl": "u1", "resource": {"resourceType": "T", "x": 1}},
+                                            {"fullUrl": "u2", "resource": {"resourceType": "S", "y": 2}}]))
+    paths = main(["refresh", "--source", str(tmp_path / "land"), "--sub-folder", "in", "--base", str(tmp_path / "lake"),
+                  "--types", "T"], spark=spark)
+    assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == paths
+    assert "silver/T" in paths and "silver/S" not in paths
+    assert spark.read.parquet(paths["silver/T"]).count() == 1
