@@ -245,9 +245,7 @@ def refresh_all(
         spark.read.parquet(f"{b}/bronze").schema
     except Exception:  # nothing has landed yet: no table to build on
         return {}
-    rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
-    fields = spark.read.parquet(f"{b}/fields")
-    header = spark.read.parquet(f"{b}/header")
+    fields, header = rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
     paths = write_summaries(refresh_summaries(fields, header), f"{b}/summaries")
     if incremental:
         rn.silver_stream(spark, f"{b}/bronze", f"{b}/silver", f"{ck}/silver", types=types)

@@ -44,8 +44,8 @@ def stream_ingest_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing files -> bronze -> long tables (streams) -> key summary."""
     root = scratch_path(spark, "stream-explode")
     bronze = _bronze(spark, sf_dir, root)
-    rn.explode_stream(spark, bronze, f"{root}/fields", f"{root}/header", f"{root}/ckpt/long")
-    return sm.resource_type_keys(spark.read.parquet(f"{root}/fields"))
+    fields, _ = rn.explode_stream(spark, bronze, f"{root}/fields", f"{root}/header", f"{root}/ckpt/long")
+    return sm.resource_type_keys(fields)
 
 
 def stream_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,14 +92,22 @@ def ingest_documents(
         return run_stream(bronze, bronze_path, checkpoint)
 
 
-def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, header_path: str, checkpoint: str) -> None:
+def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
+    """Batch read of a stream's output with its known schema, so a table
+    that has received no rows yet reads as empty instead of failing
+    schema inference."""
+    return spark.read.schema(schema).parquet(path)
+
+
+def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, header_path: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
     """Bronze -> long fields table and long header table, appended.
     The fields table is partitioned by resource type so per-type reads
-    prune whole folders."""
+    prune whole folders. Returns batch readers of the two tables."""
     fields = ex.explode_fields(stream_table(spark, bronze_path))
     run_stream(fields, fields_path, f"{checkpoint}/fields", partition_by=["resourceType"])
     header = ex.explode_header(stream_table(spark, bronze_path))
     run_stream(header, header_path, f"{checkpoint}/header")
+    return read_sink(spark, fields_path, fields.schema), read_sink(spark, header_path, header.schema)
 
 
 def pivot_stream(spark: SparkSession, bronze_path: str, resource_type: str, keys: list[str], stage_path: str, checkpoint: str) -> StreamingQuery:

@@ -207,3 +207,14 @@ def test_command_line_refresh(spark, tmp_path, capsys):
     assert _json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == paths
     assert "silver/T" in paths and "silver/S" not in paths
     assert spark.read.parquet(paths["silver/T"]).count() == 1
+
+
+def test_refresh_all_with_documents_without_entries(spark, tmp_path):
+    from sheaf.plans import medallion as md
+
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(json.dumps({"id": "a", "timestamp": "2024-01-01T00:00:00Z", "Meta": {"K": 1}}))
+    paths = md.refresh_all(spark, str(land), str(tmp_path / "lake"))
+    assert spark.read.parquet(paths["silver_header"]).count() == 1
+    assert not any(k.startswith("silver/") for k in paths)
