@@ -79,8 +79,9 @@ def stream_change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream-feed")
     log = _event_log(spark, sf_dir, root)
     out = f"{root}/feed"
-    rn.run_stream(rn.stream_changes(spark, log.path), out, f"{root}/ckpt/feed")
-    feed = spark.read.parquet(out)
+    changes = rn.stream_changes(spark, log.path)
+    rn.run_stream(changes, out, f"{root}/ckpt/feed")
+    feed = rn.read_sink(spark, out, changes.schema)
     return q._event_out(feed, ["user_id", "event_id", "ts", "event_type", "value", "props"])
 
 
