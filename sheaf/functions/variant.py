@@ -12,6 +12,12 @@ from pyspark.sql import functions as F
 ColumnOrName = Column | str
 
 
+def col_of(name: str) -> Column:
+    """A column by its exact name, whatever characters it holds (dots,
+    spaces, quotes, backticks): never parsed as a nested path."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 

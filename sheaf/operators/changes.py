@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.variant import col_of
 from ..session import reliable_checkpoint
 
 SEQ = "_seq"
@@ -24,6 +25,9 @@ START_AT = "__START_AT"
 END_AT = "__END_AT"
 
 
+_q = col_of  # a column by its exact name
+
+
 def _as_list(x) -> list[str]:
     if x is None:
         return []
@@ -43,7 +47,7 @@ def _prepare(changes: DataFrame, keys, sequence_by, tie_break, delete_when, trun
     value_cols = [c for c in changes.columns if c not in keys]
     src = changes.select(
         "*",
-        F.struct(*[F.col(c) for c in seq_cols]).alias(SEQ),
+        F.struct(*[_q(c) for c in seq_cols]).alias(SEQ),
         _predicate(delete_when).alias(DEL),
         _predicate(truncate_when).alias(TRUNC),
     )
@@ -103,27 +107,28 @@ def apply_changes(
 
 def _latest(src: DataFrame, keys: list[str], value_cols: list[str], out_cols: list[str], ignore_null_updates: bool) -> DataFrame:
     if not ignore_null_updates:
-        last = F.max_by(F.struct(*[F.col(c) for c in value_cols], F.col(DEL)), F.col(SEQ)).alias("_last")
-        agg = src.groupBy(*keys).agg(last)
-        return agg.filter(~F.col(f"_last.{DEL}")).select(*keys, *[F.col("_last")[c].alias(c) for c in out_cols])
+        last = F.max_by(F.struct(*[_q(c) for c in value_cols], F.col(DEL)), F.col(SEQ)).alias("_last")
+        agg = src.groupBy(*[_q(k) for k in keys]).agg(last)
+        return agg.filter(~F.col("_last")[DEL]).select(*[_q(k) for k in keys], *[F.col("_last")[c].alias(c) for c in out_cols])
     # Per column: the latest non-NULL value after the last delete.
     aggs = [
         F.max_by(F.col(DEL), F.col(SEQ)).alias("_is_deleted"),
         F.max(F.when(F.col(DEL), F.col(SEQ))).alias("_last_delete"),
     ]
+    slot = {c: f"_v{i}" for i, c in enumerate(value_cols)}
     for c in value_cols:
-        keep = ~F.col(DEL) & F.col(c).isNotNull()
-        aggs.append(F.max_by(F.struct(F.col(SEQ).alias("s"), F.col(c).alias("v")), F.when(keep, F.col(SEQ))).alias(f"_v_{c}"))
-    agg = src.groupBy(*keys).agg(*aggs)
+        keep = ~F.col(DEL) & _q(c).isNotNull()
+        aggs.append(F.max_by(F.struct(F.col(SEQ).alias("s"), _q(c).alias("v")), F.when(keep, F.col(SEQ))).alias(slot[c]))
+    agg = src.groupBy(*[_q(k) for k in keys]).agg(*aggs)
     cols = [
-        F.when(F.col("_last_delete").isNull() | (F.col(f"_v_{c}.s") > F.col("_last_delete")), F.col(f"_v_{c}.v")).alias(c)
+        F.when(F.col("_last_delete").isNull() | (F.col(slot[c])["s"] > F.col("_last_delete")), F.col(slot[c])["v"]).alias(c)
         for c in out_cols
     ]
-    return agg.filter(~F.col("_is_deleted")).select(*keys, *cols)
+    return agg.filter(~F.col("_is_deleted")).select(*[_q(k) for k in keys], *cols)
 
 
 def _tracked_json(tracked: list[str]) -> Column:
-    return F.to_json(F.struct(*[F.col(c) for c in tracked])) if tracked else F.lit("")
+    return F.to_json(F.struct(*[_q(c) for c in tracked])) if tracked else F.lit("")
 
 
 def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFrame:
@@ -144,12 +149,13 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
         n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     except (TypeError, ValueError):  # e.g. "auto" on some platforms
         n = spark.sparkContext.defaultParallelism
-    seq_value = F.col(seq[0]) if len(seq) == 1 else F.struct(*[F.col(c) for c in seq])
-    rows = src.select(*keys, *value_cols, SEQ, DEL, seq_value.alias("_seq_value"), _tracked_json(tracked).alias("_tj"))
-    rows = rows.repartitionByRange(n, *[F.col(k) for k in keys], F.col(SEQ)).withColumn("_pid", F.spark_partition_id())
+    kq = [_q(k) for k in keys]
+    seq_value = _q(seq[0]) if len(seq) == 1 else F.struct(*[_q(c) for c in seq])
+    rows = src.select(*kq, *[_q(c) for c in value_cols], SEQ, DEL, seq_value.alias("_seq_value"), _tracked_json(tracked).alias("_tj"))
+    rows = rows.repartitionByRange(n, *kq, F.col(SEQ)).withColumn("_pid", F.spark_partition_id())
 
     # Within a segment.
-    w = Window.partitionBy(*keys, "_pid").orderBy(SEQ)
+    w = Window.partitionBy(*kq, F.col("_pid")).orderBy(SEQ)
     prev_tj, prev_del = F.lag("_tj").over(w), F.lag(DEL).over(w)
     local_start = ~F.col(DEL) & (prev_del | (F.col("_tj") != prev_tj))  # NULL on a segment's first row
     rows = rows.select(
@@ -168,7 +174,7 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
     rows = reliable_checkpoint(rows)
 
     # One row per segment, then carries across the segments of a key.
-    seg = rows.groupBy(*keys, "_pid").agg(
+    seg = rows.groupBy(*kq, F.col("_pid")).agg(
         F.min_by("_tj", F.col(SEQ)).alias("_first_tj"),
         F.min_by(DEL, F.col(SEQ)).alias("_first_del"),
         F.min_by("_seq_value", F.col(SEQ)).alias("_first_seq_value"),
@@ -176,11 +182,11 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
         F.max_by(DEL, F.col(SEQ)).alias("_last_del"),
         F.sum(F.col("_local_start").cast("long")).alias("_n_local"),
     )
-    ws = Window.partitionBy(*keys).orderBy("_pid")
+    ws = Window.partitionBy(*kq).orderBy("_pid")
     before_tj, before_del = F.lag("_last_tj").over(ws), F.lag("_last_del").over(ws)
     first_start = ~F.col("_first_del") & (before_tj.isNull() | before_del | (F.col("_first_tj") != before_tj))
     seg = seg.select(
-        *keys, "_pid",
+        *kq, "_pid",
         first_start.alias("_first_start"),
         F.lead("_first_seq_value").over(ws).alias("_next_segment_seq"),
         (F.col("_n_local") + first_start.cast("long")).alias("_n_starts"),
@@ -192,13 +198,15 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
     joined = rows.join(seg, [*keys, "_pid"])
     version = F.col("_carry") + F.col("_first_start").cast("long") + F.col("_local_cum")
     next_seq = F.when(F.col("_last_row"), F.col("_next_segment_seq")).otherwise(F.col("_next_local"))
-    live = joined.filter(~F.col(DEL)).select(*keys, *value_cols, SEQ, "_seq_value", version.alias("_version"), next_seq.alias("_next_seq"))
-    versions = live.groupBy(*keys, "_version").agg(
+    live = joined.filter(~F.col(DEL)).select(
+        *kq, *[_q(c) for c in value_cols], SEQ, "_seq_value", version.alias("_version"), next_seq.alias("_next_seq")
+    )
+    versions = live.groupBy(*kq, F.col("_version")).agg(
         F.min_by("_seq_value", F.col(SEQ)).alias(START_AT),
-        F.max_by(F.struct(*[F.col(c) for c in value_cols], F.col("_next_seq")), F.col(SEQ)).alias("_last"),
+        F.max_by(F.struct(*[_q(c) for c in value_cols], F.col("_next_seq")), F.col(SEQ)).alias("_last"),
     )
     return versions.select(
-        *keys,
+        *kq,
         *[F.col("_last")[c].alias(c) for c in out_cols],
         F.col(START_AT),
         F.col("_last._next_seq").alias(END_AT),
@@ -212,8 +220,8 @@ def change_feed(old: DataFrame, new: DataFrame, keys, version: int | None = None
     Values are compared through their JSON text, so VARIANT cells work."""
     keys = _as_list(keys)
     vals = [c for c in new.columns if c not in keys]
-    o = old.select(*keys, F.struct(*[F.col(c) for c in vals]).alias("_o"))
-    n = new.select(*keys, F.struct(*[F.col(c) for c in vals]).alias("_n"))
+    o = old.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in vals]).alias("_o"))
+    n = new.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in vals]).alias("_n"))
     j = o.join(n, keys, "full_outer")
     ins = F.col("_o").isNull()
     dele = F.col("_n").isNull()
@@ -224,9 +232,9 @@ def change_feed(old: DataFrame, new: DataFrame, keys, version: int | None = None
         .when(dele, F.array(item("delete", "_o")))
         .when(upd, F.array(item("update_preimage", "_o"), item("update_postimage", "_n")))
     )  # no match -> NULL -> explode emits nothing
-    ex = j.select(*keys, F.explode(items).alias("_c"))
+    ex = j.select(*[_q(k) for k in keys], F.explode(items).alias("_c"))
     return ex.select(
-        *keys,
+        *[_q(k) for k in keys],
         *[F.col("_c.v")[c].alias(c) for c in vals],
         F.col("_c.t").alias("_change_type"),
         F.lit(version).cast("bigint").alias("_commit_version"),

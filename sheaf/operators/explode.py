@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variant import field
+from ..functions.variant import col_of, field
 
 DOCUMENT_COLUMNS = ["fileMetadata", "ingestDate", "ingestTime", "bundleUUID", "bundle_id", "bundle_timestamp"]
 
@@ -127,9 +127,9 @@ def explode_header(bronze: DataFrame, keep_empty: bool = False, lenient_time: bo
 
 def explode_json_column(df: DataFrame, text_col: str, keep: list[str], keep_empty: bool = False) -> DataFrame:
     """Explode a JSON-text column of any table into (keep..., pos, key, value)."""
-    parsed = df.select(*keep, F.parse_json(F.col(text_col)).alias("_doc"))
+    parsed = df.select(*[col_of(k) for k in keep], F.parse_json(col_of(text_col)).alias("_doc"))
     x = _explode(parsed, F.col("_doc"), "x", keep_empty)
-    return x.select(*keep, F.col("x.pos").alias("pos"), F.col("x.key").alias("key"), F.col("x.value").alias("value"))
+    return x.select(*[col_of(k) for k in keep], F.col("x.pos").alias("pos"), F.col("x.key").alias("key"), F.col("x.value").alias("value"))
 
 
 # The long tables in Spark SQL: each document joined laterally with the

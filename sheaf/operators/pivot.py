@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variant import field, json_path
+from ..functions.variant import col_of, field, json_path
 from .explode import UNIQUE_URLS
 
 RESOURCE_GROUP = ["bundleUUID", "bundle_timestamp"]
@@ -49,11 +49,6 @@ def column_names(keys: list[str], reserved: list[str]) -> dict[str, str]:
     return out
 
 
-def col_of(name: str) -> Column:
-    """Column by exact name, whatever characters it holds (dots, quotes)."""
-    return F.col("`" + name.replace("`", "``") + "`")
-
-
 def _first_value(k: str, order: tuple[str, ...]) -> Column:
     hit = F.col("key") == F.lit(k)
     return F.min_by(F.when(hit, F.col("value")), F.when(hit, F.struct(*order)))

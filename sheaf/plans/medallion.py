@@ -18,6 +18,7 @@ from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
 from ..session import scratch_path, session_id, variant_shredding
+from ..functions.variant import col_of
 from ..sources import documents as docs
 from ..sources import fixtures as fx
 
@@ -87,9 +88,9 @@ def write_table(
         from pyspark.sql.types import _parse_datatype_string
 
         st = _parse_datatype_string(schema)
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
+        df = df.select(*[col_of(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
     if cluster_by:
-        df = df.sortWithinPartitions(*cluster_by)
+        df = df.sortWithinPartitions(*[col_of(c) for c in cluster_by])
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import changes as ch
 from ..operators import explode as ex
 from ..operators import pivot as pv
+from ..functions.variant import col_of
 from ..session import variant_shredding
 from ..sources import documents as docs
 
@@ -206,10 +207,10 @@ class ChangeLog:
         upto = log.agg(F.max("batch_id")).first()[0]
         if upto is None:
             return -1
-        seq = F.struct(*[F.col(c) for c in self.sequence_by + self.tie_break + ["batch_id"]])
+        seq = F.struct(*[col_of(c) for c in self.sequence_by + self.tie_break + ["batch_id"]])
         cols = [c for c in log.columns if c not in self.keys]
-        latest = log.groupBy(*self.keys).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), seq).alias("_r"))
-        latest = latest.select(*self.keys, *[F.col("_r")[c].alias(c) for c in cols])
+        latest = log.groupBy(*[col_of(k) for k in self.keys]).agg(F.max_by(F.struct(*[col_of(c) for c in cols]), seq).alias("_r"))
+        latest = latest.select(*[col_of(k) for k in self.keys], *[F.col("_r")[c].alias(c) for c in cols])
         latest.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
         return upto
 

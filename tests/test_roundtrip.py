@@ -34,3 +34,27 @@ def test_explode_pivot_rebuild(spark, tmp_path_factory, resources):
             r = row.asDict()
             rebuilt[r["T_uuid"]] = {k: json.loads(r[names[k]]) for k in keys if r[names[k]] is not None}
         assert rebuilt == {f"u{i}": r for i, r in enumerate(resources)}, method
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(metas=st.lists(st.dictionaries(key, value, max_size=4), min_size=1, max_size=4))
+def test_header_explode_pivot_rebuild(spark, tmp_path_factory, metas):
+    from sheaf.plans import medallion as md
+
+    d = tmp_path_factory.mktemp("hdr")
+    for i, m in enumerate(metas):
+        (d / f"{i}.json").write_text(json.dumps({"id": f"d{i}", "timestamp": "2024-01-01T00:00:00Z", "Meta": m}))
+    b = docs.to_bronze(docs.read_documents(spark, str(d)), "t", id_mode="content")
+    h = ex.explode_header(b)
+    keys = sm.discover_header_keys(sm.header_keys(h))
+    names = pv.column_names(keys, pv.HEADER_GROUP)
+    everyone = {f"d{i}": m for i, m in enumerate(metas)}
+    with_keys = {k: m for k, m in everyone.items() if m}  # an empty Meta gives no long rows, so no regrouped row
+    for wide, expected in (
+        (pv.pivot_header(h, keys), with_keys),
+        (md.header_silver(h, keys), with_keys),
+        (pv.pivot_header(None, keys, method="project", bronze=b), everyone),
+    ):
+        rows = {r["bundle_id"]: r for r in pv.comparable(wide).collect()}
+        rebuilt = {bid: {k: json.loads(r[names[k]]) for k in keys if r[names[k]] is not None} for bid, r in rows.items()}
+        assert rebuilt == expected

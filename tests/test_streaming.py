@@ -218,3 +218,17 @@ def test_refresh_all_with_documents_without_entries(spark, tmp_path):
     paths = md.refresh_all(spark, str(land), str(tmp_path / "lake"))
     assert spark.read.parquet(paths["silver_header"]).count() == 1
     assert not any(k.startswith("silver/") for k in paths)
+
+
+def test_incremental_silver_with_odd_key_names_and_compaction(spark, tmp_path):
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(_doc("a", [{"fullUrl": "u1", "resource": {"resourceType": "T", "a.b": 1, "c d": "x"}}]))
+    bronze, root = str(tmp_path / "bronze"), str(tmp_path / "silver")
+    rn.ingest_documents(spark, str(land), bronze, str(tmp_path / "ck1"))
+    rn.silver_stream(spark, bronze, root, str(tmp_path / "ck2"), compact_every=1)
+    (land / "b.json").write_text(_doc("b", [{"fullUrl": "u2", "resource": {"resourceType": "T", "a.b": 2}}]))
+    rn.ingest_documents(spark, str(land), bronze, str(tmp_path / "ck1"))
+    rn.silver_stream(spark, bronze, root, str(tmp_path / "ck2"), compact_every=1)
+    t = pv.typed(rn.silver_table(spark, root, "T"), {"a.b": "int", "c d": "string"})
+    assert sorted((r["T_uuid"], r["a.b"], r["c d"]) for r in t.collect()) == [("u1", 1, "x"), ("u2", 2, None)]
