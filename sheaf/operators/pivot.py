@@ -109,7 +109,8 @@ def pivot_resource(
         return pivot_long(f, group, keys)
     if method == "pivot":
         names = column_names(keys, group)
-        f = f.filter(F.col("key") != "resourceType")
+        # every long row keeps its group (an entry whose only key is the
+        # discriminator still gives a row); the value list leaves that key out
         if not keys:
             return f.select(*group).distinct()
         wide = f.groupBy(*group).pivot("key", keys).agg(F.min_by("value", F.struct("entry_pos", "pos")))
