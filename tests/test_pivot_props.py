@@ -5,6 +5,7 @@ import json
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sheaf.operators import changes as ch
 from sheaf.operators import explode as ex
@@ -75,3 +76,43 @@ def test_change_log_equals_one_shot_for_any_split(spark, tmp_path_factory, rows,
     got = sorted(tuple(r) for r in log.current(delete_when="op = 'd'").collect())
     exp = sorted(tuple(r) for r in ch.apply_changes(spark.createDataFrame(rows, s), "k", "seq", delete_when="op = 'd'").collect())
     assert got == exp
+
+
+state_rows = st.dictionaries(st.integers(0, 5), st.sampled_from(["a", "b", None]), max_size=5)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(old=state_rows, new=state_rows)
+def test_change_feed_equals_brute_force(spark, old, new):
+    s = "k INT, v STRING"
+    o = spark.createDataFrame(sorted(old.items()), s)
+    n = spark.createDataFrame(sorted(new.items()), s)
+    got = [(r.k, r.v, r._change_type) for r in ch.change_feed(o, n, "k").collect()]
+    exp = []
+    for k in set(old) | set(new):
+        if k not in old:
+            exp.append((k, new[k], "insert"))
+        elif k not in new:
+            exp.append((k, old[k], "delete"))
+        elif old[k] != new[k]:
+            exp += [(k, old[k], "update_preimage"), (k, new[k], "update_postimage")]
+    key = lambda t: (t[0], t[2], str(t[1]))
+    assert sorted(got, key=key) == sorted(exp, key=key)
+
+
+bag = st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["x", "y"])), max_size=6)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(a=bag, b=bag)
+def test_wide_difference_is_the_multiset_difference(spark, a, b):
+    from collections import Counter
+
+    s = "k INT, j STRING"
+    da = spark.createDataFrame(a, s).select("k", F.parse_json(F.to_json(F.struct("j"))).alias("v"))
+    db = spark.createDataFrame(b, s).select("k", F.parse_json(F.to_json(F.struct("j"))).alias("v"))
+    got = Counter((r.k, json.loads(r.v)["j"], r.side) for r in pv.wide_difference(da, db).collect())
+    ca, cb = Counter(a), Counter(b)
+    exp = Counter({(k, j, "a_only"): n for (k, j), n in (ca - cb).items()})
+    exp.update({(k, j, "b_only"): n for (k, j), n in (cb - ca).items()})
+    assert got == exp
