@@ -192,3 +192,41 @@ def test_ignore_nulls_and_truncate_equal_brute_force(spark, rows):
         if k not in latest or s > latest[k][0]:
             latest[k] = (s, v)
     assert got == sorted(((k, v) for k, (s, v) in latest.items()), key=lambda t: (t[0], t[1] is None, t[1] or ""))
+
+
+two_col_rows = st.lists(
+    st.tuples(st.integers(0, 2), st.integers(0, 30), st.sampled_from(["a", "b"]), st.integers(0, 3), st.sampled_from(["u", "u", "d"])),
+    min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1]),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=two_col_rows, parts=st.integers(1, 4))
+def test_history_untracked_columns_update_in_place(spark, rows, parts):
+    """Only the tracked column opens versions; the untracked one takes the
+    last value inside its version."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        df = spark.createDataFrame(rows, "k INT, seq INT, v STRING, w INT, op STRING")
+        out = ch.apply_changes(df, "k", "seq", scd=2, delete_when="op = 'd'", track=["v"], except_columns=["op", "seq"])
+        got = state(out.select("k", "v", "w", ch.START_AT, ch.END_AT))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    exp = []
+    for k in sorted({r[0] for r in rows}):
+        rs = sorted((r for r in rows if r[0] == k), key=lambda r: r[1])
+        cur, prev = None, None
+        for r in rs:
+            if r[4] == "d":
+                if cur is not None and cur[4] is None and prev is not None and prev[4] != "d":
+                    cur[4] = r[1]
+            elif prev is None or prev[4] == "d" or prev[2] != r[2]:
+                if cur is not None and cur[4] is None:
+                    cur[4] = r[1]
+                cur = [k, r[2], r[3], r[1], None]
+                exp.append(cur)
+            else:
+                cur[2] = r[3]
+            prev = r
+    assert got == sorted(tuple(x) for x in exp)
