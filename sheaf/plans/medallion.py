@@ -17,7 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
-from ..session import scratch_path, session_id, variant_shredding
+from ..session import scratch_path, session_id, session_settings, variant_shredding
 from ..functions.variant import col_of
 from ..sources import documents as docs
 from ..sources import fixtures as fx
@@ -77,13 +77,18 @@ def write_table(
     partition_by: list[str] | None = None,
     cluster_by: list[str] | None = None,
     schema: str | None = None,
+    spark_conf: dict[str, str] | None = None,
+    comment: str | None = None,
+    properties: dict[str, str] | None = None,
 ) -> None:
     """Persist a table as parquet.
 
     ``cluster_by`` sorts rows inside each output file (no extra shuffle, so a
     hot key never lands in one task); parquet min/max statistics then skip
     row groups on those columns. ``schema`` ('a INT, b STRING') selects and
-    casts to a declared layout."""
+    casts to a declared layout. ``spark_conf`` holds for this write only.
+    ``comment`` and ``properties`` are kept beside the data in
+    ``_table_info`` (see :func:`table_info`)."""
     if schema is not None:
         from pyspark.sql.types import _parse_datatype_string
 
@@ -94,7 +99,29 @@ def write_table(
     w = df.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with session_settings(df.sparkSession, spark_conf):
+        w.parquet(path)
+    if comment is not None or properties:
+        import json
+
+        info = df.sparkSession.createDataFrame(
+            [(comment, json.dumps(properties or {}, sort_keys=True))], "comment STRING, properties STRING"
+        )
+        info.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/_table_info")
+
+
+def table_info(spark: SparkSession, path: str) -> dict:
+    """Comment and properties stored by :func:`write_table` (empty if none).
+    The ``_table_info`` folder is ignored by parquet reads of the table."""
+    import json
+
+    try:
+        row = spark.read.schema("comment STRING, properties STRING").json(f"{path.rstrip('/')}/_table_info").first()
+    except Exception:  # no info written
+        return {}
+    if row is None:
+        return {}
+    return {"comment": row.comment, "properties": json.loads(row.properties or "{}")}
 
 
 def refresh_summaries(fields: DataFrame, header: DataFrame) -> dict[str, DataFrame]:
@@ -168,6 +195,7 @@ def build_silver(
     entries: DataFrame | None = None,
     out_path: str | None = None,
     persist_source: bool = True,
+    write_options: dict | None = None,
 ) -> dict[str, DataFrame]:
     """Fan out: one silver table per resource type. Types and key lists come
     from the summaries unless given.
@@ -202,7 +230,8 @@ def build_silver(
     result = {}
     for t, df in out.items():
         path = f"{out_path.rstrip('/')}/{t}"
-        write_table(df, path, cluster_by=["bundleUUID", f"{t}_uuid"])
+        opts = {"cluster_by": ["bundleUUID", f"{t}_uuid"], "comment": f"{t} resource data", **(write_options or {})}
+        write_table(df, path, **opts)
         result[t] = spark.read.parquet(path)
     return result
 

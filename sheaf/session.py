@@ -92,21 +92,19 @@ _SHREDDING = {
 }
 
 
-class variant_shredding:
-    """Context manager: VARIANT columns written inside it are shredded (the
-    common paths become typed parquet columns), so later path reads fetch
-    only those columns. The session's own settings are restored after."""
+class session_settings:
+    """Context manager: the given session settings hold inside it; the
+    session's own values are restored after."""
 
-    def __init__(self, spark: SparkSession, enabled: bool = True):
+    def __init__(self, spark: SparkSession, settings: dict[str, str] | None):
         self.spark = spark
-        self.enabled = enabled
+        self.settings = dict(settings or {})
         self._old: dict[str, str | None] = {}
 
     def __enter__(self):
-        if self.enabled:
-            for k, v in _SHREDDING.items():
-                self._old[k] = self.spark.conf.get(k, None)
-                self.spark.conf.set(k, v)
+        for k, v in self.settings.items():
+            self._old[k] = self.spark.conf.get(k, None)
+            self.spark.conf.set(k, str(v))
         return self
 
     def __exit__(self, *exc):
@@ -116,3 +114,12 @@ class variant_shredding:
             else:
                 self.spark.conf.set(k, v)
         return False
+
+
+class variant_shredding(session_settings):
+    """VARIANT columns written inside it are shredded (the common paths
+    become typed parquet columns), so later path reads fetch only those
+    columns."""
+
+    def __init__(self, spark: SparkSession, enabled: bool = True):
+        super().__init__(spark, _SHREDDING if enabled else None)

@@ -56,3 +56,15 @@ def test_name_helpers(spark):
     df = spark.createDataFrame([(1, 2, 3)], "a INT, pos INT, key INT")
     assert fv.columns_except(df, ["pos", "key"]) == ["a"]
     assert fv.split_names(" Patient, Encounter,,Observation ") == ["Patient", "Encounter", "Observation"]
+
+
+def test_write_table_keeps_comment_properties_and_applies_conf(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "k INT, v STRING")
+    path = str(tmp_path / "t")
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    md.write_table(df, path, spark_conf={"spark.sql.parquet.compression.codec": "gzip"},
+                   comment="Order silver", properties={"quality": "silver"})
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == before
+    assert any(f.endswith(".gz.parquet") for f in spark.read.parquet(path).inputFiles())
+    assert md.table_info(spark, path) == {"comment": "Order silver", "properties": {"quality": "silver"}}
+    assert spark.read.parquet(path).count() == 1  # the info folder is not read as data
