@@ -3,7 +3,8 @@
 Each builder returns a *raw* document DataFrame shaped like a file stream:
 ``value`` (the JSON text of one document) plus the file-metadata columns a
 file source gives (``file_path``, ``file_name``, ``file_size``,
-``file_modification_time``). The bronze step treats both the same way.
+``file_block_start``, ``file_block_length``, ``file_modification_time``).
+The bronze step treats both the same way.
 
 Documents are assembled with a group-by on the document key. So that no
 single key can pull an unbounded list into one row or one task, a key whose
