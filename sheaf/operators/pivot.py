@@ -148,8 +148,20 @@ def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], gr
     return direct.unionByName(merged) if checked else merged
 
 
-def pivot_header(header: DataFrame | None, keys: list[str], method: str = "regroup", bronze: DataFrame | None = None) -> DataFrame:
-    """Wide header table: document columns + one VARIANT column per header key."""
+def pivot_header(
+    header: DataFrame | None,
+    keys: list[str],
+    method: str = "regroup",
+    bronze: DataFrame | None = None,
+    only_with_keys: bool = False,
+) -> DataFrame:
+    """Wide header table: document columns + one VARIANT column per header key.
+
+    ``project`` reads ``$.Meta.<key>`` straight from bronze, one row per
+    document, no shuffle. With ``only_with_keys`` it keeps just the documents
+    whose ``Meta`` gives long rows (a non-empty object or array), which is
+    exactly the regroup result when no two bronze rows share a document id
+    (header keys are unique inside ``Meta``)."""
     if method == "project":
         if bronze is None:
             raise ValueError("method='project' needs the bronze table")
@@ -157,6 +169,9 @@ def pivot_header(header: DataFrame | None, keys: list[str], method: str = "regro
 
         names = column_names(keys, HEADER_GROUP)
         d = with_document_columns(bronze)
+        if only_with_keys:
+            meta = lambda t: F.coalesce(F.size(F.try_variant_get(F.col("resource"), "$.Meta", t)), F.lit(0))
+            d = d.filter((meta("map<string,variant>") > 0) | (meta("array<variant>") > 0))
         return d.select(*HEADER_GROUP, *[field("resource", json_path("Meta", k)).alias(names[k]) for k in keys])
     if header is None:
         raise ValueError("the long header table is needed")

@@ -156,11 +156,22 @@ def stage(df: DataFrame, name: str, temporary: bool = True, path: str | None = N
     return df.sparkSession.read.parquet(path)
 
 
-def header_silver(header: DataFrame, keys: list[str] | None = None, expect_drop: dict[str, str] | None = None) -> DataFrame:
+def header_silver(
+    header: DataFrame | None,
+    keys: list[str] | None = None,
+    expect_drop: dict[str, str] | None = None,
+    bronze: DataFrame | None = None,
+) -> DataFrame:
     """Header wide stage + latest per document (key bundleUUID, sequence
-    bundle_timestamp), rows with a NULL key dropped."""
-    keys = keys if keys is not None else sm.discover_header_keys(sm.header_keys(header))
-    stage = pv.pivot_header(header, keys)
+    bundle_timestamp), rows with a NULL key dropped. Given ``bronze``, the
+    stage is a projection of the header keys (no regroup shuffle; the change
+    application's shuffle is the only one)."""
+    if keys is None:
+        keys = sm.discover_header_keys(sm.header_keys(header if header is not None else ex.explode_header(bronze)))
+    if bronze is not None:
+        stage = pv.pivot_header(None, keys, method="project", bronze=bronze, only_with_keys=True)
+    else:
+        stage = pv.pivot_header(header, keys)
     rules = expect_drop if expect_drop is not None else {"valid_bundleUUID": "bundleUUID IS NOT NULL"}
     stage, _ = q.expect(stage, drop=rules)
     return ch.apply_changes(stage, keys=["bundleUUID"], sequence_by="bundle_timestamp")
@@ -285,7 +296,8 @@ def refresh_all(
     silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False)
     header_keys = sm.discover_header_keys(spark.read.parquet(paths["meta_keys"]))
     if header_keys:
-        write_table(header_silver(header, header_keys), f"{b}/silver_header", cluster_by=["bundleUUID"])
+        bronze = spark.read.parquet(f"{b}/bronze")
+        write_table(header_silver(header, header_keys, bronze=bronze), f"{b}/silver_header", cluster_by=["bundleUUID"])
         paths["silver_header"] = f"{b}/silver_header"
     paths.update({f"silver/{t}": f"{b}/silver/{t}" for t in silver})
     paths.update({"bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})

@@ -291,7 +291,7 @@ def change_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def header_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = md.header_silver(ex.explode_header(_bronze(spark, sf_dir)), HEADER_KEYS)
+    s = md.header_silver(None, HEADER_KEYS, bronze=_bronze(spark, sf_dir))
     return pv.typed(s, HEADER_TYPES).select("bundle_id", _doc_time(), *HEADER_KEYS)
 
 

@@ -53,6 +53,8 @@ def test_header_explode_pivot_rebuild(spark, tmp_path_factory, metas):
     for wide, expected in (
         (pv.pivot_header(h, keys), with_keys),
         (md.header_silver(h, keys), with_keys),
+        (md.header_silver(None, keys, bronze=b), with_keys),
+        (pv.pivot_header(None, keys, method="project", bronze=b, only_with_keys=True), with_keys),
         (pv.pivot_header(None, keys, method="project", bronze=b), everyone),
     ):
         rows = {r["bundle_id"]: r for r in pv.comparable(wide).collect()}
