@@ -105,9 +105,14 @@ def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, head
     The fields table is partitioned by resource type so per-type reads
     prune whole folders. Returns batch readers of the two tables."""
     fields = ex.explode_fields(stream_table(spark, bronze_path))
-    run_stream(fields, fields_path, f"{checkpoint}/fields", partition_by=["resourceType"])
     header = ex.explode_header(stream_table(spark, bronze_path))
-    run_stream(header, header_path, f"{checkpoint}/header")
+    # the two streams are independent: run them side by side
+    queries = [
+        run_stream(fields, fields_path, f"{checkpoint}/fields", partition_by=["resourceType"], wait=False),
+        run_stream(header, header_path, f"{checkpoint}/header", wait=False),
+    ]
+    for query in queries:
+        query.awaitTermination()
     return read_sink(spark, fields_path, fields.schema), read_sink(spark, header_path, header.schema)
 
 
