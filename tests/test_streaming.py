@@ -259,3 +259,16 @@ def test_change_log_replay_after_a_crash_leaves_no_duplicates(spark, tmp_path):
     rn.run_batches(stream(), flaky, str(tmp_path / "ck"))  # restart: batch 1 replays
     assert log.changes().count() == len(rows)
     assert sorted(tuple(r) for r in log.current().collect()) == [(0, 4, "v4"), (1, 5, "v5")]
+
+
+def test_change_log_history_read(spark, tmp_path):
+    from sheaf.operators import changes as ch
+
+    s = "k INT, seq INT, v STRING"
+    log = rn.ChangeLog(spark, str(tmp_path / "log"), keys="k", sequence_by="seq")
+    log.append(spark.createDataFrame([(1, 1, "a"), (1, 2, "a")], s), 0)
+    log.append(spark.createDataFrame([(1, 3, "b")], s), 1)
+    hist = log.current(scd=2, track=["v"])
+    assert "batch_id" not in hist.columns
+    got = sorted((r.k, r.v, r[ch.START_AT], r[ch.END_AT]) for r in hist.collect())
+    assert got == [(1, "a", 1, 3), (1, "b", 3, None)]
