@@ -42,7 +42,7 @@ UNIQUE_URLS = "doc_unique_urls"
 def unique_urls(resource: Column) -> Column:
     """True when every entry of the document has its own url (NULL urls
     count as equal). NULL when ``entry`` is not an array. A cast of the
-    entry array to ``array<struct<fullUrl>>`` reads only the urls."""
+    entry array to ``array<struct<fullUrl>>`` extracts just the urls."""
     urls = F.try_variant_get(resource, "$.entry", "array<struct<fullUrl:string>>")["fullUrl"]
     return F.size(F.array_distinct(urls)) == F.size(urls)
 

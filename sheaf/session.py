@@ -118,8 +118,8 @@ class session_settings:
 
 class variant_shredding(session_settings):
     """VARIANT columns written inside it are shredded (the common paths
-    become typed parquet columns), so later path reads fetch only those
-    columns."""
+    become typed parquet columns), so later path reads that Spark pushes
+    into the scan can use those columns instead of the whole value."""
 
     def __init__(self, spark: SparkSession, enabled: bool = True):
         super().__init__(spark, _SHREDDING if enabled else None)

@@ -85,7 +85,8 @@ def ingest_documents(
     """New files under ``source`` (plus an optional ``sub_folder``) -> bronze
     parquet at ``bronze_path``; ``datasource`` defaults to that folder with a
     trailing slash. With ``shred`` the VARIANT column is written shredded, so
-    later path reads (id, timestamp, Meta, entry) fetch only those columns."""
+    later path reads (id, timestamp, Meta, entry) are pushed into the scan
+    as typed columns."""
     folder = docs.source_path(source, sub_folder)
     raw = docs.stream_documents(spark, folder, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
     bronze = docs.to_bronze(raw, datasource or folder, id_mode=id_mode, on_error=on_error)
