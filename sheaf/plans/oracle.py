@@ -112,7 +112,6 @@ SQL: dict[str, str] = {
         SELECT CAST(pos.doc_key AS VARCHAR) AS bundle_id, pos.url AS fullUrl, pos.rtype AS resourceType, pos.entry_pos,
                CAST(f.p AS INTEGER) AS pos, f.key, f.value_kind, f.value_string, f.value_number
         FROM pos JOIN ({FIELD_ROWS}) f ON f.url = pos.url""",
-    "document_fields_sql": None,
     "fields_of_type": f"""{CDOCS}
         SELECT CAST(pos.doc_key AS VARCHAR) AS bundle_id, pos.url AS Order_uuid, f.key, f.value_kind, f.value_string, f.value_number
         FROM pos JOIN ({FIELD_ROWS}) f ON f.url = pos.url WHERE pos.rtype = 'Order'""",
@@ -277,7 +276,7 @@ SQL: dict[str, str] = {
                        FROM doc GROUP BY doc_key, part) ORDER BY bundle_id LIMIT 10""",
 }
 
-SQL["document_fields_sql"] = SQL["document_fields"]
+SQL["document_fields_sql"] = SQL["document_fields"]  # the SQL form of the same long table
 
 STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
