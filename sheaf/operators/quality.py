@@ -25,15 +25,24 @@ def expect(
     fail: dict[str, str] | None = None,
     name: str | None = None,
 ) -> tuple[DataFrame, Observation | None]:
-    """Apply expectations. Returns the checked DataFrame and, when any
-    expectation is given, an ``Observation`` whose metrics (after an action)
-    hold ``<name>_failed`` counts of every warn and drop rule."""
+    """Apply expectations. Returns the checked DataFrame and, for a batch
+    DataFrame with warn or drop rules, an ``Observation`` whose metrics
+    (after an action) hold ``<rule>_failed`` counts. A streaming DataFrame
+    reports the same counts per micro-batch under ``name`` in the query's
+    progress (observed metrics); no Observation is returned."""
     out = df
     counted = {**(warn or {}), **(drop or {})}
     obs = None
     if counted:
-        obs = Observation(name or f"expectations_{uuid.uuid4().hex[:8]}")
-        out = out.observe(obs, *[F.count_if(~_ok(r)).alias(f"{n}_failed") for n, r in counted.items()])
+        label = name or f"expectations_{uuid.uuid4().hex[:8]}"
+        metrics = [F.count_if(~_ok(r)).alias(f"{n}_failed") for n, r in counted.items()]
+        if df.isStreaming:
+            # streams report named metrics per micro-batch in the query's
+            # progress (``lastProgress["observedMetrics"][label]``)
+            out = out.observe(label, *metrics)
+        else:
+            obs = Observation(label)
+            out = out.observe(obs, *metrics)
     for n, r in (fail or {}).items():
         # A filter cannot be pruned away, unlike an unused projected column.
         out = out.filter(F.when(_ok(r), F.lit(True)).otherwise(F.raise_error(F.lit(f"expectation '{n}' failed: {r}"))))

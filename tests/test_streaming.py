@@ -272,3 +272,21 @@ def test_change_log_history_read(spark, tmp_path):
     assert "batch_id" not in hist.columns
     got = sorted((r.k, r.v, r[ch.START_AT], r[ch.END_AT]) for r in hist.collect())
     assert got == [(1, "a", 1, 3), (1, "b", 3, None)]
+
+
+def test_expectations_on_a_stream_report_per_batch_metrics(spark, tmp_path):
+    from sheaf.operators import quality as q
+
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text(_doc("a", [{"fullUrl": "u1", "resource": {"resourceType": "T", "x": 1}},
+                                            {"resource": {"resourceType": "T", "x": 2}}]))
+    bronze = str(tmp_path / "bronze")
+    rn.ingest_documents(spark, str(land), bronze, str(tmp_path / "ck1"))
+    entries = ex.explode_entries(rn.stream_table(spark, bronze)).select("bundleUUID", "fullUrl")
+    checked, obs = q.expect(entries, drop={"valid_url": "fullUrl IS NOT NULL"}, name="entry_checks")
+    assert obs is None
+    query = rn.run_stream(checked, str(tmp_path / "out"), str(tmp_path / "ck2"))
+    progress = [p for p in query.recentProgress if p.get("observedMetrics")]
+    assert progress and progress[-1]["observedMetrics"]["entry_checks"]["valid_url_failed"] == 1
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
