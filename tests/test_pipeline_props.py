@@ -53,7 +53,7 @@ def rows_of(df, id_of):
     return out
 
 
-@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(docs_=st.lists(document, min_size=1, max_size=4))
 def test_refresh_all_equals_the_model(spark, tmp_path_factory, docs_):
     d = tmp_path_factory.mktemp("pipe")

@@ -32,7 +32,7 @@ def brute(docs_):
     return {g: row for g, row in out.items()}
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(docs_=documents)
 def test_all_regroup_routes_equal_first_entry_wins(spark, tmp_path_factory, docs_):
     d = tmp_path_factory.mktemp("pv")
@@ -63,7 +63,7 @@ log_rows = st.lists(
 )
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=log_rows, cuts=st.lists(st.integers(1, 29), max_size=3), compact_at=st.sets(st.integers(0, 3)))
 def test_change_log_equals_one_shot_for_any_split(spark, tmp_path_factory, rows, cuts, compact_at):
     s = "k INT, seq INT, v STRING, op STRING"

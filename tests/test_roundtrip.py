@@ -17,7 +17,7 @@ value = st.one_of(scalar, st.lists(scalar, max_size=2), st.dictionaries(st.sampl
 resource = st.dictionaries(key, value, max_size=4).filter(lambda d: "resourceType" not in d)
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(resources=st.lists(resource, min_size=1, max_size=4))
 def test_explode_pivot_rebuild(spark, tmp_path_factory, resources):
     d = tmp_path_factory.mktemp("rt")
@@ -36,7 +36,7 @@ def test_explode_pivot_rebuild(spark, tmp_path_factory, resources):
         assert rebuilt == {f"u{i}": r for i, r in enumerate(resources)}, method
 
 
-@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(metas=st.lists(st.dictionaries(key, value, max_size=4), min_size=1, max_size=4))
 def test_header_explode_pivot_rebuild(spark, tmp_path_factory, metas):
     from sheaf.plans import medallion as md
