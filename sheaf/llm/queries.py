@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, line_quality, mixing, url_reputation
+from ..session import scratch_path
+from . import decontam, line_quality, mixing, url_reputation, warc
 from .common import table
 
 
@@ -14,6 +15,10 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.url_reputation(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
@@ -28,6 +33,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
+    "op2_warc": op2_warc,
     "op5_line_quality": op5_line_quality,
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
@@ -35,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": url_reputation.ORACLE,
+    "op2_warc": warc.ORACLE,
     "op5_line_quality": line_quality.ORACLE,
     "op9_decontaminate": decontam.ORACLE,
 }
