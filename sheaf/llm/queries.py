@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontam, line_quality, mixing, url_reputation, warc
+from . import decontam, line_quality, mixing, pii, url_reputation, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc": op2_warc,
+    "op3_personal_data": op3_personal_data,
     "op5_line_quality": op5_line_quality,
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
