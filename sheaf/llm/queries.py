@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontam, line_quality, mixing, pii, url_reputation, warc
+from . import decontam, line_quality, mixing, ngram_join, pii, url_reputation, warc
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc": op2_warc,
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_quality": op5_line_quality,
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 ORACLE_SQL: dict[str, str] = {
