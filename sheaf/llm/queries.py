@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import scratch_path
-from . import decontam, line_quality, mixing, ngram_join, pii, url_reputation, warc
+from . import decontam, line_quality, mixing, ngram_join, pii, training_order, url_reputation, warc
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order.training_order(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"))
+
+
 def op8_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_warc": op2_warc,
     "op3_personal_data": op3_personal_data,
     "op5_line_quality": op5_line_quality,
+    "op7_training_order": op7_training_order,
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
