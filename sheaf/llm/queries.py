@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, line_quality, mixing, ngram_join, pii, training_order, url_reputation, warc
+from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, training_order, url_reputation, warc
 from .common import table
 
 
@@ -23,6 +24,11 @@ def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.removed_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_equal", "n_near", F.array_join("removed", ",").alias("removed"))
+
+
 def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
@@ -47,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc": op2_warc,
     "op3_personal_data": op3_personal_data,
+    "op4_line_dedup": op4_line_dedup,
     "op5_line_quality": op5_line_quality,
     "op7_training_order": op7_training_order,
     "op8_fair_mix": op8_fair_mix,
