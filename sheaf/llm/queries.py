@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, training_order, url_reputation, warc
+from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, suffix_dedup, training_order, url_reputation, warc
 from .common import table
 
 
@@ -33,6 +33,10 @@ def op5_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_quality(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op7_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_order.training_order(table(spark, sf_dir, "documents"), scratch_path(spark, "tokens"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_personal_data": op3_personal_data,
     "op4_line_dedup": op4_line_dedup,
     "op5_line_quality": op5_line_quality,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_training_order": op7_training_order,
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
