@@ -70,6 +70,41 @@ def _linked(percent: int):
     return run
 
 
+_BITS = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    """A parity sketch of fewer bins: the bin of an item is its hash modulo
+    their number, so the upper half falls on the lower."""
+    while len(x) > size:
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return x
+
+
+def _likely(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for na, nb, x, y in zip(*[batch.column(c) for c in ("na", "nb", "x", "y")]):
+                a, b = (np.frombuffer(c.as_buffer(), dtype=np.uint8) for c in (x, y))
+                size = min(len(a), len(b))
+                differ = int(_BITS[_folded(a, size) ^ _folded(b, size)].sum())
+                # common = (na + nb - difference) / 2
+                keep.append(differ * (100 + percent) <= (100 - percent) * (na.as_py() + nb.as_py()))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(mask), batch.column("b").filter(mask)], names=["a", "b"])
+
+    return run
+
+
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parity sketches (node, n, sketch) allow the
+    similarity: those refused differ in too many items for certain."""
+    one = pairs.join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("x"), F.col("n").alias("na")), "a")
+    two = one.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("y"), F.col("n").alias("nb")), "b")
+    return two.select("a", "b", "na", "nb", "x", "y").mapInArrow(_likely(percent), "a long, b long")
+
+
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of ``percent``
     or more, compared exactly. ``sets``: node, set (sorted 64-bit items)."""

@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, mix, ngram_hashes, pick, prefix_sums, signed, span_hash, text_slices, words_of
-from .components import components, verify, written
+from .common import LOWER, mix, ngram_hashes, pick, prefix_sums, shuffle_parts, signed, span_hash, text_slices, words_of
+from .components import components, likely, verify, written
 
 N = 5
 PERCENT = 75
@@ -124,72 +124,107 @@ def _classes(n: int, percent: int):
                     for band, m, h in partitions(len(items), percent):
                         left.append(len(keys_of(items, band, m)) - h)
                 left = [0, 0] if left and min(left) < 1 else [*left, 1][:2] if left else [1, 1]
-                rows.append((node_of(items) if len(items) else None, len(items), left[0], left[1]))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols]], names=["doc_id", "node", "n", "own", "low"])
+                rows.append((node_of(items) if len(items) else None, len(items), left[0], left[1], sketch(items) if len(items) else None))
+            *cols, parity = list(zip(*rows)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c, pa.int64()) for c in cols], pa.array(parity, pa.binary())], names=["doc_id", "node", "n", "own", "low", "sketch"])
 
     return run
 
 
-def _keys(n: int, percent: int):
+def _packed(keys: list[np.ndarray], nodes: list[int], parts: int) -> Iterator[pa.RecordBatch]:
+    """One row a target partition: the keys (48 bits, byte by byte), how many
+    nodes further each is than the one before, and the nodes."""
+    key = np.concatenate(keys) >> np.uint64(16)
+    of = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    part = (key % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    key, of, part = key[order], of[order], part[order]
+    begin = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    blobs = []
+    for a, b in zip(begin, np.r_[begin[1:], len(part)]):
+        here, at = np.unique(of[a:b], return_inverse=True)
+        planes = np.ascontiguousarray(key[a:b].view(np.uint8).reshape(b - a, 8)[:, :6].T)
+        step = np.diff(at, prepend=0).astype(np.uint8)  # 0 or 1
+        blobs.append(np.array([b - a, len(here)], np.int64).tobytes() + planes.tobytes() + step.tobytes() + np.array(nodes, np.int64)[here].tobytes())
+    yield pa.RecordBatch.from_arrays([pa.array(part[begin]), pa.array(blobs, pa.binary())], names=["part", "keys"])
+
+
+def _keys(n: int, percent: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, nodes, seen = [], [], set()
+            keys, nodes, seen, size = [], [], set(), 0
             for _, items in sets_of(batch, 0, n):
-                if len(items) and (node := node_of(items)) not in seen:
-                    seen.add(node)
-                    bare = False
-                    for low, (band, m, h) in enumerate(partitions(len(items), percent)):
-                        keys.append(keys_of(items, band, m))
-                        nodes.append(np.full(len(keys[-1]), node | low, dtype=np.int64))
-                        bare |= len(keys[-1]) <= h
-                    if bare:  # too few segments hold items: each item is a segment
-                        keys.append(mix(items ^ np.uint64(0x5A5A5A5A)))
-                        nodes.append(np.full(len(items), node, dtype=np.int64))
-                if len(keys) > 2000:
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(nodes))], names=["key", "v"])
-                    keys, nodes = [], []
+                if not len(items) or (node := node_of(items)) in seen:
+                    continue
+                seen.add(node)
+                bare = False
+                for low, (band, m, h) in enumerate(partitions(len(items), percent)):
+                    keys.append(keys_of(items, band, m))
+                    nodes.append(node | low)
+                    size += len(keys[-1])
+                    bare |= len(keys[-1]) <= h
+                if bare:  # too few segments hold items: each item is a segment
+                    keys.append(mix(items ^ np.uint64(0x5A5A5A5A)))
+                    nodes.append(node)
+                if size > 500_000:
+                    yield from _packed(keys, nodes, parts)
+                    keys, nodes, size = [], [], 0
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(np.concatenate(nodes))], names=["key", "v"])
+                yield from _packed(keys, nodes, parts)
 
     return run
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (key, v): those whose key two or more nodes have, once
-    each, with the key's first node. State between batches: one row."""
-    key = lead = last = None
-    alone = False  # the state row is the only one of its key and not yet given
+    """The keys of one partition that two or more nodes have, a row a node,
+    with the least node of each key."""
+    keys, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for batch in batches:
-        k, v = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        fresh = np.ones(len(k), dtype=bool)
-        fresh[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
-        if len(k) and key is not None:
-            fresh[0] = k[0] != key or v[0] != last
-        k, v = k[fresh], v[fresh]
-        if not len(k):
-            continue
-        last = v[-1]
-        if alone:
-            k, v = np.r_[key, k], np.r_[lead, v]
-        goes_on = not alone and key is not None and k[0] == key
-        begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]])
-        size = np.diff(np.r_[begin, len(k)])
-        leads = v[begin].copy()
-        several = size > 1
-        if goes_on:
-            leads[0], several[0] = lead, True
-        key, lead, alone = k[-1], leads[-1], not several[-1]
-        keep = np.repeat(several, size)
-        if keep.any():
-            cols = k[keep], v[keep], np.repeat(leads, size)[keep] & ~np.int64(1)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["key", "v", "lead"])
+        for blob in batch.column("keys"):
+            raw = blob.as_buffer()
+            n, m = np.frombuffer(raw, np.int64, 2)
+            full = np.zeros((n, 8), dtype=np.uint8)
+            full[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 16).reshape(6, n).T
+            keys.append(full.view(np.uint64)[:, 0])
+            step = np.frombuffer(raw, np.uint8, n, 16 + 6 * n)
+            nodes.append(np.frombuffer(raw, np.int64, m, 16 + 7 * n)[np.cumsum(step, dtype=np.int64)])
+    k, v = np.concatenate(keys), np.concatenate(nodes)
+    del keys, nodes
+    order = np.argsort(k, kind="stable")
+    k, v = k[order], v[order]
+    same = k[1:] == k[:-1]
+    several = np.r_[False, same] | np.r_[same, False]
+    k, v = k[several], v[several]
+    order = np.lexsort((v, k))
+    k, v = signed(k[order]), v[order]
+    fresh = np.ones(len(k), dtype=bool)
+    fresh[1:] = (k[1:] != k[:-1]) | (v[1:] != v[:-1])
+    k, v = k[fresh], v[fresh]
+    begin = np.flatnonzero(np.r_[True, k[1:] != k[:-1]]) if len(k) else np.zeros(0, np.int64)
+    size = np.diff(np.r_[begin, len(k)])
+    keep = np.repeat(size > 1, size)
+    k, v, lead = k[keep], v[keep], np.repeat(v[begin] & ~np.int64(1), size)[keep]
+    for a in range(0, len(k), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in (k, v, lead)], names=["key", "v", "lead"])
+
+
+def sketch(items: np.ndarray) -> bytes:
+    """Parity of the number of items in each of 2**k bins, 2**k between the
+    set's size and twice that: sets differ in at least as many items as
+    parities, so most pairs are refused on a few bytes, none wrongly."""
+    bits = max(8, 1 << (len(items) - 1).bit_length())
+    odd = np.bincount((mix(items + np.uint64(99)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
 def _sets(n: int, bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, out, size = [], [], 0
+
+            def block():
+                return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], names=["node", "set"])
+
             for _, items in sets_of(batch, 0, n):
                 if len(items):
                     node = node_of(items)
@@ -199,10 +234,10 @@ def _sets(n: int, bits):
                         out.append(items.tobytes())
                         size += 8 * len(items)
                 if size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], names=["node", "set"])
+                    yield block()
                     nodes, out, size = [], [], 0
             if nodes:
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(out, pa.binary())], names=["node", "set"])
+                yield block()
 
     return run
 
@@ -265,21 +300,34 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     text = pick(docs, "doc_id", "text").select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(text.dtypes)["doc_id"]
-    classes = written(text.mapInArrow(_classes(n, percent), f"doc_id {kind}, node long, n long, own long, low long"), "classes")
-    keys = text.select("text").mapInArrow(_keys(n, percent), "key long, v long")
-    shared = written(keys.repartition("key").sortWithinPartitions("key", "v").mapInArrow(_shared, "key long, v long, lead long"), "shared")
+    classes = written(text.mapInArrow(_classes(n, percent), f"doc_id {kind}, node long, n long, own long, low long, sketch binary"), "classes")
+    parts = shuffle_parts(spark)
+    keys = text.select("text").mapInArrow(_keys(n, percent, parts), "part int, keys binary")
+    shared = written(keys.repartitionById(parts, F.col("part")).mapInArrow(_shared, "key long, v long, lead long"), "shared")
     shared = shared.withColumn("node", F.col("v").bitwiseAND(F.lit(~1)))
-    # Texts with a partner in sight, as sets.
-    bits = spark.sparkContext.broadcast(_bitmap(shared.select("node")))
-    sets = text.select("text").mapInArrow(_sets(n, bits), "node long, set binary")
-    sets = written(sets.join(shared.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("set").alias("set")), "sets")
-    sizes = sets.select("node", (F.octet_length("set") / 8).cast("long").alias("n"))
+    sketches = classes.filter("node IS NOT NULL").select("node", "n", "sketch").join(shared.select("node").distinct(), "node", "left_semi")
+    sketches = written(sketches.dropDuplicates(["node"]), "sketches")
+
+    def sets_of_nodes(*nodes: DataFrame) -> DataFrame:
+        """The sets of some nodes, made again from the texts."""
+        wanted = nodes[0]
+        for other in nodes[1:]:
+            wanted = wanted.unionAll(other)
+        wanted = written(wanted.distinct(), "wanted")
+        bits = spark.sparkContext.broadcast(_bitmap(wanted))
+        made = text.select("text").mapInArrow(_sets(n, bits), "node long, set binary")
+        return written(made.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("node"))
+
     # First each node with the leader it shares most keys with.
     star = shared.filter("node <> lead").groupBy("node", "lead").count()
     star = star.groupBy("node").agg(F.max_by("lead", F.struct("count", "lead")).alias("lead"))
-    links = written(verify(star.select(F.col("lead").alias("a"), F.col("node").alias("b")), sets, percent), "links")
+    star = written(likely(star.select(F.col("lead").alias("a"), F.col("node").alias("b")), sketches, percent), "star")
+    links = written(verify(star, sets_of_nodes(ends(star)), percent), "links")
     comps = written(components(links), "comps")
-    at = shared.select("key", "v", "node").join(comps, "node", "left").join(sizes, "node").select("key", "v", "node", F.coalesce("comp", "node").alias("comp"), "n")
+    at = shared.select("key", "v", "node").join(comps, "node", "left").join(sketches.select("node", "n"), "node").select("key", "v", "node", F.coalesce("comp", "node").alias("comp"), "n")
     groups = at.select("key", "comp").distinct().groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
     at = written(at.join(groups, "key"), "open")
     # Keys of few components: every pair across them.
@@ -288,7 +336,7 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     y = few.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
     close = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     pairs = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close).select("a", "b").distinct()
-    more = verify(pairs, sets, percent)
+    pairs = written(likely(pairs, sketches, percent), "pairs")
     # Hot keys: sets that have too few other segments left.
     lost = at.filter(F.col("c") > HOT).groupBy("node").agg(
         F.count(F.when(F.col("v") == F.col("node"), 1)).alias("lost_own"), F.count(F.when(F.col("v") != F.col("node"), 1)).alias("lost_low"))
@@ -297,7 +345,8 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     hot = at.filter(F.col("c") > HOT).join(short, "node", "left_semi").select("key", "node")
     first = hot.groupBy("key").agg(F.min("node").alias("a"))
     second = written(components(hot.join(first, "key").select("a", F.col("node").alias("b"))), "second")
-    links = written(links.unionAll(more).unionAll(_blocks(second, sets, percent)), "all-links")
+    sets = sets_of_nodes(ends(pairs), second.select("node"))
+    links = written(links.unionAll(verify(pairs, sets, percent)).unionAll(_blocks(second, sets, percent)), "all-links")
     final = written(components(links), "comps")
     member = classes.join(final, "node", "left").select("doc_id", "n", F.coalesce("comp", "node").alias("comp"))
     least = member.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
