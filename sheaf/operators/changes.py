@@ -127,8 +127,17 @@ def _latest(src: DataFrame, keys: list[str], value_cols: list[str], out_cols: li
     return agg.filter(~F.col("_is_deleted")).select(*[_q(k) for k in keys], *cols)
 
 
-def _tracked_json(tracked: list[str]) -> Column:
-    return F.to_json(F.struct(*[_q(c) for c in tracked])) if tracked else F.lit("")
+def _comparable(df: DataFrame, names: list[str], owner: str | None = None) -> Column:
+    """The named columns as one value that ``=`` compares exactly (NULLs are
+    equal). Only columns that cannot be compared, VARIANT and MAP, go through
+    their JSON text; ``owner`` names a struct column that holds them."""
+    kinds = dict(df.dtypes)
+
+    def one(c: str) -> Column:
+        value = F.col(owner)[c] if owner else _q(c)
+        return F.to_json(F.struct(value.alias("v"))) if "variant" in kinds[c] or "map<" in kinds[c] else value
+
+    return F.struct(*[one(c).alias(f"c{i}") for i, c in enumerate(names)]) if names else F.struct(F.lit(0))
 
 
 def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFrame:
@@ -151,7 +160,7 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
         n = spark.sparkContext.defaultParallelism
     kq = [_q(k) for k in keys]
     seq_value = _q(seq[0]) if len(seq) == 1 else F.struct(*[_q(c) for c in seq])
-    rows = src.select(*kq, *[_q(c) for c in value_cols], SEQ, DEL, seq_value.alias("_seq_value"), _tracked_json(tracked).alias("_tj"))
+    rows = src.select(*kq, *[_q(c) for c in value_cols], SEQ, DEL, seq_value.alias("_seq_value"), _comparable(src, tracked).alias("_tj"))
     rows = rows.repartitionByRange(n, *kq, F.col(SEQ)).withColumn("_pid", F.spark_partition_id())
 
     # Within a segment.
@@ -195,7 +204,11 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
         "_carry", F.coalesce(F.sum("_n_starts").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     ).drop("_n_starts")
 
-    joined = rows.join(seg, [*keys, "_pid"])
+    same = F.col("_pid") == F.col("_seg_pid")
+    for i, k in enumerate(keys):  # a NULL key part is a key like others
+        same = same & _q(k).eqNullSafe(F.col(f"_seg_k{i}"))
+    seg = seg.withColumnRenamed("_pid", "_seg_pid").withColumnsRenamed({k: f"_seg_k{i}" for i, k in enumerate(keys)})
+    joined = rows.join(seg, same)
     version = F.col("_carry") + F.col("_first_start").cast("long") + F.col("_local_cum")
     next_seq = F.when(F.col("_last_row"), F.col("_next_segment_seq")).otherwise(F.col("_next_local"))
     live = joined.filter(~F.col(DEL)).select(
@@ -215,24 +228,38 @@ def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFr
 
 def change_feed(old: DataFrame, new: DataFrame, keys, version: int | None = None) -> DataFrame:
     """Row-level changes from state ``old`` to state ``new`` (both one row per
-    key): ``_change_type`` insert / delete / update_preimage /
-    update_postimage, plus ``_commit_version``. Unchanged rows are left out.
-    Values are compared through their JSON text, so VARIANT cells work."""
+    key, NULL key parts included): ``_change_type`` insert / delete /
+    update_preimage / update_postimage, plus ``_commit_version``. Unchanged
+    rows are left out. A column that only one state has reads NULL in the
+    other."""
     keys = _as_list(keys)
     vals = [c for c in new.columns if c not in keys]
-    o = old.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in vals]).alias("_o"))
-    n = new.select(*[_q(k) for k in keys], F.struct(*[_q(c) for c in vals]).alias("_n"))
-    j = o.join(n, keys, "full_outer")
+    vals += [c for c in old.columns if c not in keys and c not in vals]
+    types = {f.name: f.dataType for f in [*old.schema.fields, *new.schema.fields]}
+
+    def state(df: DataFrame, name: str, key: str) -> DataFrame:
+        have = set(df.columns)
+        full = df.select(*[_q(k) for k in keys], *[_q(c) if c in have else F.lit(None).cast(types[c]).alias(c) for c in vals])
+        return full.select(
+            *[_q(k).alias(f"{key}{i}") for i, k in enumerate(keys)], F.struct(*[_q(c) for c in vals], F.lit(1).alias("_is")).alias(name),
+            _comparable(full, vals).alias(f"{name}c"),
+        )
+
+    same = F.lit(True)
+    for i in range(len(keys)):
+        same = same & F.col(f"_ok{i}").eqNullSafe(F.col(f"_nk{i}"))
+    j = state(old, "_o", "_ok").join(state(new, "_n", "_nk"), same, "full_outer")
     ins = F.col("_o").isNull()
     dele = F.col("_n").isNull()
-    upd = ~ins & ~dele & (F.to_json("_o") != F.to_json("_n"))
+    upd = ~ins & ~dele & ~F.col("_oc").eqNullSafe(F.col("_nc"))
     item = lambda t, s: F.struct(F.lit(t).alias("t"), F.col(s).alias("v"))
     items = (
         F.when(ins, F.array(item("insert", "_n")))
         .when(dele, F.array(item("delete", "_o")))
         .when(upd, F.array(item("update_preimage", "_o"), item("update_postimage", "_n")))
     )  # no match -> NULL -> explode emits nothing
-    ex = j.select(*[_q(k) for k in keys], F.explode(items).alias("_c"))
+    key = [F.when(ins, F.col(f"_nk{i}")).otherwise(F.col(f"_ok{i}")).alias(k) for i, k in enumerate(keys)]
+    ex = j.select(*key, F.explode(items).alias("_c"))
     return ex.select(
         *[_q(k) for k in keys],
         *[F.col("_c.v")[c].alias(c) for c in vals],

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,14 +42,29 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, fixture: str = "customer",
 _TABLES: dict[tuple[str, str, str, str], str] = {}
 
 
+#: error classes that mean a table is not there (yet)
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The parquet table, or None if nothing was written there; any other
+    error (rights, network, a broken file) is raised."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(_ABSENT):
+            return None
+        raise
+
+
 def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build) -> DataFrame:
     key = (session_id(spark), os.path.realpath(sf_dir), fixture, layer)
     path = _TABLES.get(key)
     if path is not None:
-        try:
-            return spark.read.parquet(path)
-        except Exception:  # folder gone: build again
-            _TABLES.pop(key, None)
+        found = read_if_there(spark, path)
+        if found is not None:
+            return found
+        _TABLES.pop(key, None)  # folder gone: build again
     path = scratch_path(spark, f"{layer}-{fixture}")
     with variant_shredding(spark, enabled=(layer == "bronze")):
         build().write.mode("overwrite").parquet(path)
@@ -117,8 +133,10 @@ def table_info(spark: SparkSession, path: str) -> dict:
 
     try:
         row = spark.read.schema("comment STRING, properties STRING").json(f"{path.rstrip('/')}/_table_info").first()
-    except Exception:  # no info written
-        return {}
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(_ABSENT):  # no info written
+            return {}
+        raise
     if row is None:
         return {}
     return {"comment": row.comment, "properties": json.loads(row.properties or "{}")}
@@ -193,9 +211,9 @@ def resource_silver(
     key_cols = entity_keys if entity_keys is not None else ["bundleUUID", url_col]
     rules = {f"valid_{c}": f"`{c}` IS NOT NULL" for c in key_cols}
     stage, _ = q.expect(stage, drop=rules)
-    if entity_keys is not None:
-        stage = stage.drop(*[c for c in ("bundleUUID",) if c not in key_cols])
-    return ch.apply_changes(stage, keys=key_cols, sequence_by="bundle_timestamp", except_columns=["bundle_timestamp"])
+    # documents of one time: the larger document id is the later one
+    tie = [c for c in ("bundleUUID",) if entity_keys is not None and c not in key_cols]
+    return ch.apply_changes(stage, keys=key_cols, sequence_by="bundle_timestamp", tie_break=tie, except_columns=["bundle_timestamp", *tie])
 
 
 def build_silver(
@@ -282,9 +300,7 @@ def refresh_all(
     b = base.rstrip("/")
     ck = f"{b}/_checkpoints"
     rn.ingest_documents(spark, source, f"{b}/bronze", f"{ck}/bronze", whole_text=whole_text, max_files=max_files, max_bytes=max_bytes)
-    try:
-        spark.read.parquet(f"{b}/bronze").schema
-    except Exception:  # nothing has landed yet: no table to build on
+    if read_if_there(spark, f"{b}/bronze") is None:  # nothing has landed yet: no table to build on
         return {}
     fields, header = rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
     paths = write_summaries(refresh_summaries(fields, header), f"{b}/summaries")

@@ -2,31 +2,25 @@
 
 Every statement computes the expected result from the plain test tables,
 without JSON: it re-derives which document each row lands in (including the
-hot-key split of :mod:`sheaf.sources.fixtures`), the sorted key positions,
+range split of :mod:`sheaf.sources.fixtures`), the sorted key positions,
 and the change-application rules with window functions.
 """
 
 from __future__ import annotations
 
-from ..sources.fixtures import MAX_ENTRIES_PER_DOCUMENT as M
 
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 DT = "'%Y-%m-%d %H:%M:%S'"
 
 # Customer documents: entries, hot-key parts, entry positions.
-def customer_docs(m: int = M) -> str:
+def customer_docs(width: int = 16384) -> str:
     return f"""
 WITH ent AS (
   SELECT c_custkey AS doc_key, CAST(-1 AS BIGINT) AS split, CAST(-1 AS BIGINT) AS srt,
          'Customer' AS rtype, 'urn:customer:' || CAST(c_custkey AS VARCHAR) AS url FROM customer
   UNION ALL
   SELECT o_custkey, o_orderkey, o_orderkey, 'Order', 'urn:order:' || CAST(o_orderkey AS VARCHAR) FROM orders
-), cnt AS (SELECT doc_key, count(*) AS n FROM ent GROUP BY doc_key),
-doc AS (
-  SELECT e.*, CASE WHEN c.n <= {m} OR e.split < 0 THEN 0
-                   ELSE e.split % CAST(ceil(c.n / {m}.0) AS BIGINT) END AS part
-  FROM ent e JOIN cnt c USING (doc_key)
-), pos AS (
+), doc AS (SELECT *, CASE WHEN split < 0 THEN 0 ELSE split // {width} END AS part FROM ent), pos AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY doc_key, part ORDER BY srt) - 1 AS INTEGER) AS entry_pos FROM doc
 ), d AS (SELECT DISTINCT doc_key, part FROM doc)
 """
@@ -36,8 +30,7 @@ CDOCS = customer_docs()
 
 # Order documents: line items with their part and first-in-document rank.
 ODOCS = f"""
-WITH li AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
-lp AS (SELECT *, CASE WHEN n <= {M} THEN 0 ELSE l_partkey % CAST(ceil(n / {M}.0) AS BIGINT) END AS part FROM li),
+WITH lp AS (SELECT *, l_linenumber // 64 AS part FROM lineitem),
 r AS (
   SELECT *, row_number() OVER (
     PARTITION BY l_orderkey, part, l_linenumber
@@ -160,8 +153,7 @@ SQL: dict[str, str] = {
         SELECT name, 'missing' AS side FROM exp WHERE name NOT IN (SELECT name FROM seen)
         UNION ALL SELECT name, 'unexpected' FROM seen WHERE name NOT IN (SELECT name FROM exp)""",
     "text_resource_types": f"""
-        WITH c AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations),
-        p AS (SELECT *, CASE WHEN n <= {M} THEN 0 ELSE turn % CAST(ceil(n / {M}.0) AS BIGINT) END AS part FROM c)
+        WITH p AS (SELECT *, turn // 256 AS part FROM conversations)
         SELECT role AS resourceType, count(DISTINCT CAST(conv_id AS VARCHAR) || '/' || CAST(part AS VARCHAR)) AS raw_bundle_count
         FROM p GROUP BY role""",
     "pivot_resource_order": ORDER_WIDE,

@@ -9,6 +9,7 @@ local session made here for tests sets one of its own.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -57,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None and sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if sc is not None and not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", sc.master):
+        raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="sheaf-ckpt-")
     spark.conf.set(_CHECKPOINT_KEY, local)
     if sc is not None:

@@ -7,11 +7,9 @@ file source gives (``file_path``, ``file_name``, ``file_size``,
 The bronze step treats both the same way.
 
 Documents are assembled with a group-by on the document key. So that no
-single key can pull an unbounded list into one row or one task, a key whose
-entries exceed ``max_entries`` is split into several documents ("parts"):
-part = pmod(split_key, ceil(n / max_entries)). The hot-key table that drives
-the split has at most (entries / max_entries) rows; its size is checked
-before it is broadcast.
+single key can pull an unbounded list into one row or one task, a document
+holds one range of a key's split keys: part = split key div width. The rule
+reads the row alone, so no counting pass and no threshold decides it.
 """
 
 from __future__ import annotations
@@ -19,10 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import join_small
-
 # Fixed values of the fixture layout.
-MAX_ENTRIES_PER_DOCUMENT = 256
+# A document holds the entries of one key and one range of split keys.
+ORDERS_PER_DOCUMENT = 16384
+LINES_PER_DOCUMENT = 64
+TURNS_PER_DOCUMENT = 256
 CUSTOMER_BUNDLE_TIMESTAMP = "2024-01-01T00:00:00Z"
 FIXTURE_MODIFICATION_TIME = "2024-01-01 00:00:00"
 TS_JSON_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -44,7 +43,7 @@ def _entry_json(x: Column) -> Column:
     )
 
 
-def bundle_entries(entries: DataFrame, url: Column, res: Column, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
+def bundle_entries(entries: DataFrame, url: Column, res: Column, width: int) -> DataFrame:
     """Group entry rows into documents.
 
     ``entries`` has ``doc_key`` (any type), ``split`` (BIGINT, negative =
@@ -53,19 +52,12 @@ def bundle_entries(entries: DataFrame, url: Column, res: Column, max_entries: in
     resource) are computed from. Both are evaluated after the shuffle, so the
     compact typed columns travel, not JSON text, and the serialisation runs
     in every post-shuffle task however few input splits there are.
+    A row's part is ``split div width``, from the row alone: no count, no
+    threshold, and rows with one split key (twins of one url) stay together.
     Returns ``doc_key, part, entries_json`` with one row per document.
     """
-    counts = entries.groupBy("doc_key").agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > max_entries).select(
-        "doc_key", F.ceil(F.col("_n") / F.lit(max_entries)).cast("bigint").alias("_nparts")
-    )
-    tagged = join_small(entries, hot, on="doc_key", how="left")
-    tagged = tagged.withColumn(
-        "part",
-        F.when(F.col("_nparts").isNull() | (F.col("split") < 0), F.lit(0).cast("bigint")).otherwise(
-            F.pmod(F.col("split"), F.col("_nparts"))
-        ),
-    )
+    part = F.when(F.col("split") < 0, F.lit(0).cast("bigint")).otherwise(F.floor(F.col("split") / F.lit(width)).cast("bigint"))
+    tagged = entries.withColumn("part", F.coalesce(part, F.lit(0).cast("bigint")))
     # Entries of one document are scattered over the input, so a map-side
     # partial list buys nothing: shuffle the rows by (document, part) once and
     # build each list inside its partition (the group-by reuses this layout).
@@ -101,8 +93,8 @@ def as_raw(docs: DataFrame, source: str) -> DataFrame:
     )
 
 
-def customer_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
-    """One document per customer (split when hot): a Customer entry, then one
+def customer_bundles(spark: SparkSession, sf_dir: str, width: int = ORDERS_PER_DOCUMENT) -> DataFrame:
+    """One document per customer (and range of split keys): a Customer entry, then one
     Order entry per order. Header ``Meta`` = Segment, Nation, and Debt only
     for a negative balance. ``status`` is present only when not 'O'."""
     customer = load(spark, sf_dir, "customer")
@@ -138,7 +130,7 @@ def customer_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_EN
             )
         )
     )
-    docs = bundle_entries(cust_entries.unionByName(order_entries, allowMissingColumns=True), url, res, max_entries)
+    docs = bundle_entries(cust_entries.unionByName(order_entries, allowMissingColumns=True), url, res, width)
     header = customer.select(
         F.col("c_custkey").alias("doc_key"),
         F.to_json(
@@ -174,15 +166,15 @@ LINEITEM_SORT = [
 ]
 
 
-def order_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
-    """One document per order (split when hot); entries are its line items,
+def order_bundles(spark: SparkSession, sf_dir: str, width: int = LINES_PER_DOCUMENT) -> DataFrame:
+    """One document per order (and range of split keys); entries are its line items,
     url ``urn:li:<order>:<linenumber>``, which is not unique. Entries are
     ordered by all lineitem columns so a first-wins pick is reproducible."""
     lineitem = load(spark, sf_dir, "lineitem")
     orders = load(spark, sf_dir, "orders")
     entries = lineitem.select(
         F.col("l_orderkey").alias("doc_key"),
-        F.col("l_partkey").alias("split"),
+        F.col("l_linenumber").cast("bigint").alias("split"),
         F.struct(*LINEITEM_SORT).alias("sort"),
     )
     li = lambda c: F.col("sort")[c]
@@ -202,7 +194,7 @@ def order_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRI
             F.date_format(li("l_shipdate"), "yyyy-MM-dd").alias("shipdate"),
         )
     )
-    docs = bundle_entries(entries, url, res, max_entries)
+    docs = bundle_entries(entries, url, res, width)
     header = orders.select(
         F.col("o_orderkey").alias("doc_key"),
         F.to_json(
@@ -225,7 +217,7 @@ def order_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRI
     return as_raw(out, "order")
 
 
-def text_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRIES_PER_DOCUMENT) -> DataFrame:
+def text_bundles(spark: SparkSession, sf_dir: str, width: int = TURNS_PER_DOCUMENT) -> DataFrame:
     """One document per conversation; each turn is an entry whose type is
     the speaker's role, so several types share one key set."""
     conv = load(spark, sf_dir, "conversations")
@@ -237,7 +229,7 @@ def text_bundles(spark: SparkSession, sf_dir: str, max_entries: int = MAX_ENTRIE
     )
     url = F.concat(F.lit("urn:turn:"), F.col("doc_key").cast("string"), F.lit(":"), F.col("sort").cast("string"))
     res = F.to_json(F.struct(F.col("role").alias("resourceType"), F.col("text").alias("text"), F.col("sort").alias("n")))
-    docs = bundle_entries(entries, url, res, max_entries)
+    docs = bundle_entries(entries, url, res, width)
     header = F.to_json(
         F.struct(
             F.lit("Bundle").alias("resourceType"),

@@ -182,7 +182,10 @@ class ChangeLog:
         return self.spark.read.parquet(path).unionByName(log.filter(F.col("batch_id") > upto), allowMissingColumns=True)
 
     def current(self, **options) -> DataFrame:
-        log = self.changes()
+        # a snapshot keeps the latest row per key: enough for latest-value
+        # reads only. The log itself is never cut, so the others read it.
+        whole = options.get("scd", 1) == 2 or options.get("truncate_when") is not None or options.get("ignore_null_updates")
+        log = self._log() if whole else self.changes()
         return ch.apply_changes(
             log, self.keys, self.sequence_by, tie_break=self.tie_break + ["batch_id"],
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
@@ -208,7 +211,7 @@ class ChangeLog:
         """Fold the log into a snapshot holding the latest change row per key
         (one ``max_by`` aggregation; deletes stay as rows so that older
         changes arriving later are still overridden). Later reads start from
-        it. Valid for latest-value reads without ignored NULL updates."""
+        it; history, truncating and NULL-keeping reads go on reading the log."""
         log = self.changes()
         upto = log.agg(F.max("batch_id")).first()[0]
         if upto is None:

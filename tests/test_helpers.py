@@ -1,4 +1,4 @@
-"""Smaller building blocks: writers, stage tables, size-checked joins,
+"""Smaller building blocks: writers, stage tables,
 change feed over VARIANT cells, warn-only expectations, name helpers."""
 
 from pyspark.sql import functions as F
@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from sheaf.functions import variant as fv
 from sheaf.operators import changes as ch
 from sheaf.operators import quality as q
-from sheaf.operators.joins import join_small
 from sheaf.plans import medallion as md
 
 
@@ -27,14 +26,6 @@ def test_write_table_schema_partition_cluster(spark, tmp_path):
     assert sorted((r.k, r.g) for r in back.collect()) == [(1, "y"), (2, "x"), (3, "x")]
 
 
-def test_join_small_falls_back_to_a_shuffle_join_beyond_the_cap(spark):
-    big = spark.range(100).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k").withColumn("x", F.col("k") * 2)
-    capped = join_small(big, small, "k", max_rows=5)
-    assert "broadcast" not in capped._jdf.queryExecution().logical().toString().lower()
-    assert capped.count() == 10
-    assert join_small(big, small, "k").count() == 10
-
 
 def test_change_feed_compares_variant_cells(spark):
     old = spark.createDataFrame([(1, '{"a":1}'), (2, '{"a":2}')], "k INT, j STRING").select("k", F.parse_json("j").alias("v"))
