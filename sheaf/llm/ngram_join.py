@@ -193,7 +193,9 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     order = np.argsort(k, kind="stable")
     k, v = k[order], v[order]
     same = k[1:] == k[:-1]
-    several = np.r_[False, same] | np.r_[same, False]
+    several = np.zeros(len(k), dtype=bool)
+    several[1:] |= same
+    several[:-1] |= same
     k, v = k[several], v[several]
     order = np.lexsort((v, k))
     k, v = signed(k[order]), v[order]
