@@ -40,4 +40,4 @@ from .sources.documents import (  # noqa: F401
     stream_documents,
     to_bronze,
 )
-from .streaming.runner import ChangeLog, ingest_documents, silver_stream, silver_table  # noqa: F401
+from .streaming.runner import ChangeLog, header_stream, header_table, ingest_documents, key_columns, silver_stream, silver_table  # noqa: F401

@@ -22,18 +22,27 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _path_part(key: str) -> str | None:
+    """One step of a VARIANT path, or None for a key no path can spell: the
+    quoted forms take no ``?`` and not their own quote, and a leading blank
+    is skipped by the path reader."""
+    if key.isidentifier():
+        return f".{key}"
+    if not key or key[0].isspace() or "?" in key:
+        return None
+    for quote in ('"', "'"):
+        if quote not in key:
+            return f"[{quote}{key}{quote}]"
+    return None
+
+
 def json_path(*keys: str) -> str:
     """A VARIANT path for a chain of object keys. Keys that are not plain
     identifiers (dots, quotes, spaces, leading digits) use the bracket form."""
-    parts = ["$"]
-    for k in keys:
-        if k.isidentifier():
-            parts.append(f".{k}")
-        elif '"' not in k:
-            parts.append(f'["{k}"]')
-        else:
-            parts.append("['" + k.replace("'", "\\'") + "']")
-    return "".join(parts)
+    parts = [_path_part(k) for k in keys]
+    if None in parts:
+        raise ValueError(f"no path reads the key {keys[parts.index(None)]!r}: give the keys to field()")
+    return "$" + "".join(parts)
 
 
 def field(v: ColumnOrName, path: str | tuple[str, ...], type_: str = "variant", lenient: bool = False) -> Column:
@@ -41,11 +50,22 @@ def field(v: ColumnOrName, path: str | tuple[str, ...], type_: str = "variant",
 
     ``path`` is either a ready ``$...`` path or a tuple of keys. Paths are
     case-sensitive. Strict mode raises on a value that does not convert
-    (``INVALID_VARIANT_CAST``); lenient mode gives NULL instead.
+    (``INVALID_VARIANT_CAST``); lenient mode gives NULL instead. A key that no
+    path can spell (both quote kinds, ``?``) is looked up among its object's
+    members.
     """
-    p = path if isinstance(path, str) and path.startswith("$") else json_path(*((path,) if isinstance(path, str) else path))
     fn = F.try_variant_get if lenient else F.variant_get
-    return fn(_col(v), p, type_)
+    if isinstance(path, str) and path.startswith("$"):
+        return fn(_col(v), path, type_)
+    at, step = _col(v), "$"
+    for key in (path,) if isinstance(path, str) else path:
+        part = _path_part(key)
+        if part is not None:
+            step += part
+            continue
+        at = F.try_element_at(F.try_variant_get(at, step, "map<string,variant>"), F.lit(key))
+        step = "$"
+    return fn(at, step, type_)
 
 
 def field_text(text: ColumnOrName, path: str) -> Column:

@@ -90,6 +90,11 @@ def explode_fields(
     entries = explode_entries(bronze, keep_empty=keep_empty, lenient_time=lenient_time)
     if types is not None:
         entries = entries.filter(F.col("resourceType").isin(list(types)))
+    return entry_fields(entries, keep_empty)
+
+
+def entry_fields(entries: DataFrame, keep_empty: bool = False) -> DataFrame:
+    """The long rows of entry rows that are already there."""
     r = _explode(entries, field("entry", "$.resource"), "r", keep_empty)
     return r.select(
         *DOCUMENT_COLUMNS,

@@ -23,22 +23,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.variant import col_of, field, json_path
+from ..functions.variant import col_of, field
+from .changes import DEL, END_AT, SEQ, START_AT, TRUNC
 from .explode import UNIQUE_URLS
 
 RESOURCE_GROUP = ["bundleUUID", "bundle_timestamp"]
 HEADER_GROUP = ["bundleUUID", "fileMetadata", "ingestDate", "ingestTime", "bundle_id", "bundle_timestamp"]
+# Columns that later steps add beside the keys: no key may take their names.
+INTERNAL = ["batch_id", "entry_pos", UNIQUE_URLS, SEQ, DEL, TRUNC, START_AT, END_AT]
 
 
-def column_names(keys: list[str], reserved: list[str]) -> dict[str, str]:
+def column_names(keys: list[str], reserved: list[str], known: dict[str, str] | None = None) -> dict[str, str]:
     """Map each key to a column name Spark can hold next to ``reserved``.
 
     Spark resolves names case-insensitively, so keys that differ only in case,
-    or that equal a key column, get a numeric suffix (``name_2``). Returns
-    {key: column}; keys that need no change map to themselves."""
-    taken = {r.lower() for r in reserved}
+    or that equal a key column or an internal one, get a numeric suffix
+    (``name_2``). Keys in ``known`` (an earlier mapping) keep their column.
+    Returns {key: column}; keys that need no change map to themselves."""
+    known = known or {}
+    taken = {r.lower() for r in [*reserved, *INTERNAL, *known.values()]}
     out: dict[str, str] = {}
     for k in keys:
+        if k in known:
+            out[k] = known[k]
+            continue
         name = k
         n = 1
         while name.lower() in taken:
@@ -60,11 +68,12 @@ def pivot_long(
     keys: list[str],
     reserved: list[str] | None = None,
     order: tuple[str, ...] = ("entry_pos", "pos"),
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """Regroup long rows by ``group``, one column per key (first in document
     order, given by ``order``). Partial aggregation runs map-side, so a hot
     group is combined before the shuffle."""
-    names = column_names(keys, reserved if reserved is not None else group)
+    names = column_names(keys, reserved if reserved is not None else group, names)
     aggs = [_first_value(k, order).alias(names[k]) for k in keys]
     if not aggs:  # a type whose only key is the discriminator: key columns only
         return long.select(*group).distinct()
@@ -77,6 +86,7 @@ def pivot_resource(
     keys: list[str],
     method: str = "regroup",
     entries: DataFrame | None = None,
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """Wide table of one resource type: bundleUUID, bundle_timestamp,
     ``<type>_uuid`` and one VARIANT column per key (``resourceType`` itself
@@ -86,14 +96,15 @@ def pivot_resource(
     ``project`` needs ``entries``; ``pivot`` needs ``fields``; ``regroup``
     uses ``entries`` when given (fewer rows; with ``url_check`` columns it
     skips the shuffle for documents whose urls are distinct), else
-    ``fields``."""
+    ``fields``. ``names`` is an earlier key -> column mapping to hold to (see
+    :func:`column_names`)."""
     keys = [k for k in keys if k != "resourceType"]
     url_col = f"{resource_type}_uuid"
     group = RESOURCE_GROUP + [url_col]
     if method == "project":
         if entries is None:
             raise ValueError("method='project' needs the entry table")
-        names = column_names(keys, group)
+        names = column_names(keys, group, names)
         e = entries.filter(F.col("resourceType") == resource_type)
         return e.select(
             *RESOURCE_GROUP,
@@ -101,14 +112,14 @@ def pivot_resource(
             *[field("entry", ("resource", k)).alias(names[k]) for k in keys],
         )
     if method == "regroup" and entries is not None:
-        return _regroup_entries(entries, resource_type, keys, group)
+        return _regroup_entries(entries, resource_type, keys, group, names)
     if fields is None:
         raise ValueError(f"method={method!r} needs the long table")
     f = fields.filter(F.col("resourceType") == resource_type).withColumnRenamed("fullUrl", url_col)
     if method == "regroup":
-        return pivot_long(f, group, keys)
+        return pivot_long(f, group, keys, names=names)
     if method == "pivot":
-        names = column_names(keys, group)
+        names = column_names(keys, group, names)
         # every long row keeps its group (an entry whose only key is the
         # discriminator still gives a row); the value list leaves that key out
         if not keys:
@@ -118,12 +129,12 @@ def pivot_resource(
     raise ValueError("method must be 'regroup', 'pivot' or 'project'")
 
 
-def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], group: list[str]) -> DataFrame:
+def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], group: list[str], names: dict[str, str] | None = None) -> DataFrame:
     """The regroup semantic computed on entry rows instead of key/value rows:
     per key, the value of the first entry (by position) that has the key.
     Same result, but about (keys per entry) times fewer rows to shuffle and
     sort, since the long table repeats the group columns for every key."""
-    names = column_names(keys, group)
+    names = column_names(keys, group, names)
     checked = UNIQUE_URLS in entries.columns
     e = entries.filter(F.col("resourceType") == resource_type).select(
         *RESOURCE_GROUP,
@@ -154,6 +165,7 @@ def pivot_header(
     method: str = "regroup",
     bronze: DataFrame | None = None,
     only_with_keys: bool = False,
+    names: dict[str, str] | None = None,
 ) -> DataFrame:
     """Wide header table: document columns + one VARIANT column per header key.
 
@@ -167,15 +179,15 @@ def pivot_header(
             raise ValueError("method='project' needs the bronze table")
         from .explode import with_document_columns
 
-        names = column_names(keys, HEADER_GROUP)
+        names = column_names(keys, HEADER_GROUP, names)
         d = with_document_columns(bronze)
         if only_with_keys:
             meta = lambda t: F.coalesce(F.size(F.try_variant_get(F.col("resource"), "$.Meta", t)), F.lit(0))
             d = d.filter((meta("map<string,variant>") > 0) | (meta("array<variant>") > 0))
-        return d.select(*HEADER_GROUP, *[field("resource", json_path("Meta", k)).alias(names[k]) for k in keys])
+        return d.select(*HEADER_GROUP, *[field("resource", ("Meta", k)).alias(names[k]) for k in keys])
     if header is None:
         raise ValueError("the long header table is needed")
-    return pivot_long(header, HEADER_GROUP, keys, order=("pos",))
+    return pivot_long(header, HEADER_GROUP, keys, order=("pos",), names=names)
 
 
 def typed(wide: DataFrame, types: dict[str, str], lenient: bool = False) -> DataFrame:

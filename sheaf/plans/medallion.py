@@ -42,8 +42,9 @@ def fixture_bronze(spark: SparkSession, sf_dir: str, fixture: str = "customer",
 _TABLES: dict[tuple[str, str, str, str], str] = {}
 
 
-#: error classes that mean a table is not there (yet)
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+#: error classes that mean a table is not there (yet); the last is that of a
+#: stream's sink that has received no file
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "_LEGACY_ERROR_TEMP_1134")
 
 
 def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
@@ -292,7 +293,8 @@ def refresh_all(
     Rerunning with no new files adds no rows to the appended layers.
     With ``incremental=True`` step 4 is instead a stream over the new bronze
     rows only (``silver_stream``): wide rows per type are appended to
-    ``silver/<type>/log`` and read by merge (``silver_table``), so a run's
+    ``silver/<type>/log`` and read by merge (``silver_table``), the header
+    rows likewise to ``silver_header/log`` (``header_table``), so a run's
     work grows with the new data, not the history.
     Returns the paths written."""
     from ..streaming import runner as rn
@@ -306,7 +308,8 @@ def refresh_all(
     paths = write_summaries(refresh_summaries(fields, header), f"{b}/summaries")
     if incremental:
         rn.silver_stream(spark, f"{b}/bronze", f"{b}/silver", f"{ck}/silver", types=types)
-        paths.update({"silver": f"{b}/silver", "bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
+        rn.header_stream(spark, f"{b}/bronze", f"{b}/silver_header", f"{ck}/silver_header")
+        paths.update({"silver": f"{b}/silver", "silver_header": f"{b}/silver_header", "bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
         return paths
     type_keys = sm.type_key_dict(spark.read.parquet(paths["resource_type_keys"]), types)
     silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False)

@@ -286,5 +286,16 @@ STREAM_SQL: dict[str, str] = {
         UNION ALL SELECT {EV_COLS}, 'update_preimage', CAST(1 AS BIGINT) FROM b WHERE user_id IN (SELECT user_id FROM u)
         UNION ALL SELECT {EV_COLS}, 'update_postimage', CAST(1 AS BIGINT) FROM a WHERE user_id IN (SELECT user_id FROM u)""",
     "stream_latest": SQL["changes_latest"],
+    "stream_header_silver": SQL["header_silver"],
+    "stream_silver_case_keys": """
+        SELECT 'urn:note:' || CAST(o_orderkey AS VARCHAR) AS Note_uuid, o_custkey AS batch_key,
+               CASE WHEN o_orderstatus = 'O' THEN o_totalprice END AS code_first,
+               CASE WHEN NOT coalesce(o_orderstatus = 'O', false) THEN o_totalprice END AS code_second
+        FROM orders""",
+    "stream_change_feed_grown": f"""
+        SELECT {EV_COLS.replace(", props", "")}, CASE WHEN NOT coalesce(ts < TIMESTAMP '2024-01-16 00:00:00', false) THEN props END AS props
+        FROM events""",
+    "skip_lines": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
+    "find_document": "SELECT CAST(c_custkey AS VARCHAR) AS bundle_id, c_mktsegment AS segment FROM customer WHERE c_custkey = 1",
     "stream_change_feed": f"SELECT {EV_COLS} FROM events",
 }

@@ -27,6 +27,7 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DOC_TIME_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 # Fixed values used by the queries.
+DOCUMENT_ID = "1"
 ORDER_KEYS = ["id", "status", "total"]
 ORDER_TYPES = {"id": "bigint", "total": "double", "status": "string"}
 CUSTOMER_KEYS = ["bal", "name"]
@@ -295,6 +296,13 @@ def header_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pv.typed(s, HEADER_TYPES).select("bundle_id", _doc_time(), *HEADER_KEYS)
 
 
+def find_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of one id, with what their header says."""
+    found = docs.find_document(_bronze(spark, sf_dir), DOCUMENT_ID)
+    segment = fv.field("resource", ("Meta", "Segment"), "string")
+    return found.select(fv.field("resource", ("id",), "string").alias("bundle_id"), segment.alias("segment")).distinct()
+
+
 def silver_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = md.resource_silver(_fields(spark, sf_dir), "Order", ORDER_KEYS)
     return pv.typed(s, ORDER_TYPES).select("Order_uuid", *ORDER_KEYS)

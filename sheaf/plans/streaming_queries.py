@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.variant import col_of
 from ..operators import pivot as pv
 from ..operators import summaries as sm
 from ..session import scratch_path
@@ -132,3 +133,75 @@ def stream_silver_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     rn.silver_stream(spark, bronze, f"{root}/silver", f"{root}/ckpt/silver", max_files=SILVER_FILES_PER_BATCH)
     silver = rn.silver_table(spark, f"{root}/silver", "Order")
     return pv.typed(silver, q.ORDER_TYPES).select("Order_uuid", *q.ORDER_KEYS)
+
+
+def stream_header_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental header silver over several micro-batches."""
+    root = scratch_path(spark, "stream-header")
+    bronze = _bronze(spark, sf_dir, root)
+    rn.header_stream(spark, bronze, f"{root}/header", f"{root}/ckpt/header", max_files=SILVER_FILES_PER_BATCH)
+    names = rn.key_columns(spark, f"{root}/header")
+    silver = pv.typed(rn.header_table(spark, f"{root}/header"), {names[k]: q.HEADER_TYPES[k] for k in q.HEADER_KEYS})
+    return silver.select("bundle_id", q._doc_time(), *[col_of(names[k]).alias(k) for k in q.HEADER_KEYS])
+
+
+def stream_silver_case_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two drops of documents whose keys clash: ``code`` in the first,
+    ``Code`` in the second, and ``batch_id`` (a name the log uses) in both.
+    Each key keeps its own column."""
+    root = scratch_path(spark, "stream-keys")
+    orders = fx.load(spark, sf_dir, "orders")
+    first = F.coalesce(F.col("o_orderstatus") == "O", F.lit(False))
+    for part, key in ((orders.filter(first), "code"), (orders.filter(~first), "Code")):
+        resource = F.struct(
+            F.lit("Note").alias("resourceType"),
+            F.col("o_totalprice").alias(key),
+            F.col("o_custkey").alias("batch_id"),
+        )
+        entry = F.struct(F.concat(F.lit("urn:note:"), F.col("o_orderkey").cast("string")).alias("fullUrl"), resource.alias("resource"))
+        doc = F.struct(
+            F.lit("Bundle").alias("resourceType"),
+            F.col("o_orderkey").cast("string").alias("id"),
+            F.lit(fx.CUSTOMER_BUNDLE_TIMESTAMP).alias("timestamp"),
+            F.array(entry).alias("entry"),
+        )
+        rn.landing_writer(part.select(F.to_json(doc).alias("value")), f"{root}/landing")
+        rn.ingest_documents(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze", whole_text=False)
+        rn.silver_stream(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver")
+    names = rn.key_columns(spark, f"{root}/silver/Note")
+    types = {"code": "double", "Code": "double", "batch_id": "bigint"}
+    wide = pv.typed(rn.silver_table(spark, f"{root}/silver", "Note"), {c: types[k] for k, c in names.items()})
+    return wide.select(
+        "Note_uuid",
+        col_of(names["code"]).alias("code_first"),
+        col_of(names["Code"]).alias("code_second"),
+        col_of(names["batch_id"]).alias("batch_key"),
+    )
+
+
+def stream_change_feed_grown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change stream over a log whose second batch has a new column
+    (``props``) and is replayed after it was read."""
+    root = scratch_path(spark, "stream-grown")
+    events = fx.event_updates(spark, sf_dir)
+    cut = F.coalesce(F.col("ts") < F.lit(q.CHANGE_FEED_CUT).cast("timestamp_ntz"), F.lit(False))
+    log = rn.ChangeLog(spark, f"{root}/changes", keys=q.EVENT_KEYS, sequence_by="ts", tie_break="event_id")
+    out = f"{root}/feed"
+    later = events.filter(~cut)
+    for step in (lambda: log.append(events.filter(cut).drop("props"), 0), lambda: log.append(later, 1), lambda: log.append(later, 1)):
+        step()
+        changes = rn.stream_changes(spark, log.path)
+        rn.run_stream(changes, out, f"{root}/ckpt/feed")
+    feed = rn.read_sink(spark, out, changes.schema)
+    return q._event_out(feed, ["user_id", "event_id", "ts", "event_type", "value", "props"])
+
+
+def skip_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with a header line and a line end at the end, read line by line
+    without the header."""
+    root = scratch_path(spark, "skip-lines")
+    cols = ["o_orderkey", "o_custkey", "o_orderpriority"]
+    fx.load(spark, sf_dir, "orders").select(*cols).write.option("header", "true").csv(f"{root}/landing")
+    lines = docs.read_documents(spark, f"{root}/landing", whole_text=False, skip_rows=1)
+    row = F.from_csv("value", "o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING")
+    return lines.select(row.alias("r")).select(*[F.col("r")[c].alias(c) for c in cols])

@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -82,6 +82,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/sheaf/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a folder, through the session's Hadoop settings."""
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(sc._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, target = _hadoop(spark, path)
+    return fs.exists(target)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder (empty if it is not there)."""
+    fs, target = _hadoop(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
+
+
+def publish(df: DataFrame, path: str) -> bool:
+    """Write ``df`` as the parquet folder ``path``, whole and once: the files
+    are written under a name that readers ignore and the folder is renamed
+    when complete. A folder already there is kept as it is (a replayed batch
+    holds the same rows, and a reader that has seen its files must not see
+    them again under other names). Returns whether anything was written."""
+    spark = df.sparkSession
+    fs, target = _hadoop(spark, path)
+    if fs.exists(target):
+        return False
+    pending = _hadoop(spark, f"{target.getParent().toString()}/_pending/{target.getName()}")[1]
+    df.write.mode("overwrite").parquet(pending.toString())
+    if not fs.rename(pending, target):
+        raise OSError(f"cannot rename {pending.toString()} to {path}")
+    return True
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage
     (never a local checkpoint: an executor loss must not lose the data)."""

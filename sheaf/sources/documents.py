@@ -44,15 +44,21 @@ def _reader(r, whole_text: bool, options: dict | None):
     return r
 
 
+_LINE_END = r"(?:\r\n|\n|\r)"
+
+
 def _skip_lines(df: DataFrame, skip_rows: int, whole_text: bool) -> DataFrame:
     """Drop the first ``skip_rows`` lines of each file. The text source has
     no such option, so: cut them off the whole text, or (line mode) split the
-    whole text and keep line numbers >= skip_rows."""
+    whole text and keep line numbers >= skip_rows. Lines end as they do for
+    the text source: at ``\\n``, ``\\r\\n`` or ``\\r``, and a line end at the
+    end of the file starts no further line."""
     if skip_rows <= 0:
         return df
     if whole_text:
-        return df.withColumn("value", F.regexp_replace("value", r"^(?:[^\n]*\n){0,%d}" % skip_rows, ""))
-    lines = df.select("*", F.posexplode(F.split("value", "\n")).alias("_line_no", "_line")).filter(
+        return df.withColumn("value", F.regexp_replace("value", r"\A(?:[^\r\n]*+(?:%s|\z)){0,%d}+" % (_LINE_END, skip_rows), ""))
+    text = F.regexp_replace("value", _LINE_END + r"\z", "")
+    lines = df.select("*", F.posexplode(F.split(text, _LINE_END)).alias("_line_no", "_line")).filter(
         F.col("_line_no") >= skip_rows
     )
     return lines.withColumn("value", F.col("_line")).drop("_line_no", "_line")

@@ -14,8 +14,6 @@ append-only change log.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,8 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators import changes as ch
 from ..operators import explode as ex
 from ..operators import pivot as pv
+from ..operators import summaries as sm
 from ..functions.variant import col_of
-from ..session import variant_shredding
+from ..session import folder_names, path_exists, publish, variant_shredding
 from ..sources import documents as docs
 
 
@@ -56,10 +55,11 @@ def run_batches(df: DataFrame, fn, checkpoint: str, wait: bool = True) -> Stream
     return query
 
 
-def stream_table(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+def stream_table(spark: SparkSession, path: str, max_files: int | None = None, merge_schema: bool = False) -> DataFrame:
     """Stream a parquet table written by an earlier step (schema taken from
-    the table itself), optionally at most ``max_files`` files per batch."""
-    schema = spark.read.parquet(path).schema
+    the table itself), optionally at most ``max_files`` files per batch. With
+    ``merge_schema`` the columns of all its files count, not of one."""
+    schema = spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path).schema
     r = spark.readStream.schema(schema)
     if max_files is not None:
         r = r.option("maxFilesPerTrigger", str(int(max_files)))
@@ -120,12 +120,12 @@ def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, head
 def pivot_stream(spark: SparkSession, bronze_path: str, resource_type: str, keys: list[str], stage_path: str, checkpoint: str) -> StreamingQuery:
     """Wide stage rows of one type, computed per micro-batch from whole
     bronze rows and appended; batch id kept for ordering and idempotence
-    (a replayed batch overwrites its own folder)."""
+    (a replayed batch finds its folder there)."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
         entries = ex.explode_entries(batch, url_check=True)
         wide = pv.pivot_resource(None, resource_type, keys, entries=entries)
-        wide.write.mode("overwrite").parquet(f"{stage_path.rstrip('/')}/batch_id={batch_id}")
+        publish(wide, f"{stage_path.rstrip('/')}/batch_id={batch_id}")
 
     return run_batches(stream_table(spark, bronze_path), step, checkpoint)
 
@@ -133,8 +133,8 @@ def pivot_stream(spark: SparkSession, bronze_path: str, resource_type: str, keys
 class ChangeLog:
     """Append-only change log with merge-on-read.
 
-    Each micro-batch lands in ``<path>/batch_id=N`` (overwriting that one
-    folder, so a replayed batch is harmless). The batch id is the version,
+    Each micro-batch lands in ``<path>/log/batch_id=N``, whole and once (see
+    :func:`publish`; a replayed batch adds nothing). The batch id is the version,
     so a log is fed by one stream with one checkpoint (a second checkpoint
     would number its batches from 0 again). The current state is
     :func:`apply_changes` over the whole log with the batch id as the last
@@ -150,21 +150,13 @@ class ChangeLog:
         self.tie_break = ch._as_list(tie_break)
 
     def append(self, batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{self.path}/log/batch_id={batch_id}")
+        publish(batch, f"{self.path}/log/batch_id={batch_id}")
 
     def _snapshot(self) -> tuple[int, str] | None:
         """(last batch folded in, path) of the newest snapshot, if any."""
-        # a recursive listing of the log's root (no file is read); the root
-        # exists once a batch has been appended
-        files = (
-            self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet").load(self.path).inputFiles()
-        )
-        found = [int(m.group(1)) for f in files if (m := re.search(r"/snapshot/upto=(\d+)/", f))]
-        if not found:
-            return None
-        upto = max(found)
-        return upto, f"{self.path}/snapshot/upto={upto}"
+        # snapshots are published whole, so a folder that is there is complete
+        found = [int(n.removeprefix("upto=")) for n in folder_names(self.spark, f"{self.path}/snapshot") if n.startswith("upto=")]
+        return (max(found), f"{self.path}/snapshot/upto={max(found)}") if found else None
 
     def _log(self) -> DataFrame:
         # batches may carry different columns (a key first seen later):
@@ -220,7 +212,7 @@ class ChangeLog:
         cols = [c for c in log.columns if c not in self.keys]
         latest = log.groupBy(*[col_of(k) for k in self.keys]).agg(F.max_by(F.struct(*[col_of(c) for c in cols]), seq).alias("_r"))
         latest = latest.select(*[col_of(k) for k in self.keys], *[F.col("_r")[c].alias(c) for c in cols])
-        latest.write.mode("overwrite").parquet(f"{self.path}/snapshot/upto={upto}")
+        publish(latest, f"{self.path}/snapshot/upto={upto}")
         return upto
 
     def stream_into(self, changes_stream: DataFrame, checkpoint: str, compact_every: int | None = None) -> StreamingQuery:
@@ -239,8 +231,10 @@ class ChangeLog:
 
 def stream_changes(spark: SparkSession, log_path: str) -> DataFrame:
     """Stream the rows of a change log as they are appended (the change
-    feed of a table kept by :class:`ChangeLog`)."""
-    return stream_table(spark, f"{log_path.rstrip('/')}/log")
+    feed of a table kept by :class:`ChangeLog`), each batch once, with the
+    columns of every batch that is there when the stream starts (NULL where a
+    batch has none)."""
+    return stream_table(spark, f"{log_path.rstrip('/')}/log", merge_schema=True)
 
 
 def landing_writer(df: DataFrame, folder: str, column: str = "value") -> None:
@@ -249,6 +243,31 @@ def landing_writer(df: DataFrame, folder: str, column: str = "value") -> None:
     df.select(F.col(column).alias("value")).write.mode("append").text(folder)
 
 
+def key_columns(spark: SparkSession, table_root: str, before: int | None = None) -> dict[str, str]:
+    """The key -> column mapping of an incremental table: a key keeps the
+    column it got in the batch that first had it. ``before`` leaves out later
+    batches, so a replayed batch sees what it saw at first."""
+    path = f"{table_root.rstrip('/')}/columns"
+    if not path_exists(spark, path):
+        return {}
+    rows = spark.read.schema("`key` STRING, `column` STRING, batch_id BIGINT").parquet(path)
+    if before is not None:
+        rows = rows.filter(F.col("batch_id") < before)
+    # bounded by the distinct keys, not by the data
+    return {r["key"]: r["column"] for r in rows.orderBy("batch_id", "column").collect()}
+
+
+def _named(spark: SparkSession, table_root: str, keys: list[str], reserved: list[str], batch_id: int) -> dict[str, str]:
+    """Columns of a batch's keys; those of new keys are added to the mapping."""
+    known = key_columns(spark, table_root, before=batch_id)
+    names = pv.column_names(keys, reserved, known)
+    new = [(k, c) for k, c in names.items() if k not in known]
+    if new:
+        rows = spark.createDataFrame(new, "`key` STRING, `column` STRING").coalesce(1)
+        publish(rows, f"{table_root.rstrip('/')}/columns/batch_id={batch_id}")
+    return names
+
+
 def silver_stream(
     spark: SparkSession,
     bronze_path: str,
@@ -260,7 +279,8 @@ def silver_stream(
 ) -> StreamingQuery:
     """Incremental silver: each micro-batch of new bronze rows is exploded
     once; per resource type its wide rows (keys discovered from the batch)
-    are appended to ``silver_root/<type>/log/batch_id=N``. Read a table with
+    are appended to ``silver_root/<type>/log/batch_id=N``, their columns named
+    by the type's one mapping (:func:`key_columns`). Read a table with
     :func:`silver_table`. Work per run grows with the new data only."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -269,7 +289,7 @@ def silver_stream(
             # one small collect: the types of this batch and their key lists
             # (bounded by the distinct types and keys, not by the data)
             keys = (
-                ex.explode_fields(batch)
+                ex.entry_fields(entries)
                 .filter(F.col("resourceType").isNotNull())
                 .groupBy("resourceType")
                 .agg(F.sort_array(F.collect_set("key")).alias("keys"))
@@ -279,16 +299,45 @@ def silver_stream(
             for t in sorted(found):
                 if types is not None and t not in types:
                     continue
-                wide = pv.pivot_resource(None, t, found.get(t, []), entries=entries)
-                wide.write.mode("overwrite").parquet(f"{silver_root.rstrip('/')}/{t}/log/batch_id={batch_id}")
+                log = _silver_log(spark, silver_root, t)
+                names = _named(spark, log.path, found[t], [*pv.RESOURCE_GROUP, f"{t}_uuid"], batch_id)
+                log.append(pv.pivot_resource(None, t, found[t], entries=entries, names=names), batch_id)
                 if compact_every and (batch_id + 1) % compact_every == 0:
-                    _silver_log(spark, silver_root, t).compact()
+                    log.compact()
         finally:
             entries.unpersist()
 
     return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
 
 
+def header_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, max_files: int | None = None) -> StreamingQuery:
+    """Incremental header silver: the wide header rows of each micro-batch
+    (keys discovered from the batch, one mapping for the table) are appended
+    to ``silver_path/log/batch_id=N``. Read it with :func:`header_table`."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        found = sm.discover_header_keys(ex.explode_header(batch))
+        log = _header_log(spark, silver_path)
+        names = _named(spark, log.path, found, pv.HEADER_GROUP, batch_id)
+        log.append(pv.pivot_header(None, found, method="project", bronze=batch, only_with_keys=True, names=names), batch_id)
+
+    return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
+
+
+def _header_log(spark: SparkSession, silver_path: str) -> "ChangeLog":
+    return ChangeLog(spark, silver_path, keys=["bundleUUID"], sequence_by="bundle_timestamp")
+
+
+def header_table(spark: SparkSession, silver_path: str) -> DataFrame:
+    """Current header silver rows: latest per document over the appended
+    rows, NULL keys dropped."""
+    from ..operators import quality as q
+
+    log = _header_log(spark, silver_path)
+    changes, _ = q.expect(log.changes(), drop={"valid_bundleUUID": "bundleUUID IS NOT NULL"})
+    return ch.apply_changes(changes, log.keys, log.sequence_by, tie_break=["batch_id"], except_columns=["batch_id"])
+
+
 def _silver_log(spark: SparkSession, silver_root: str, resource_type: str) -> "ChangeLog":
     url_col = f"{resource_type}_uuid"
     return ChangeLog(spark, f"{silver_root.rstrip('/')}/{resource_type}", keys=["bundleUUID", url_col], sequence_by="bundle_timestamp")
