@@ -74,7 +74,7 @@ def rule_column(host: Column, path: Column, rules: list[tuple[str, str]]) -> tup
 def _level(counts: DataFrame, parent: DataFrame, keys: list[str], up: list[str]) -> DataFrame:
     """Posterior of every group of one level. ``counts``: keys, n, bad;
     ``parent``: up, mean. The strength is one row, from sums over all groups."""
-    g = counts.join(parent.select(*up, F.col("mean").alias("m")), up) if up else counts.join(parent.select(F.col("mean").alias("m")))
+    g = counts.join(parent.select(*up, F.col("mean").alias("m")), up) if up else counts.withColumn("m", parent.select("mean").scalar())
     v = F.col("m") * (1 - F.col("m"))
     low, high = 1 / (STRENGTH[1] + 1), 1 / (STRENGTH[0] + 1)
     # nothing to estimate from (no group of two outcomes): the weakest prior

@@ -240,6 +240,42 @@ def test_line_dedup_cases(docs, empty):
     assert out.columns == docs.columns and out.count() == len(DOCS) and line_dedup.removed_lines(empty).count() == 0
 
 
+def _one_edit(a, b):
+    if abs(len(a) - len(b)) > 1:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def test_near_lines_by_brute_force(spark):
+    """Random edits at every place, lines of 7 to 80 characters, repeated
+    characters, other scripts; the earliest near occurrence stays."""
+    rng = np.random.default_rng(3)
+    alphabet = list("aab é漢😀.")
+    rows = []
+    base = ["".join(rng.choice(alphabet, n)) for n in (7, 8, 9, 10, 16, 17, 31, 32, 33, 64, 80)] + ["a" * 12, "a" * 33]
+    for d in range(40):
+        lines = []
+        for line in rng.choice(base, 6):
+            for _ in range(int(rng.integers(0, 3))):
+                i = int(rng.integers(0, len(line) + 1))
+                line = line[:i] + str(rng.choice(["", "x", "é"])) + line[i + int(rng.integers(0, 2)) :]
+            lines.append(line)
+        rows.append((d, "\n".join(lines)))
+    strip = lambda x: x.strip(" \t\n\r\x0b\x0c")
+    at = [(d, n, strip(x)) for d, t in rows for n, x in enumerate(t.split("\n")) if strip(x)]
+    first = {}
+    for d, n, x in at:
+        first.setdefault(x, (d, n))
+    near = {x for x in first if len(x) >= line_dedup.MIN_CHARS for y in first
+            if len(y) >= line_dedup.MIN_CHARS and first[y] < first[x] and _one_edit(x, y)}
+    expect = {d: [n for e, n, x in at if e == d and ((e, n) > first[x] or x in near)] for d, _ in rows}
+    got = {r.doc_id: r.removed for r in line_dedup.removed_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert near and got == expect
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
