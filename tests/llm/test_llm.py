@@ -188,6 +188,46 @@ def test_repeated_bytes_by_brute_force(spark, docs, empty):
     assert suffix_dedup.repeated_bytes(empty).count() == 0
 
 
+def _lost_bytes(rows, length=50):
+    """(id or -1, text hash, bytes removed, digest of the rest) by brute force."""
+    order = lambda d: float("inf") if d is None else d
+    first = {}
+    for d, t in rows:
+        raw = t.encode()
+        for i in range(len(raw) - length + 1):
+            first[raw[i : i + length]] = min(first.get(raw[i : i + length], order(d)), order(d))
+    out = []
+    for d, t in rows:
+        raw = t.encode()
+        gone = np.zeros(len(raw), dtype=bool)
+        for i in range(len(raw) - length + 1):
+            if first[raw[i : i + length]] < order(d):
+                gone[i : i + length] = True
+        kept = bytes(c for c, g in zip(raw, gone) if not g)
+        out.append((-1 if d is None else d, len(raw), int(gone.sum()), hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def _found_bytes(df):
+    return sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in suffix_dedup.repeated_bytes(df).collect())
+
+
+def test_repeated_bytes_of_documents_without_an_own_id(spark):
+    """NULL ids and one repeated id, each with more texts than 8 bits tell
+    apart, so equal one-byte marks are certain."""
+    rng = np.random.default_rng(5)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnop"), n))
+    shared = [word(70) for _ in range(6)]
+    rows = [(k, word(20) + x + word(30)) for k, x in enumerate(shared)]
+    for k in range(300):
+        parts = [word(int(rng.integers(40, 90))) for _ in range(3)]
+        parts.insert(int(rng.integers(0, 4)), shared[k % 6])
+        rows.append((None if k % 2 else 7, "".join(parts)))
+    rows += rows[-2:]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert _found_bytes(df) == _lost_bytes(rows)
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 7, 1000):
         assert sorted(training_order.feistel(np.arange(n), n, 5)) == list(range(n))
