@@ -228,6 +228,37 @@ def test_repeated_bytes_of_documents_without_an_own_id(spark):
     assert _found_bytes(df) == _lost_bytes(rows)
 
 
+def test_hot_grams_by_brute_force(spark, monkeypatch):
+    """A smaller document in a slice of its own holds runs equal to both marks
+    of a hot gram, and shares more windows with the hot slice's other runs."""
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), n))
+    rows = []
+    for case in range(12):
+        core = word(64)
+        ends = [(word(45), word(45)) for _ in range(2)]
+        whole = [a + core + b for a, b in ends]
+        d = 100 * case
+        rows += [(d, word(60) + whole[0] + word(60) + whole[1] + word(60))]
+        rows += [(d + 30 + k, word(55) + x + word(55)) for k, x in enumerate(whole)]
+        rows += [(d + 20 + k, word(70) + core + word(70)) for k in range(4)]
+    small = [r for r in rows if r[0] % 100 == 0]
+    large = [r for r in rows if r[0] % 100]
+    small += [(10_000 + k, word(80)) for k in range(len(large) - len(small))]  # the first batch
+    every = _lost_bytes(small + large)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(len(large)))
+    try:
+        df = spark.createDataFrame(small + large, "doc_id long, text string").coalesce(1)
+        for hot in (1, 2):
+            monkeypatch.setattr(suffix_dedup, "HOT", hot)
+            assert _found_bytes(df) == every, hot
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")
+        mixed = [(small + large)[i] for i in rng.permutation(2 * len(large))]
+        assert _found_bytes(spark.createDataFrame(mixed, "doc_id long, text string").coalesce(2)) == every
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_feistel_is_a_permutation():
     for n in (1, 2, 7, 1000):
         assert sorted(training_order.feistel(np.arange(n), n, 5)) == list(range(n))
