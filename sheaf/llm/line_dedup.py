@@ -4,7 +4,7 @@ Two lines are near when one edit (a character replaced, added or taken out)
 turns one into the other. A line emits, as hashed keys, itself and every
 string that deleting one character leaves; lines meet where keys are equal,
 the edit distance is verified, and of lines that are near the earliest
-occurrence (by doc_id, then line number) stays. Equal lines of any length
+occurrence (by doc_id, then hash of the text, then line number) stays. Equal lines of any length
 are near; lines under ``MIN_CHARS`` are near only if equal.
 
 A line of 300 characters has 301 such strings, nearly all of them without a
@@ -22,8 +22,9 @@ partial aggregates; joins back to them are plain equality joins.
 
 Defined cases: a NULL text has no lines; lines without a word are neither
 compared nor counted; spaces at either end are not compared. Documents with
-one id share a place in the order, so repeated rows are judged alike, each
-has its own result row. NULL ids come last. Other columns are not read, and
+one id and different texts are in the order of the texts' hashes; rows with
+one id and one text are judged alike, each has its own result row. NULL ids
+come last. Other columns are not read, and
 ``dedup`` passes them through.
 """
 
@@ -41,10 +42,11 @@ CHUNKS = 8
 WHOLE = 16  # a part up to so long is one chunk
 
 
-def _place(doc_id: Column, line: Column) -> Column:
-    """(doc_id, line number) as one number; NULL ids last."""
-    number = F.coalesce(doc_id.cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
-    return (number * F.lit(1 << 31).cast("decimal(11,0)") + line).cast("decimal(38,0)")
+def _place() -> Column:
+    """(doc_id, hash of the text, line number), NULL ids last: no two lines
+    that differ have one place."""
+    number = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
+    return F.struct(number.alias("d"), F.col("t").alias("t"), F.col("line").alias("line"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -75,18 +77,20 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
 
 
 def near_lines(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(distinct, near): distinct lines as (h1, h2, o), o the place of the
-    first occurrence; near: o of a line and the earlier place it is near."""
+    """(distinct, near): distinct lines as (h1, h2, at), at the place of the
+    first occurrence; near: at of the lines that are near an earlier one."""
     s = F.col("s")
     keyed = occ.select(
-        F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2"), _place(F.col("doc_id"), F.col("line")).alias("o"),
+        F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2"), _place().alias("at"),
         *[k.alias(f"b{i}") for i, k in enumerate(_halves(s))],
     )
-    distinct = written(keyed.groupBy("h1", "h2").agg(F.min("o").alias("o"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(4)]), "lines")
+    distinct = written(keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(4)]), "lines")
     # Halves that two distinct lines share.
-    half = distinct.select("o", F.explode(F.array("b0", "b1", "b2", "b3")).alias("b")).filter("b IS NOT NULL")
-    half = _several(half, "b")
-    text = occ.select(_place(F.col("doc_id"), F.col("line")).alias("o"), "s").join(half.select("o").distinct(), "o", "left_semi")
+    half = distinct.select("at", F.explode(F.array("b0", "b1", "b2", "b3")).alias("b")).filter("b IS NOT NULL")
+    half = written(_several(half, "b"), "line-halves")
+    # Lines still in question are numbered in the order of their places.
+    number = written(half.select("at").distinct().orderBy("at").select("at", F.monotonically_increasing_id().alias("o")), "line-numbers")
+    text = occ.select(_place().alias("at"), "s").join(number, "at").select("o", "s")
     text = written(text.groupBy("o").agg(F.first("s").alias("s")), "line-text")
     # The other half, in chunks, for a pair of lengths (m, m) and (m, m + 1).
     n = F.char_length(s)
@@ -126,7 +130,7 @@ def near_lines(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
     a = text.select("o", F.col("s").alias("sa"))
     b = text.select(F.col("o").alias("p"), F.col("s").alias("sb"))
     near = pairs.join(a, "o").join(b, "p").filter(F.levenshtein("sa", "sb", 1).between(0, 1))
-    return distinct.select("h1", "h2", "o"), near.groupBy("o").agg(F.min("p").alias("p"))
+    return distinct.select("h1", "h2", "at"), near.select("o").distinct().join(number, "o").select("at")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -134,9 +138,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     removed, and the numbers of the removed lines, in order."""
     occ = occurrences(docs)
     distinct, near = near_lines(occ)
-    known = distinct.join(near, "o", "left").select("h1", "h2", "o", F.col("p").isNotNull().alias("near"))
+    known = distinct.join(near.withColumn("near", F.lit(True)), "at", "left").select("h1", "h2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     at = occ.select("doc_id", "t", "line", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2")).join(known, ["h1", "h2"])
-    later = _place(F.col("doc_id"), F.col("line")) > F.col("o")
+    later = _place() > F.col("first")
     k = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("k"), "t"]
     gone = F.when(later | F.col("near"), F.col("line"))
     per = at.select(*k, "line", later.alias("later"), "near", gone.alias("gone")).distinct().groupBy("k", "t").agg(

@@ -347,6 +347,31 @@ def test_near_lines_by_brute_force(spark):
     assert near and got == expect
 
 
+def test_lines_of_documents_without_an_own_id(spark):
+    """NULL ids and one repeated id: different and equal lines at one place."""
+    rng = np.random.default_rng(8)
+    base = ["".join(rng.choice(list("abcdefgh"), 24)) for _ in range(14)]
+    rows = []
+    for k in range(60):
+        lines = []
+        for line in rng.choice(base, 3):
+            i = int(rng.integers(0, 24))
+            lines.append(line[:i] + "x" + line[i + 1 :] if rng.random() < 0.3 else str(line))
+        rows.append((None if k % 2 else 7 if k % 4 else k, "\n".join([*lines, f"tail {k} " + "".join(rng.choice(list("ijklmnop"), 20))])))
+    rows += rows[:3]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    hashed = {r.text: r.t for r in df.select("text", F.xxhash64("text").alias("t")).collect()}
+    place = lambda d, t, n: (d is None, d or 0, hashed[t], n)
+    at = [(place(d, t, n), x) for d, t in rows for n, x in enumerate(t.split("\n"))]
+    first = {}
+    for p, x in at:
+        first[x] = min(first.get(x, p), p)
+    near = {x for x in first for y in first if first[y] < first[x] and _one_edit(x, y)}
+    expect = sorted((str(d), hashed[t], [n for n, x in enumerate(t.split("\n")) if place(d, t, n) > first[x] or x in near]) for d, t in rows)
+    got = sorted((str(r.doc_id), r.t, r.removed) for r in line_dedup.removed_lines(df).collect())
+    assert near and got == expect
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
