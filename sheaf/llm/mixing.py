@@ -12,7 +12,8 @@ rows in one task. Both are taken over hash (or time) buckets instead: sums
 per bucket, a running sum of those few rows, and a window inside each
 bucket; the number of buckets follows the row count.
 
-Defined cases: NULL or wordless texts have size 0 and are taken 0 times;
+Defined cases: NULL or wordless texts have size 0 and are taken 0 times; a
+source of only such texts has target 0 and no finish times;
 NULL source is a source, the last; repeated rows are separate documents with
 equal sizes, taken as such; an empty table gives an empty mix. Only doc_id,
 source and the text are read.
@@ -84,7 +85,7 @@ def schedule(docs: DataFrame, seed: str = SEED, rows_a_bucket: int = ROWS_A_BUCK
     at = at.join(goal, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
     cum = F.col("_base") + F.col("_in")
     repeats = how.get("repeats", MAX_REPEATS)
-    turns = [((cum + F.col("source_size") * e) / F.col("target")).alias(f"_f{e}") for e in range(repeats)]
+    turns = [F.try_divide(cum + F.col("source_size") * e, F.col("target")).alias(f"_f{e}") for e in range(repeats)]
     extra = [c for c in docs.columns if c not in ("doc_id", "source", "size")]
     timed = reliable_checkpoint(at.select("doc_id", "source", "size", *extra, "source_size", "target", "_h", *turns))
     cut = _cut(timed, repeats, rows_a_bucket)

@@ -372,6 +372,17 @@ def test_lines_of_documents_without_an_own_id(spark):
     assert near and got == expect
 
 
+def test_mix_with_a_source_without_words(spark):
+    rows = [(1, "a", "one two three"), (2, "a", "four five"), (3, "b", None), (4, "b", ""), (5, "b", " \n\t"), (6, None, "  "), (None, "c", "six")]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    got = {r.doc_id: (r["size"], r.source_size, r.target, r.taken) for r in mixing.mix(df).collect()}
+    assert all(got[d] == (0, 0, 0.0, 0) for d in (3, 4, 5, 6))
+    full = {r.doc_id: r.taken for r in mixing.mix(df.filter("doc_id IS NULL OR doc_id < 3")).collect()}
+    assert len(got) == 7 and sum(full.values()) > 0 and all(got[d][3] <= 2 * got[d][0] for d in got)
+    wordless = mixing.mix(df.filter("doc_id BETWEEN 3 AND 6")).collect()
+    assert len(wordless) == 4 and all(r.taken == 0 for r in wordless)
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
