@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, suffix_dedup, training_order, url_reputation, warc
+from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, suffix_dedup, training_order, url_reputation, warc, whitening
 from .common import table
 
 
@@ -53,6 +53,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc": op2_warc,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fair_mix": op8_fair_mix,
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
+    "op11_embedding_whitening": op11_embedding_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
