@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import decontam, line_dedup, line_quality, mixing, ngram_join, pii, suffix_dedup, training_order, url_reputation, warc, whitening
+from . import (
+    decontam, line_dedup, line_quality, lm_score, mixing, ngram_join, pii, suffix_dedup, token_alignment, training_order, url_reputation, warc, whitening,
+)
 from .common import table
 
 
@@ -57,6 +59,14 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align_documents(table(spark, sf_dir, "documents"))
+
+
+def op13_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_reputation": op1_url_reputation,
     "op2_warc": op2_warc,
@@ -69,6 +79,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_decontaminate": op9_decontaminate,
     "op10_ngram_join": op10_ngram_join,
     "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_lm_score": op13_lm_score,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -1,0 +1,112 @@
+"""Cross-tokenizer alignment against a plain two-pointer walk over whole texts."""
+
+import hashlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sheaf.llm import queries
+from sheaf.llm import token_alignment as ta
+
+SF = "/root/testdata/sf0.001"
+TEXTS = [
+    "The quick brown fox\njumps  over the lazy dog.", "", None, " ", "   ", "\n", "\n\n  two\n \n three \r\n four\t\tfive \r", "tail  ", "tail \n ",
+    "naïve café – déjà vu 漢字かな交じり文 🙂🙂 Ω≈ç√", "<s> </s> <unk> <|endoftext|> <0x0A> ▁ ▁▁", "a b c　d\u0085e", "\x1cone\x1d two​ three",
+    "x" * 5000, "ab " * 3000, "don't we'll I'm {\r\n  return;\r\n}\r\n", "ﬁ ① é ́ ½", "The quick brown fox\njumps  over the lazy dog.",
+]
+
+
+def plain(rows):
+    """The same by one walk over both token lists of each whole text."""
+    t = ta.Tokenizers(ta.BYTE_BPE, ta.PIECE_BPE)
+    table = [[bytes(r.flat[f : f + s]) for f, s in zip(r.first, r.size)] for r in (t.a_bytes, t.b_bytes)]
+    docs, count = [], Counter()
+    for i, text in rows:
+        raw = (" " + (text or "")).encode()
+        a = t.a.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = t.b.encode(text) if text else []
+        if not text or b"".join(table[0][x] for x in a) != raw or b"".join(table[1][x] for x in b) != raw:
+            docs.append((i, None))
+            continue
+        x = y = at_a = at_b = 0
+        at_a, at_b = len(table[0][a[0]]), len(table[1][b[0]])
+        groups, links = [([], [])], []
+        while True:
+            links.append((a[x], b[y]))
+            end_a, end_b = at_a, at_b
+            if end_a <= end_b:
+                groups[-1][0].append(a[x])
+                x += 1
+                at_a += len(table[0][a[x]]) if x < len(a) else 0
+            if end_b <= end_a:
+                groups[-1][1].append(b[y])
+                y += 1
+                at_b += len(table[1][b[y]]) if y < len(b) else 0
+            if x == len(a) and y == len(b):
+                break
+            if end_a == end_b:
+                groups.append(([], []))
+        count.update(links)
+        docs.append((i, (a, b, groups, links)))
+    best = {}
+    for (_, b), n in count.items():
+        best[b] = max(best.get(b, 0), n)
+    out = []
+    for i, d in docs:
+        if d is None:
+            out.append((i, 0, 0, 0, 0, 0, 0, ""))
+            continue
+        a, b, groups, links = d
+        text = ";".join(",".join(map(str, g)) + "|" + ",".join(map(str, h)) for g, h in groups)
+        out.append((i, len(a), len(b), len(groups), len(links), sum(count[p] == best[p[1]] for p in links), sum(count[p] for p in links), hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+def key(r):
+    return (r[0] is None, r[0] or 0, r[-1], r[1])
+
+
+@pytest.mark.parametrize("sizes", [{}, {"text_bytes": 1, "slice_links": 1}, {"text_bytes": 300, "slice_links": 50}])
+def test_hard_texts(spark, sizes):
+    rows = [*enumerate(TEXTS), (None, TEXTS[0]), (None, None), (3, TEXTS[9])]
+    df = spark.createDataFrame([(i, t, 1, "clash", 2) for i, t in rows], "doc_id long, text string, n_a int, ids string, slice int").repartition(3)
+    got = sorted((tuple(r) for r in ta.align_documents(df, **sizes).collect()), key=key)
+    want = sorted(plain(rows), key=key)
+    assert got == want
+    assert sum(r[1] > 0 for r in want) >= 12
+
+
+def test_words_are_encoded_as_in_the_text():
+    t = ta.Tokenizers(ta.BYTE_BPE, ta.PIECE_BPE, remember=8)
+    assert t.word is not None
+    rng = np.random.default_rng(3)
+    signs = [" ", "\n", "\r", "\t", "  ", " ", "a", "B", "é", "漢", "7", ".", "'s", "{", "the", "▁", "\x1c"]
+    texts = ["".join(rng.choice(signs, rng.integers(1, 30))) for _ in range(3000)]
+    (a, a_n), (b, b_n) = t.tokens([t.words(x) for x in texts])
+    a, b = np.split(a, np.cumsum(a_n)[:-1]), np.split(b, np.cumsum(b_n)[:-1])
+    for x, i, j in zip(texts, a, b):
+        assert list(i) == t.a.encode(" " + x, add_special_tokens=False).ids, repr(x)
+        assert list(j) == t.b.encode(x), repr(x)
+
+
+def test_gallop_is_a_rank():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        long = np.unique(rng.integers(0, 400, rng.integers(1, 200)))
+        short = np.unique(rng.integers(0, 420, rng.integers(1, 50)))
+        rank = np.searchsorted(long, short)
+        start = np.array([rng.integers(0, r + 1) for r in rank])
+        got, common = ta.gallop(short, long, start)
+        assert (got == rank).all() and (common == np.isin(short, long)).all()
+    x = rng.integers(0, 1 << 63, 1000).astype(np.uint64)
+    from sheaf.llm.common import mix
+
+    assert (ta.unmix(mix(x.copy())) == x).all()
+
+
+def test_empty_table_and_query(spark):
+    assert ta.align_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    got = sorted((tuple(r) for r in queries.QUERIES["op12_token_alignment"](spark, SF).collect()), key=key)
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    assert got == sorted(plain(rows), key=key)
