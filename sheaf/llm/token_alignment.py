@@ -33,6 +33,7 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,10 @@ BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
 TEXT_BYTES = 1 << 20  # of texts aligned at a time
 SLICE_LINKS = 1 << 21
-REMEMBER = 200_000
-LONG_WORD = 64  # longer words are encoded each time
+REMEMBER = 300_000
+LONG_WORD = 1 << 16  # after a word so long nothing is remembered
+#: fixed value: the pattern that cuts a text before byte-pair merging
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _ODD_INVERSE = [np.uint64(pow(c, -1, 1 << 64)) for c in (0xC4CEB9FE1A85EC53, 0xFF51AFD7ED558CCD)]
 
 
@@ -62,12 +65,26 @@ def unmix(x: np.ndarray) -> np.ndarray:
 
 
 class Ragged:
-    """Rows of integers of different lengths in two flat arrays."""
-
-    def __init__(self, rows: list, dtype):
-        self.size = np.array([len(r) for r in rows], dtype=np.int64)
-        self.first = np.cumsum(self.size) - self.size
-        self.flat = np.array([v for r in rows for v in r], dtype=dtype)
+    """Rows of integers of different lengths in flat arrays that grow."""
+
+    def __init__(self, dtype, rows: list = ()):
+        self.flat, self.first, self.size = np.zeros(0, dtype=dtype), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.n = self.used = 0
+        self.extend(rows)
+
+    def extend(self, rows: list) -> None:
+        size = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+        total = int(size.sum())
+        values = np.fromiter(chain.from_iterable(rows), dtype=self.flat.dtype, count=total)
+        for name, used, new in (("flat", self.used, values), ("first", self.n, self.used + np.cumsum(size) - size), ("size", self.n, size)):
+            have = getattr(self, name)
+            if used + len(new) > len(have):
+                grown = np.zeros(max(2 * len(have), used + len(new)), dtype=have.dtype)
+                grown[:used] = have[:used]
+                setattr(self, name, have := grown)
+            have[used : used + len(new)] = new
+        self.n += len(rows)
+        self.used += total
 
     def take(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the rows ``at``, joined; their sizes)"""
@@ -77,6 +94,18 @@ class Ragged:
         return self.flat[place], size
 
 
+class Numbers(dict):
+    """Numbers words as they come; ``new`` holds those not seen before."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 def byte_characters() -> dict[str, int]:
     """Byte-level alphabet: printable bytes stand for themselves, the others
     for characters from 256 on, in order."""
@@ -86,72 +115,83 @@ def byte_characters() -> dict[str, int]:
 
 
 class Tokenizers:
-    """Both tokenizers, with the bytes of each id."""
+    """Both tokenizers, with the bytes of each id. A's entries and merges are
+    those of its file; where each merge makes the next id, as in a file of
+    ranks, the faster of the two libraries that read such a vocabulary merges
+    them (``fast``)."""
 
     def __init__(self, a_path: str, b_path: str, remember: int = REMEMBER):
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        with open(a_path, encoding="utf-8") as f:
+            file = json.load(f)
+        special = {t["content"] for t in file.get("added_tokens", [])}
         alphabet = byte_characters()
         entries = self.a.get_vocab()
         a_bytes: list[bytes] = [b""] * (max(entries.values()) + 1)
         for text, i in entries.items():
-            a_bytes[i] = bytes(alphabet[c] for c in text) if all(c in alphabet for c in text) else text.encode()
+            a_bytes[i] = text.encode() if text in special else bytes(alphabet[c] for c in text)
         b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
-        self.a_bytes, self.b_bytes = Ragged(a_bytes, np.uint8), Ragged(b_bytes, np.uint8)
+        self.a_bytes, self.b_bytes = Ragged(np.uint8, a_bytes), Ragged(np.uint8, b_bytes)
         self.blank = self.b.piece_to_id("▁")
-        with open(a_path, encoding="utf-8") as f:
-            pre = json.load(f).get("pre_tokenizer") or {}
+        pre = file.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
+        merged = [entries.get("".join(m.split(" ") if isinstance(m, str) else m)) for m in file["model"].get("merges", [])]
+        self.fast = None
+        if plain and not file.get("normalizer") and merged == list(range(256, 256 + len(merged))):
+            ranks = {a_bytes[i]: i for text, i in entries.items() if text not in special}
+            self.fast = tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         pieces = [b.decode("utf-8", "replace") for b in b_bytes]
         # before such a character no piece of B reaches, nor joins it to B's own space in front
         cut = "".join(c for c in " \n" if plain and not any(re.search(rf"\S{c}|[ ]\n", p) for p in pieces))
         self.word = re.compile(rf"(?:[{cut}]\s*)?\S+(?:[^\S{cut}]\s*\S+)*(?:\s+\Z)?|\s+") if cut else None
         self.remember = remember
-        self.known: dict[str, int] = {}
-        self.rows: tuple[list, list] = ([], [])
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known, self.a_rows, self.b_rows = Numbers(), Ragged(np.int64), Ragged(np.int64)
 
     def words(self, text: str) -> list[str]:
         """The text with its leading space, in pieces to be encoded apart. B
         takes its own sign for a space as one, so texts with it stay whole."""
         return self.word.findall(" " + text) if self.word and "▁" not in text else [" " + text]
 
-    def encode(self, words: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        # B puts a space in front: those that begin with one give it up, from the others it is taken off
-        b = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
-        return a, [ids if w[0] == " " else ids[1:] if ids[:1] == [self.blank] else [-1] for w, ids in zip(words, b)]
+    def encode_a(self, words: list[str]) -> list[list[int]]:
+        if self.fast is not None:
+            return [self.fast.encode_ordinary(w) for w in words]
+        return [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
+
+    def encode_b(self, words: list[str]) -> list[list[int]]:
+        """B puts a space in front: words that begin with one give it up, from
+        the others it is taken off."""
+        found = self.b.encode([w[1:] if w[0] == " " else w for w in words], num_threads=1)
+        return [ids if w[0] == " " else ids[1:] if ids[:1] == [self.blank] else [-1] for w, ids in zip(words, found)]
 
     def tokens(self, texts: list[list[str]]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
         """For A and for B: (ids of all texts, joined; their number by text)."""
         if len(self.known) > self.remember:
-            self.known, self.rows = {}, ([], [])
-        known = self.known
-        new = list({w for t in texts for w in t if w not in known})
-        found = self.encode(new) if new else ([], [])
-        base = len(self.rows[0])
-        here = {w: base + k for k, w in enumerate(new)}
-        look = {**known, **here}
-        at = np.fromiter((look[w] for t in texts for w in t), dtype=np.int64)
-        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+            self._forget()
+        sizes = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
+        at = np.fromiter(map(self.known.__getitem__, chain.from_iterable(texts)), dtype=np.int64, count=int(sizes.sum()))
+        new, self.known.new = self.known.new, []
+        if new:
+            self.a_rows.extend(self.encode_a(new))
+            self.b_rows.extend(self.encode_b(new))
         out = []
-        for side in (0, 1):
-            used, place = np.unique(at, return_inverse=True)
-            table = Ragged([self.rows[side][i] if i < base else found[side][i - base] for i in used], np.int64)
-            ids, n = table.take(place)
+        for rows in (self.a_rows, self.b_rows):
+            ids, n = rows.take(at)
             ends = np.concatenate([[0], np.cumsum(n)])[np.cumsum(sizes)]
             out.append((ids, np.diff(ends, prepend=0)))
-        for w, a, b in zip(new, *found):
-            if len(w) <= LONG_WORD:
-                known[w] = len(self.rows[0])
-                self.rows[0].append(a)
-                self.rows[1].append(b)
+        if max(map(len, new), default=0) > LONG_WORD:
+            self._forget()  # rare, and its memory goes with it
         return out[0], out[1]
 
 
@@ -198,12 +238,15 @@ def align(a_ends: np.ndarray, b_ends: np.ndarray, a_n: np.ndarray, b_n: np.ndarr
             place.append(np.arange(end[-1]) + np.repeat(first[texts] - (end - size), size))
         short, long = ends[0][place[0]], ends[1][place[1]]
         n_short, n_long = sizes[0][texts], sizes[1][texts]
-        # one anchor in sixteen is found first, from its text's start; the entries after it go on from there
+        # every 64th entry is searched from its text's start, then those half way between from the neighbour before
         base = np.repeat(np.cumsum(n_long) - n_long, n_short)
-        anchor = np.arange(0, len(short), 16)
-        rank, _ = gallop(short[anchor], long, base[anchor])
-        start = np.maximum(base, np.repeat(rank, 16)[: len(short)])
-        rank, common = gallop(short, long, start)
+        rank, common = np.zeros(len(short), dtype=np.int64), np.zeros(len(short), dtype=bool)
+        at, gap = np.arange(0, len(short), 64), 64
+        rank[at], common[at] = gallop(short[at], long, base[at])
+        while gap > 1:
+            at = np.arange(gap // 2, len(short), gap)
+            rank[at], common[at] = gallop(short[at], long, np.maximum(base[at], rank[at - gap // 2]))
+            gap //= 2
         # token k covers the long side's tokens from the one after the last end at or before its start
         low = np.empty_like(rank)
         low[0] = 0
@@ -242,7 +285,7 @@ class _Digits:
     """Decimal ids with what follows them, as bytes."""
 
     def __init__(self, n: int):
-        self.text = np.array([str(i).encode() for i in range(n)], dtype="S7")
+        self.text = np.array([str(i).encode() for i in range(n)], dtype="S")
         self.size = np.char.str_len(self.text)
         self.chars = self.text.view(np.uint8).reshape(n, -1)
 
@@ -280,7 +323,7 @@ def _tokenizers(a_path: str, b_path: str) -> tuple[Tokenizers, _Digits]:
     """One pair of tokenizers for each Python worker."""
     if (a_path, b_path) not in _loaded:
         t = Tokenizers(a_path, b_path)
-        _loaded[a_path, b_path] = t, _Digits(max(len(t.a_bytes.size), len(t.b_bytes.size)))
+        _loaded[a_path, b_path] = t, _Digits(max(t.a_bytes.n, t.b_bytes.n))
     return _loaded[a_path, b_path]
 
 

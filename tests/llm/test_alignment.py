@@ -20,7 +20,7 @@ TEXTS = [
 def plain(rows):
     """The same by one walk over both token lists of each whole text."""
     t = ta.Tokenizers(ta.BYTE_BPE, ta.PIECE_BPE)
-    table = [[bytes(r.flat[f : f + s]) for f, s in zip(r.first, r.size)] for r in (t.a_bytes, t.b_bytes)]
+    table = [[bytes(r.flat[f : f + s]) for f, s in zip(r.first[: r.n], r.size)] for r in (t.a_bytes, t.b_bytes)]
     docs, count = [], Counter()
     for i, text in rows:
         raw = (" " + (text or "")).encode()
@@ -79,7 +79,7 @@ def test_hard_texts(spark, sizes):
 
 def test_words_are_encoded_as_in_the_text():
     t = ta.Tokenizers(ta.BYTE_BPE, ta.PIECE_BPE, remember=8)
-    assert t.word is not None
+    assert t.word is not None and t.fast is not None
     rng = np.random.default_rng(3)
     signs = [" ", "\n", "\r", "\t", "  ", " ", "a", "B", "é", "漢", "7", ".", "'s", "{", "the", "▁", "\x1c"]
     texts = ["".join(rng.choice(signs, rng.integers(1, 30))) for _ in range(3000)]
