@@ -2,7 +2,8 @@
 
     python -m sheaf refresh --source <landing folder> --base <lake folder>
         [--sub-folder S] [--types A,B] [--line-mode] [--max-files N | --max-bytes 20g]
-        [--incremental]
+        [--incremental] [--on-error fail|quarantine] [--skip-rows N]
+        [--id-mode content|random] [--datasource D] [--option KEY=VALUE ...]
 
 Gets the session from the environment (master and settings from the Spark
 configuration, including ``spark.checkpoint.dir``) and prints the paths
@@ -34,6 +35,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     r.add_argument("--max-files", type=int, default=docs.DEFAULT_MAX_FILES)
     r.add_argument("--max-bytes", default=None)
     r.add_argument("--incremental", action="store_true")
+    r.add_argument("--on-error", choices=("fail", "quarantine"), default="fail", help="quarantine: malformed documents go to <base>/rejects")
+    r.add_argument("--skip-rows", type=int, default=0, help="lines to leave out at the start of each file")
+    r.add_argument("--id-mode", choices=("content", "random"), default="content")
+    r.add_argument("--datasource", default=None)
+    r.add_argument("--option", action="append", default=[], metavar="KEY=VALUE", help="option of the file reader")
     args = p.parse_args(argv)
     spark = spark or SparkSession.builder.getOrCreate()
     paths = md.refresh_all(
@@ -45,6 +51,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
         max_files=args.max_files,
         max_bytes=args.max_bytes,
         incremental=args.incremental,
+        on_error=args.on_error,
+        skip_rows=args.skip_rows,
+        id_mode=args.id_mode,
+        datasource=args.datasource,
+        options=dict(o.split("=", 1) for o in args.option) or None,
     )
     print(json.dumps(paths, sort_keys=True))
     return paths

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.variant import col_of
-from ..session import reliable_checkpoint
 
 SEQ = "_seq"
 DEL = "_del"
@@ -140,79 +139,72 @@ def _comparable(df: DataFrame, names: list[str], owner: str | None = None) -> Co
     return F.struct(*[one(c).alias(f"c{i}") for i, c in enumerate(names)]) if names else F.struct(F.lit(0))
 
 
+def _segment(df: DataFrame, column: str) -> Column:
+    """The stretch of the sequence a row falls into: an hour of a timestamp,
+    a day of a date, 65,536 units of a number, the first 13 characters of a
+    text (an hour of a written time). It depends on the row alone and never
+    falls as the sequence rises; other types have one stretch."""
+    kind, c = dict(df.dtypes)[column], _q(column)
+    if kind.startswith("timestamp"):
+        return F.date_trunc("hour", c)
+    if kind in ("float", "double"):  # NaN sorts last
+        return F.when(F.isnan(c), F.lit((1 << 63) - 1)).otherwise(F.floor(c / F.lit(65536)))
+    if kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal"):
+        return F.floor(c / F.lit(65536))
+    if kind == "string":
+        return F.left(c, F.lit(13))
+    return c if kind == "date" else F.lit(0)
+
+
 def _history(src: DataFrame, keys, value_cols, out_cols, tracked, seq) -> DataFrame:
     """Type 2. A row opens a new version when it follows nothing, a delete, or
     a row with different tracked values; otherwise it updates the open
     version in place. A version ends at the sequence of the row after its
     last row (the next version's start, or a delete).
 
-    Skew-safe: rows are range-partitioned on (keys, sequence), so a key with
-    a third of all rows is split over many partitions. Windows then run per
-    (key, partition) *segment*, never over a whole key. What a segment needs
-    from its neighbours (the previous row's tracked values, the running
-    version count, the next row's sequence) comes from a per-segment summary
-    whose windows hold at most one row per partition for any key.
+    Skew-safe by a prefix scan on two levels. The rows of a key are cut into
+    segments by :func:`_segment`, a rule that reads the row alone, so any
+    number of reads agree on them and nothing has to be stored first. Windows
+    run per (key, segment), never over a whole key; a window over the
+    segments of a key, one narrow row each, carries the previous tracked
+    values, the version count and the next start across segments. The branch
+    that makes these rows reads keys, sequence and tracked columns only. The
+    full rows are shuffled once, by (key, segment), for their windows and the
+    join with the carries alike.
     """
-    spark = src.sparkSession
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):  # e.g. "auto" on some platforms
-        n = spark.sparkContext.defaultParallelism
     kq = [_q(k) for k in keys]
     seq_value = _q(seq[0]) if len(seq) == 1 else F.struct(*[_q(c) for c in seq])
-    rows = src.select(*kq, *[_q(c) for c in value_cols], SEQ, DEL, seq_value.alias("_seq_value"), _comparable(src, tracked).alias("_tj"))
-    rows = rows.repartitionByRange(n, *kq, F.col(SEQ)).withColumn("_pid", F.spark_partition_id())
-
-    # Within a segment.
-    w = Window.partitionBy(*kq, F.col("_pid")).orderBy(SEQ)
+    # one struct: equal where the parts are, NULL parts included
+    own = F.struct(F.struct(*kq).alias("k"), _segment(src, seq[0]).alias("s"))
+    w = Window.partitionBy("_own").orderBy(SEQ)
     prev_tj, prev_del = F.lag("_tj").over(w), F.lag(DEL).over(w)
-    local_start = ~F.col(DEL) & (prev_del | (F.col("_tj") != prev_tj))  # NULL on a segment's first row
+    opens = F.coalesce(~F.col(DEL) & (prev_del | (F.col("_tj") != prev_tj)), F.lit(False))  # NULL on a segment's first row
+
+    narrow = src.select(own.alias("_own"), SEQ, DEL, seq_value.alias("_seq_value"), _comparable(src, tracked).alias("_tj"))
+    seg = narrow.withColumn("_opens", opens).groupBy("_own").agg(
+        F.min_by(F.struct("_tj", F.col(DEL).alias("d"), "_seq_value"), F.col(SEQ)).alias("_first"),
+        F.max_by(F.struct("_tj", F.col(DEL).alias("d")), F.col(SEQ)).alias("_last"),
+        F.sum(F.col("_opens").cast("long")).alias("_n"),
+    )
+    along = Window.partitionBy(F.col("_own.k")).orderBy(F.col("_own.s"))
+    before = F.lag("_last").over(along)
+    first_opens = ~F.col("_first.d") & (before.isNull() | before["d"] | (F.col("_first._tj") != before["_tj"]))
+    seg = seg.select("_own", "_n", first_opens.alias("_first_opens"), F.lead(F.col("_first._seq_value")).over(along).alias("_next_segment_seq"))
+    starts = F.sum(F.col("_n") + F.col("_first_opens").cast("long")).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    seg = seg.select(F.col("_own").alias("_seg"), (F.coalesce(starts, F.lit(0)) + F.col("_first_opens").cast("long")).alias("_carry"), "_next_segment_seq")
+
+    rows = src.select(own.alias("_own"), *kq, *[_q(c) for c in value_cols], SEQ, DEL, seq_value.alias("_seq_value"), _comparable(src, tracked).alias("_tj"))
     rows = rows.select(
         "*",
-        prev_tj.isNull().alias("_first"),
         F.lead("_seq_value").over(w).alias("_next_local"),
         F.lead(F.lit(1)).over(w).isNull().alias("_last_row"),
-        F.coalesce(local_start, F.lit(False)).alias("_local_start"),
-    )
-    rows = rows.withColumn(
-        "_local_cum", F.sum(F.col("_local_start").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    # Both the segment summary and the join below read these rows; a reliable
-    # checkpoint (in the shared checkpoint folder) fixes the partition ids so
-    # the two reads agree, and cuts the lineage for recovery.
-    rows = reliable_checkpoint(rows)
-
-    # One row per segment, then carries across the segments of a key.
-    seg = rows.groupBy(*kq, F.col("_pid")).agg(
-        F.min_by("_tj", F.col(SEQ)).alias("_first_tj"),
-        F.min_by(DEL, F.col(SEQ)).alias("_first_del"),
-        F.min_by("_seq_value", F.col(SEQ)).alias("_first_seq_value"),
-        F.max_by("_tj", F.col(SEQ)).alias("_last_tj"),
-        F.max_by(DEL, F.col(SEQ)).alias("_last_del"),
-        F.sum(F.col("_local_start").cast("long")).alias("_n_local"),
-    )
-    ws = Window.partitionBy(*kq).orderBy("_pid")
-    before_tj, before_del = F.lag("_last_tj").over(ws), F.lag("_last_del").over(ws)
-    first_start = ~F.col("_first_del") & (before_tj.isNull() | before_del | (F.col("_first_tj") != before_tj))
-    seg = seg.select(
-        *kq, "_pid",
-        first_start.alias("_first_start"),
-        F.lead("_first_seq_value").over(ws).alias("_next_segment_seq"),
-        (F.col("_n_local") + first_start.cast("long")).alias("_n_starts"),
+        opens.alias("_opens"),
     )
-    seg = seg.withColumn(
-        "_carry", F.coalesce(F.sum("_n_starts").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    ).drop("_n_starts")
-
-    same = F.col("_pid") == F.col("_seg_pid")
-    for i, k in enumerate(keys):  # a NULL key part is a key like others
-        same = same & _q(k).eqNullSafe(F.col(f"_seg_k{i}"))
-    seg = seg.withColumnRenamed("_pid", "_seg_pid").withColumnsRenamed({k: f"_seg_k{i}" for i, k in enumerate(keys)})
-    joined = rows.join(seg, same)
-    version = F.col("_carry") + F.col("_first_start").cast("long") + F.col("_local_cum")
+    rows = rows.withColumn("_cum", F.sum(F.col("_opens").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = rows.join(seg, F.col("_own") == F.col("_seg"))
     next_seq = F.when(F.col("_last_row"), F.col("_next_segment_seq")).otherwise(F.col("_next_local"))
     live = joined.filter(~F.col(DEL)).select(
-        *kq, *[_q(c) for c in value_cols], SEQ, "_seq_value", version.alias("_version"), next_seq.alias("_next_seq")
+        *kq, *[_q(c) for c in value_cols], SEQ, "_seq_value", (F.col("_carry") + F.col("_cum")).alias("_version"), next_seq.alias("_next_seq")
     )
     versions = live.groupBy(*kq, F.col("_version")).agg(
         F.min_by("_seq_value", F.col(SEQ)).alias(START_AT),

@@ -208,9 +208,14 @@ def comparable(df: DataFrame) -> DataFrame:
 def wide_difference(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of ``a`` not in ``b`` (side 'a_only') and of ``b`` not in ``a``
     (side 'b_only'), multiset semantics, on ``a``'s columns. VARIANT cells are
-    compared through their JSON text (Spark cannot compare VARIANT)."""
-    ca = comparable(a)
-    cb = comparable(b.select(*[col_of(c) for c in a.columns]))
-    return ca.exceptAll(cb).withColumn("side", F.lit("a_only")).unionByName(
-        cb.exceptAll(ca).withColumn("side", F.lit("b_only"))
+    compared through their JSON text (Spark cannot compare VARIANT). One pass:
+    rows of a count +1 and of b -1, and what does not cancel is given back as
+    often as it is left over. Equal rows are added up before the shuffle."""
+    columns = [col_of(c) for c in a.columns]
+    tagged = comparable(a).select(F.struct(*columns).alias("_row"), F.lit(1).alias("_n")).unionAll(
+        comparable(b.select(*columns)).select(F.struct(*columns).alias("_row"), F.lit(-1).alias("_n"))
     )
+    left = tagged.groupBy("_row").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
+    side = F.when(F.col("_n") > 0, "a_only").otherwise("b_only")
+    each = left.select("_row", side.alias("side"), F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n"))))
+    return each.select(*[F.col("_row")[c].alias(c) for c in a.columns], "side")

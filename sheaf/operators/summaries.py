@@ -8,7 +8,7 @@ keys, not by the data.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -21,6 +21,39 @@ def resource_types(fields: DataFrame) -> DataFrame:
     )
 
 
+def _documents_per_name(documents: DataFrame, names: Column, column: str) -> DataFrame:
+    """Documents per name, from one row of names for each document row. The
+    names of a row are made distinct in the row, those of a document by its
+    id (several rows can share one): one exchange of one small set a document,
+    none of (name, document) pairs. Names are counted by partial sums."""
+    sets = documents.select("bundleUUID", F.array_distinct(F.coalesce(names, F.array().cast("array<struct<n:string>>"))).alias("_s"))
+    whole = sets.groupBy("bundleUUID").agg(F.array_distinct(F.flatten(F.collect_list("_s"))).alias("_s"))
+    return whole.select(F.explode("_s").alias("_n")).groupBy(F.col("_n.n").alias(column)).agg(F.count(F.lit(1)).alias("raw_bundle_count"))
+
+
+def _members(v: Column) -> Column:
+    """The values of a VARIANT array or object; NULL for anything else."""
+    return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.map_values(F.try_variant_get(v, "$", "map<string,variant>")))
+
+
+def resource_types_of(bronze: DataFrame) -> DataFrame:
+    """:func:`resource_types` straight from the documents: entries whose
+    resource has members count, as they do in the long table."""
+    entries = _members(F.try_variant_get("resource", "$.entry", "variant"))
+    filled = F.filter(entries, lambda e: F.size(F.coalesce(_members(F.try_variant_get(e, "$.resource", "variant")), F.array().cast("array<variant>"))) > 0)
+    names = F.transform(filled, lambda e: F.struct(F.variant_get(e, "$.resource.resourceType", "string").alias("n")))
+    return _documents_per_name(bronze, names, "resourceType").orderBy(F.desc("raw_bundle_count"), F.asc_nulls_last("resourceType"))
+
+
+def header_keys_of(bronze: DataFrame) -> DataFrame:
+    """:func:`header_keys` straight from the documents (the members of a
+    ``Meta`` array have no key)."""
+    keys = F.map_keys(F.try_variant_get("resource", "$.Meta", "map<string,variant>"))
+    loose = F.try_variant_get("resource", "$.Meta", "array<variant>")
+    names = F.coalesce(F.transform(keys, lambda k: F.struct(k.alias("n"))), F.transform(loose, lambda _: F.struct(F.lit(None).cast("string").alias("n"))))
+    return _documents_per_name(bronze, names, "key").orderBy("key")
+
+
 def resource_type_keys(fields: DataFrame) -> DataFrame:
     """Occurrences of each key per resource type, ordered by type and key."""
     return fields.groupBy("resourceType", "key").agg(F.count(F.lit(1)).alias("count")).orderBy("resourceType", "key")

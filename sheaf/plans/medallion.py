@@ -18,6 +18,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
+from ..operators.layout import clustered
 from ..session import scratch_path, session_id, session_settings, variant_shredding
 from ..functions.variant import col_of
 from ..sources import documents as docs
@@ -97,12 +98,16 @@ def write_table(
     spark_conf: dict[str, str] | None = None,
     comment: str | None = None,
     properties: dict[str, str] | None = None,
+    cluster_files: int | None = None,
 ) -> None:
     """Persist a table as parquet.
 
     ``cluster_by`` sorts rows inside each output file (no extra shuffle, so a
     hot key never lands in one task); parquet min/max statistics then skip
-    row groups on those columns. ``schema`` ('a INT, b STRING') selects and
+    row groups on those columns. With ``cluster_files`` rows are shuffled once
+    into so many files along a space-filling curve over the cluster columns,
+    so that whole files are skipped by a filter on any of them (see
+    :mod:`sheaf.operators.layout`). ``schema`` ('a INT, b STRING') selects and
     casts to a declared layout. ``spark_conf`` holds for this write only.
     ``comment`` and ``properties`` are kept beside the data in
     ``_table_info`` (see :func:`table_info`)."""
@@ -111,7 +116,9 @@ def write_table(
 
         st = _parse_datatype_string(schema)
         df = df.select(*[col_of(f.name).cast(f.dataType).alias(f.name) for f in st.fields])
-    if cluster_by:
+    if cluster_by and cluster_files:
+        df = clustered(df, cluster_by, cluster_files)
+    elif cluster_by:
         df = df.sortWithinPartitions(*[col_of(c) for c in cluster_by])
     w = df.write.mode(mode)
     if partition_by:
@@ -280,6 +287,7 @@ def refresh_all(
     max_files: int | None = docs.DEFAULT_MAX_FILES,
     max_bytes: str | int | None = None,
     incremental: bool = False,
+    **ingest,
 ) -> dict[str, str]:
     """One scheduled run over every layer, under ``base``:
 
@@ -296,12 +304,20 @@ def refresh_all(
     ``silver/<type>/log`` and read by merge (``silver_table``), the header
     rows likewise to ``silver_header/log`` (``header_table``), so a run's
     work grows with the new data, not the history.
+
+    ``ingest`` are further options of the first step
+    (:func:`~sheaf.streaming.runner.ingest_documents`): ``options``,
+    ``skip_rows``, ``id_mode``, ``datasource``, ``sub_folder``, ``shred``; with
+    ``on_error="quarantine"`` malformed documents go to ``rejects``.
     Returns the paths written."""
     from ..streaming import runner as rn
 
     b = base.rstrip("/")
     ck = f"{b}/_checkpoints"
-    rn.ingest_documents(spark, source, f"{b}/bronze", f"{ck}/bronze", whole_text=whole_text, max_files=max_files, max_bytes=max_bytes)
+    rejects = f"{b}/rejects" if ingest.pop("on_error", "fail") == "quarantine" else None
+    rn.ingest_documents(
+        spark, source, f"{b}/bronze", f"{ck}/bronze", whole_text=whole_text, max_files=max_files, max_bytes=max_bytes, rejects_path=rejects, **ingest
+    )
     if read_if_there(spark, f"{b}/bronze") is None:  # nothing has landed yet: no table to build on
         return {}
     fields, header = rn.explode_stream(spark, f"{b}/bronze", f"{b}/fields", f"{b}/header", f"{ck}/long")
@@ -309,6 +325,7 @@ def refresh_all(
     if incremental:
         rn.silver_stream(spark, f"{b}/bronze", f"{b}/silver", f"{ck}/silver", types=types)
         rn.header_stream(spark, f"{b}/bronze", f"{b}/silver_header", f"{ck}/silver_header")
+        paths.update({"rejects": rejects} if rejects else {})
         paths.update({"silver": f"{b}/silver", "silver_header": f"{b}/silver_header", "bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
         return paths
     type_keys = sm.type_key_dict(spark.read.parquet(paths["resource_type_keys"]), types)
@@ -320,4 +337,5 @@ def refresh_all(
         paths["silver_header"] = f"{b}/silver_header"
     paths.update({f"silver/{t}": f"{b}/silver/{t}" for t in silver})
     paths.update({"bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
+    paths.update({"rejects": rejects} if rejects else {})
     return paths

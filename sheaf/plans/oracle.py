@@ -270,6 +270,9 @@ SQL: dict[str, str] = {
 
 SQL["document_fields_sql"] = SQL["document_fields"]  # the SQL form of the same long table
 
+SUPPLIER_JSON = """'{"resourceType":"Bundle","id":"' || CAST(s_suppkey AS VARCHAR) || '","entry":[{"fullUrl":"urn:supplier:' || CAST(s_suppkey AS VARCHAR)
+  || '","resource":{"resourceType":"Supplier"' || coalesce(',"name":' || CAST(to_json(s_name) AS VARCHAR), '') || '}}]}'"""
+
 STREAM_SQL: dict[str, str] = {
     "stream_ingest_explode": SQL["resource_type_keys"],
     "stream_pivot": ORDER_WIDE,
@@ -286,6 +289,29 @@ STREAM_SQL: dict[str, str] = {
         UNION ALL SELECT {EV_COLS}, 'update_preimage', CAST(1 AS BIGINT) FROM b WHERE user_id IN (SELECT user_id FROM u)
         UNION ALL SELECT {EV_COLS}, 'update_postimage', CAST(1 AS BIGINT) FROM a WHERE user_id IN (SELECT user_id FROM u)""",
     "stream_latest": SQL["changes_latest"],
+    "stream_silver_history": f"""
+        WITH ok AS (SELECT * FROM events WHERE coalesce(value >= 10, false)),
+        r AS (
+          SELECT *, coalesce(event_type = 'error', false) AS del, lag(event_type) OVER w AS pe,
+                 lag(coalesce(event_type = 'error', false)) OVER w AS pdel, row_number() OVER w AS rn,
+                 lead(ts) OVER w AS next_ts FROM ok {W_EV}),
+        s AS (SELECT *, CASE WHEN NOT del AND (rn = 1 OR pdel OR event_type IS DISTINCT FROM pe) THEN 1 ELSE 0 END AS st FROM r),
+        v AS (SELECT *, {VER} AS ver FROM s)
+        SELECT user_id, arg_max(event_type, {LAST}) AS event_type, arg_max(event_id, {LAST}) AS event_id,
+               strftime(min(ts), {TS}) AS __START_AT, strftime(arg_max_null(next_ts, {LAST}), {TS}) AS __END_AT
+        FROM v WHERE NOT del GROUP BY user_id, ver HAVING arg_max(event_type, {LAST}) <> 'click'""",
+    "stream_expect_counts": """
+        SELECT 'not_a_view' AS expectation, 'warn' AS action, count(*) FILTER (WHERE event_type <> 'view') AS passed,
+               count(*) FILTER (WHERE NOT coalesce(event_type <> 'view', false)) AS failed FROM events
+        UNION ALL SELECT 'worth_ten', 'drop', count(*) FILTER (WHERE value >= 10), count(*) FILTER (WHERE NOT coalesce(value >= 10, false)) FROM events
+        UNION ALL SELECT 'has_id', 'fail', count(*), 0 FROM events""",
+    "stream_target_nulls": f"""
+        WITH ev AS (SELECT * REPLACE (CASE WHEN event_type <> 'view' OR value > 300 THEN value END AS value) FROM events),
+        t AS (SELECT * FROM ev WHERE NOT coalesce(event_type = 'signup' AND value > 300, false)
+              AND coalesce({LAST} > (SELECT max({LAST}) FROM ev WHERE event_type = 'signup' AND value > 300), true)),
+        latest AS (SELECT * FROM t {LATEST}),
+        nn AS (SELECT user_id, arg_max(value, {LAST}) FILTER (WHERE value IS NOT NULL) AS v FROM t GROUP BY user_id)
+        SELECT l.user_id, l.event_id, strftime(l.ts, {TS}) AS ts, l.event_type, nn.v AS value FROM latest l JOIN nn USING (user_id)""",
     "stream_header_silver": SQL["header_silver"],
     "stream_silver_case_keys": """
         SELECT 'urn:note:' || CAST(o_orderkey AS VARCHAR) AS Note_uuid, o_custkey AS batch_key,
@@ -295,7 +321,36 @@ STREAM_SQL: dict[str, str] = {
     "stream_change_feed_grown": f"""
         SELECT {EV_COLS.replace(", props", "")}, CASE WHEN NOT coalesce(ts < TIMESTAMP '2024-01-16 00:00:00', false) THEN props END AS props
         FROM events""",
+    "stream_silver_counts": """
+        SELECT 'valid_bundleUUID' AS expectation, count(*) AS passed, 0 AS failed FROM orders
+        UNION ALL SELECT 'valid_Order_uuid', count(*) FILTER (WHERE o_totalprice > 100000),
+                         count(*) FILTER (WHERE NOT coalesce(o_totalprice > 100000, false)) FROM orders""",
+    "landing_inventory": f"""
+        SELECT CAST(s_nationkey AS INTEGER) AS nation, true AS new, 1 AS files, CAST(sum(octet_length(CAST({SUPPLIER_JSON} AS BLOB)) + 1) AS BIGINT) AS bytes
+        FROM supplier GROUP BY s_nationkey""",
+    "landed_documents": f"""
+        SELECT CAST(s_suppkey AS VARCHAR) AS bundle_id, CAST(s_nationkey AS INTEGER) AS nation, true AS in_sub_folder, true AS names_agree,
+               CAST(sum(octet_length(CAST({SUPPLIER_JSON} AS BLOB)) + 1) OVER (PARTITION BY s_nationkey) AS BIGINT) AS file_size,
+               true AS block_inside, true AS day_of_time, true AS content_id FROM supplier""",
+    "ingest_rejects": f"""
+        SELECT 'bronze' AS sink, CAST(s_suppkey AS VARCHAR) AS bundle_id, CAST(NULL AS VARCHAR) AS text FROM supplier WHERE NOT coalesce(s_acctbal < 0, false)
+        UNION ALL SELECT 'rejects', NULL, substr({SUPPLIER_JSON}, 1, 20) FROM supplier WHERE s_acctbal < 0""",
+    "discovered_names": f"""
+        SELECT 'type' AS kind, CAST(row_number() OVER (ORDER BY n) - 1 AS INTEGER) AS place, n AS name
+        FROM (SELECT DISTINCT 'Customer' AS n FROM customer UNION SELECT DISTINCT 'Order' FROM orders)
+        UNION ALL
+        SELECT 'header key', CAST(row_number() OVER (ORDER BY n) - 1 AS INTEGER), n FROM (
+          SELECT DISTINCT 'Nation' AS n FROM customer WHERE c_nationkey IS NOT NULL UNION SELECT DISTINCT 'Segment' FROM customer WHERE c_mktsegment IS NOT NULL
+          UNION SELECT DISTINCT 'Debt' FROM customer WHERE c_acctbal < 0)""",
+    "stage_tables": f"""
+        SELECT *, 'kept' AS stage FROM ({ORDER_WIDE}) UNION ALL SELECT *, 'temporary' FROM ({ORDER_WIDE})""",
+    "grouping_columns": HEADER_WIDE,
+    "key_labels": f"SELECT resourceType || '.' || key AS label, count FROM ({SQL['resource_type_keys']})",
+    "silver_expected_types": """
+        SELECT 'Order' AS resourceType, count(*) AS rows FROM orders UNION ALL SELECT 'Practitioner', 0""",
+    "clustered_orders": "SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, o_totalprice FROM orders",
     "skip_lines": "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders",
     "find_document": "SELECT CAST(c_custkey AS VARCHAR) AS bundle_id, c_mktsegment AS segment FROM customer WHERE c_custkey = 1",
     "stream_change_feed": f"SELECT {EV_COLS} FROM events",
 }
+STREAM_SQL["stream_target_feed"] = STREAM_SQL["stream_versions_feed"]

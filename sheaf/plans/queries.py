@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from ..functions import variant as fv
 from ..operators import changes as ch
@@ -18,6 +17,7 @@ from ..operators import explode as ex
 from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
+from ..operators import typed as ty
 from ..session import scratch_path
 from ..sources import documents as docs
 from ..sources import fixtures as fx
@@ -107,7 +107,7 @@ def fields_of_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- summaries -------------------------------------------------------------
 
 def resource_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sm.resource_types(_fields(spark, sf_dir))
+    return sm.resource_types_of(_bronze(spark, sf_dir))
 
 
 def resource_type_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +115,7 @@ def resource_type_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def header_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sm.header_keys(ex.explode_header(_bronze(spark, sf_dir)))
+    return sm.header_keys_of(_bronze(spark, sf_dir))
 
 
 def type_key_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,40 +331,23 @@ def silver_all_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- typed routes and scalar functions -------------------------------------------
 
-BUNDLE_SCHEMA = StructType([
-    StructField("id", StringType()),
-    StructField("entry", ArrayType(StructType([
-        StructField("fullUrl", StringType()),
-        StructField("resource", StructType([
-            StructField("resourceType", StringType()),
-            StructField("id", LongType()),
-            StructField("total", DoubleType()),
-            StructField("status", StringType()),
-        ])),
-    ]))),
-])
+def _typed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as structs, by the schema that they have."""
+    return ty.parse_typed(_raw(spark, sf_dir), ty.derive_schema(_bronze(spark, sf_dir)))
 
 
 def typed_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
-    t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
-    e = t.select(F.col("b.id").alias("bundle_id"), F.explode("b.entry").alias("e"))
-    return e.select("bundle_id", "e.fullUrl", F.col("e.resource.*"))
+    e = ty.typed_entries(_typed_documents(spark, sf_dir))
+    return e.select("bundle_id", "fullUrl", "resourceType", F.col("id").cast("bigint").alias("id"), F.col("total").cast("double").alias("total"), "status")
 
 
 def entry_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
-    t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
-    z = t.select(F.col("b.id").alias("bundle_id"), F.arrays_zip(F.col("b.entry.fullUrl"), F.col("b.entry.resource.resourceType")).alias("z"))
-    p = z.select("bundle_id", F.posexplode("z").alias("entry_pos", "e"))
-    return p.select("bundle_id", "entry_pos", F.col("e.fullUrl").alias("fullUrl"), F.col("e.resourceType").alias("resourceType"))
+    return ty.entry_index(_typed_documents(spark, sf_dir))
 
 
 def first_entry_url(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _raw(spark, sf_dir)
-    t = raw.select(F.from_json("value", BUNDLE_SCHEMA).alias("b"))
-    first = fv.first_or_null(F.filter("b.entry", lambda x: x["resource"]["resourceType"] == "Order"))
-    return t.select(F.col("b.id").alias("bundle_id"), first["fullUrl"].alias("first_order_url"))
+    t = _typed_documents(spark, sf_dir)
+    return t.select(F.col("doc.id").alias("bundle_id"), ty.first_entry_url("Order").alias("first_order_url"))
 
 
 def field_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -398,3 +381,58 @@ def bronze_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def document_fields_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = ex.explode_fields_sql(_bronze(spark, sf_dir))
     return f.select("bundle_id", "fullUrl", "resourceType", "entry_pos", "pos", "key", *_value_cols())
+
+
+# -- control data, stage tables and name lists ---------------------------------------
+
+def discovered_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types and header keys as the driver gets them: sorted, numbered."""
+    b = _bronze(spark, sf_dir)
+    types = sm.discover_types(sm.resource_types_of(b))
+    keys = sm.discover_header_keys(sm.header_keys_of(b))
+    rows = [("type", i, n) for i, n in enumerate(types)] + [("header key", i, n) for i, n in enumerate(keys)]
+    return spark.createDataFrame(rows, "kind STRING, place INT, name STRING")
+
+
+def stage_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Order stage table, kept and temporary: the rows of both."""
+    wide = _order_wide(spark, sf_dir, "regroup")
+    kept = md.stage(wide, "order_stage", temporary=False, path=scratch_path(spark, "stage"))
+    shown = md.stage(wide, "order_stage_view")
+    return kept.withColumn("stage", F.lit("kept")).unionByName(shown.withColumn("stage", F.lit("temporary")))
+
+
+def grouping_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header wide table grouped by all columns but position, key and value."""
+    header = ex.explode_header(_bronze(spark, sf_dir))
+    group = fv.columns_except(header, ["pos", "key", "value"])
+    wide = pv.pivot_long(header, group, HEADER_KEYS, order=("pos",))
+    return pv.typed(wide, HEADER_TYPES).select("bundle_id", _doc_time(), *HEADER_KEYS)
+
+
+def key_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``type.key`` of every key of every type, put together from its parts."""
+    keys = sm.resource_type_keys(_fields(spark, sf_dir))
+    return keys.select(F.concat("resourceType", F.lit("."), "key").alias("label"), "count")
+
+
+def silver_expected_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver tables of a configured list of types, one of which never
+    occurs; rows per table."""
+    b = _bronze(spark, sf_dir)
+    types = fv.split_names(" Order ,Practitioner")
+    type_keys = sm.type_key_dict(sm.resource_type_keys(ex.explode_fields(b)), types)
+    tables = md.build_silver(None, types=types, type_keys=type_keys, entries=ex.explode_entries(b, url_check=True), out_path=scratch_path(spark, "silver-types"))
+    out = None
+    for t, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("resourceType"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def clustered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders written along a space-filling curve over customer and date and
+    read back."""
+    path = scratch_path(spark, "clustered")
+    md.write_table(fx.load(spark, sf_dir, "orders"), path, cluster_by=["o_custkey", "o_orderdate"], cluster_files=16)
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_totalprice")

@@ -100,6 +100,24 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(target)) if fs.exists(target) else []
 
 
+def pending_path(spark: SparkSession, path: str) -> str:
+    """Where the folder ``path`` is made ready: beside it, under a name that
+    readers ignore. What an earlier attempt left there goes."""
+    target = _hadoop(spark, path)[1]
+    fs, pending = _hadoop(spark, f"{target.getParent().toString()}/_pending/{target.getName()}")
+    fs.delete(pending, True)
+    return pending.toString()
+
+
+def publish_folder(spark: SparkSession, pending: str, path: str) -> None:
+    """Give the finished folder its name: one rename, so readers see all of
+    it or nothing."""
+    fs, target = _hadoop(spark, path)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(_hadoop(spark, pending)[1], target):
+        raise OSError(f"cannot rename {pending} to {path}")
+
+
 def publish(df: DataFrame, path: str) -> bool:
     """Write ``df`` as the parquet folder ``path``, whole and once: the files
     are written under a name that readers ignore and the folder is renamed
@@ -107,16 +125,36 @@ def publish(df: DataFrame, path: str) -> bool:
     holds the same rows, and a reader that has seen its files must not see
     them again under other names). Returns whether anything was written."""
     spark = df.sparkSession
-    fs, target = _hadoop(spark, path)
-    if fs.exists(target):
+    if path_exists(spark, path):
         return False
-    pending = _hadoop(spark, f"{target.getParent().toString()}/_pending/{target.getName()}")[1]
-    df.write.mode("overwrite").parquet(pending.toString())
-    if not fs.rename(pending, target):
-        raise OSError(f"cannot rename {pending.toString()} to {path}")
+    pending = pending_path(spark, path)
+    df.write.parquet(pending)
+    publish_folder(spark, pending, path)
     return True
 
 
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Tie the table at ``path`` to the stream of ``checkpoint``. Batch
+    numbers belong to a checkpoint, so another one (or a checkpoint that was
+    deleted and made anew) would number its rows like batches that are already
+    there; that raises in place of skipping them."""
+    import json
+
+    fs, target = _hadoop(spark, f"{checkpoint.rstrip('/')}/metadata")
+    stream = fs.open(target)
+    try:
+        name = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))["id"]
+    finally:
+        stream.close()
+    known = folder_names(spark, f"{path.rstrip('/')}/_stream")
+    if known and known != [name]:
+        raise RuntimeError(f"{path} is fed by stream {known[0]}; {checkpoint} is another stream ({name}): use its checkpoint, or a new table")
+    if not known:
+        if any(n.startswith("batch_id=") for sub in ("log", "batches") for n in folder_names(spark, f"{path.rstrip('/')}/{sub}")):
+            raise RuntimeError(f"{path} holds batches of no known stream; {checkpoint} cannot go on from them: use a new table")
+        fs.mkdirs(_hadoop(spark, f"{path.rstrip('/')}/_stream/{name}")[1])
+
+
 def reliable_checkpoint(df):
     """Materialise ``df`` in the shared checkpoint folder and cut its lineage
     (never a local checkpoint: an executor loss must not lose the data)."""

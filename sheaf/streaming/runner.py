@@ -14,16 +14,19 @@ append-only change log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import changes as ch
 from ..operators import explode as ex
 from ..operators import pivot as pv
+from ..operators import quality as q
 from ..operators import summaries as sm
 from ..functions.variant import col_of
-from ..session import folder_names, path_exists, publish, variant_shredding
+from ..session import claim, folder_names, path_exists, publish, scratch_path, variant_shredding
 from ..sources import documents as docs
 
 
@@ -81,17 +84,38 @@ def ingest_documents(
     on_error: str = "fail",
     shred: bool = True,
     sub_folder: str = "",
+    rejects_path: str | None = None,
 ) -> StreamingQuery:
     """New files under ``source`` (plus an optional ``sub_folder``) -> bronze
     parquet at ``bronze_path``; ``datasource`` defaults to that folder with a
     trailing slash. With ``shred`` the VARIANT column is written shredded, so
     later path reads (id, timestamp, Meta, entry) are pushed into the scan
-    as typed columns."""
+    as typed columns.
+
+    With ``rejects_path`` malformed documents do not stop the run: a batch's
+    good rows go to ``bronze_path/batch_id=N`` and its rejected ones, with path
+    and text, to ``rejects_path/batch_id=N``. The batch is parsed once, into
+    the shared scratch folder; each folder is published whole, and a replayed
+    batch leaves what is there (see :func:`~sheaf.session.publish`)."""
     folder = docs.source_path(source, sub_folder)
     raw = docs.stream_documents(spark, folder, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
-    bronze = docs.to_bronze(raw, datasource or folder, id_mode=id_mode, on_error=on_error)
-    with variant_shredding(spark, enabled=shred):
-        return run_stream(bronze, bronze_path, checkpoint)
+    bronze = docs.to_bronze(raw, datasource or folder, id_mode=id_mode, on_error="quarantine" if rejects_path else on_error)
+    if rejects_path is None:
+        with variant_shredding(spark, enabled=shred):
+            return run_stream(bronze, bronze_path, checkpoint)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        claim(spark, bronze_path, checkpoint)
+        sinks = [f"{p.rstrip('/')}/batch_id={batch_id}" for p in (bronze_path, rejects_path)]
+        if all(path_exists(spark, p) for p in sinks):
+            return
+        parsed = scratch_path(spark, "ingest")
+        with variant_shredding(spark, enabled=shred):
+            batch.write.parquet(parsed)
+            for rows, sink in zip(docs.split_rejects(spark.read.schema(batch.schema).parquet(parsed)), sinks):
+                publish(rows, sink)
+
+    return run_batches(bronze, step, checkpoint)
 
 
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -135,8 +159,8 @@ class ChangeLog:
 
     Each micro-batch lands in ``<path>/log/batch_id=N``, whole and once (see
     :func:`publish`; a replayed batch adds nothing). The batch id is the version,
-    so a log is fed by one stream with one checkpoint (a second checkpoint
-    would number its batches from 0 again). The current state is
+    so a log is fed by one stream with one checkpoint; another checkpoint would
+    number its batches from 0 again, and raises (:func:`claim`). The current state is
     :func:`apply_changes` over the whole log with the batch id as the last
     tie-break; :meth:`compact` writes it as a snapshot that later reads start
     from.
@@ -149,8 +173,9 @@ class ChangeLog:
         self.sequence_by = ch._as_list(sequence_by)
         self.tie_break = ch._as_list(tie_break)
 
-    def append(self, batch: DataFrame, batch_id: int) -> None:
-        publish(batch, f"{self.path}/log/batch_id={batch_id}")
+    def append(self, batch: DataFrame, batch_id: int) -> bool:
+        """Whether the batch was added (False: it is there already)."""
+        return publish(batch, f"{self.path}/log/batch_id={batch_id}")
 
     def _snapshot(self) -> tuple[int, str] | None:
         """(last batch folded in, path) of the newest snapshot, if any."""
@@ -183,10 +208,13 @@ class ChangeLog:
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
         )
 
-    def state_at(self, version: int, **options) -> DataFrame:
+    def state_at(self, version: int, only: DataFrame | None = None, **options) -> DataFrame:
         """The table as of micro-batch ``version`` (changes of batches up to
-        and including it), read from the raw log."""
+        and including it), read from the raw log; ``only`` those keys."""
         log = self._log().filter(F.col("batch_id") <= version)
+        if only is not None:
+            key = F.struct(*[col_of(k) for k in self.keys])  # equal where the parts are, NULL parts included
+            log = log.withColumn("_key", key).join(only.select(key.alias("_key")), "_key", "left_semi").drop("_key")
         return ch.apply_changes(
             log, self.keys, self.sequence_by, tie_break=self.tie_break + ["batch_id"],
             except_columns=list(options.pop("except_columns", []) or []) + ["batch_id"], **options
@@ -194,9 +222,17 @@ class ChangeLog:
 
     def feed(self, from_version: int, to_version: int, **options) -> DataFrame:
         """Row-level changes between two versions of the table (insert,
-        delete, update pre/post image), stamped with ``to_version``."""
+        delete, update pre/post image), stamped with ``to_version``. Only keys
+        that occur in the batches between the versions can differ, so both
+        states are built for those keys alone: the log is reduced by them
+        before anything is aggregated. A truncate reaches every key, so with
+        ``truncate_when`` both states are whole."""
+        only = None
+        if options.get("truncate_when") is None:
+            delta = self._log().filter((F.col("batch_id") > from_version) & (F.col("batch_id") <= to_version))
+            only = delta.select(*[col_of(k) for k in self.keys]).distinct()
         return ch.change_feed(
-            self.state_at(from_version, **dict(options)), self.state_at(to_version, **dict(options)), self.keys, version=to_version
+            self.state_at(from_version, only, **dict(options)), self.state_at(to_version, only, **dict(options)), self.keys, version=to_version
         )
 
     def compact(self) -> int:
@@ -222,6 +258,7 @@ class ChangeLog:
         recent batches."""
 
         def step(batch: DataFrame, batch_id: int) -> None:
+            claim(self.spark, self.path, checkpoint)
             self.append(batch, batch_id)
             if compact_every and (batch_id + 1) % compact_every == 0:
                 self.compact()
@@ -268,6 +305,36 @@ def _named(spark: SparkSession, table_root: str, keys: list[str], reserved: list
     return names
 
 
+#: expectations on header rows: a row that fails one is dropped and counted
+HEADER_RULES = {"valid_bundleUUID": "bundleUUID IS NOT NULL"}
+
+
+def _silver_rules(resource_type: str) -> dict[str, str]:
+    url = f"{resource_type}_uuid".replace("`", "``")
+    return {"valid_bundleUUID": "bundleUUID IS NOT NULL", f"valid_{resource_type}_uuid": f"`{url}` IS NOT NULL"}
+
+
+def _checked_append(log: "ChangeLog", rows: DataFrame, batch_id: int, rules: dict[str, str]) -> None:
+    """Append the rows that meet the rules; how many met and failed each is
+    kept beside the log, once for each batch (:func:`expectation_table`)."""
+    counts = f"{log.path}/counts/batch_id={batch_id}"
+    seen = Observation(f"rows_{uuid.uuid4().hex[:8]}")
+    kept, failed = q.expect(rows.observe(seen, F.count(F.lit(1)).alias("n")), drop=rules)
+    if log.append(kept, batch_id):
+        n, by = seen.get["n"], failed.get
+        found = log.spark.createDataFrame([(r, n - by[f"{r}_failed"], by[f"{r}_failed"]) for r in rules], "expectation STRING, passed BIGINT, failed BIGINT")
+    elif path_exists(log.spark, counts):
+        return
+    else:  # the run ended between the two: count again
+        found = q.expectation_counts(rows, rules)
+    publish(found.coalesce(1), counts)
+
+
+def expectation_table(spark: SparkSession, table_root: str) -> DataFrame:
+    """expectation, passed, failed and batch_id of an incremental table."""
+    return spark.read.schema("expectation STRING, passed BIGINT, failed BIGINT, batch_id BIGINT").parquet(f"{table_root.rstrip('/')}/counts")
+
+
 def silver_stream(
     spark: SparkSession,
     bronze_path: str,
@@ -300,8 +367,9 @@ def silver_stream(
                 if types is not None and t not in types:
                     continue
                 log = _silver_log(spark, silver_root, t)
+                claim(spark, log.path, checkpoint)
                 names = _named(spark, log.path, found[t], [*pv.RESOURCE_GROUP, f"{t}_uuid"], batch_id)
-                log.append(pv.pivot_resource(None, t, found[t], entries=entries, names=names), batch_id)
+                _checked_append(log, pv.pivot_resource(None, t, found[t], entries=entries, names=names), batch_id, _silver_rules(t))
                 if compact_every and (batch_id + 1) % compact_every == 0:
                     log.compact()
         finally:
@@ -318,8 +386,9 @@ def header_stream(spark: SparkSession, bronze_path: str, silver_path: str, check
     def step(batch: DataFrame, batch_id: int) -> None:
         found = sm.discover_header_keys(ex.explode_header(batch))
         log = _header_log(spark, silver_path)
+        claim(spark, log.path, checkpoint)
         names = _named(spark, log.path, found, pv.HEADER_GROUP, batch_id)
-        log.append(pv.pivot_header(None, found, method="project", bronze=batch, only_with_keys=True, names=names), batch_id)
+        _checked_append(log, pv.pivot_header(None, found, method="project", bronze=batch, only_with_keys=True, names=names), batch_id, HEADER_RULES)
 
     return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
 
@@ -331,10 +400,8 @@ def _header_log(spark: SparkSession, silver_path: str) -> "ChangeLog":
 def header_table(spark: SparkSession, silver_path: str) -> DataFrame:
     """Current header silver rows: latest per document over the appended
     rows, NULL keys dropped."""
-    from ..operators import quality as q
-
     log = _header_log(spark, silver_path)
-    changes, _ = q.expect(log.changes(), drop={"valid_bundleUUID": "bundleUUID IS NOT NULL"})
+    changes, _ = q.expect(log.changes(), drop=HEADER_RULES)
     return ch.apply_changes(changes, log.keys, log.sequence_by, tie_break=["batch_id"], except_columns=["batch_id"])
 
 
@@ -346,12 +413,8 @@ def _silver_log(spark: SparkSession, silver_root: str, resource_type: str) -> "C
 def silver_table(spark: SparkSession, silver_root: str, resource_type: str) -> DataFrame:
     """Current silver rows of one type: latest per (document, entry url) over
     the appended stage rows, NULL keys dropped, sequence column hidden."""
-    from ..operators import quality as q
-
-    url_col = f"{resource_type}_uuid"
     log = _silver_log(spark, silver_root, resource_type)
-    rules = {"valid_bundleUUID": "bundleUUID IS NOT NULL", f"valid_{url_col}": f"`{url_col}` IS NOT NULL"}
-    changes, _ = q.expect(log.changes(), drop=rules)
+    changes, _ = q.expect(log.changes(), drop=_silver_rules(resource_type))
     return ch.apply_changes(
         changes, log.keys, log.sequence_by, tie_break=["batch_id"], except_columns=["bundle_timestamp", "batch_id"]
     )
