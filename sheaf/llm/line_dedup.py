@@ -4,10 +4,11 @@ Two lines are near when one edit (a character replaced, added or taken out)
 turns one into the other. A line emits, as hashed keys, itself and every
 string that deleting one character leaves; lines meet where keys are equal,
 the edit distance is verified, and of lines that are near the earliest
-occurrence (by doc_id, then hash of the text, then line number) stays. Equal lines of any length
-are near; lines under ``MIN_CHARS`` are near only if equal.
+occurrence (by doc_id, then hash of the text, then line number) stays. This
+holds for lines of every length, short ones too (``min_chars`` leaves shorter
+lines out of the search for near ones; equal lines are always found).
 
-A line of 300 characters has 301 such strings, nearly all of them without a
+Lines of up to ``SHORT`` characters emit their whole neighbourhood. A line of 300 characters has 301 such strings, nearly all of them without a
 partner, so a line emits them only where a partner is possible. One edit
 leaves one half of the line as it was: lines that share neither half with
 any other drop out on four keys. The rest cut the other half in chunks: all
@@ -18,7 +19,11 @@ All lines that delete the same place to the same string are one edit from
 each other, so each needs comparing only with the earliest of them, and a
 shorter line only with the earliest line that it is a deletion of: the work
 is one row a key, never a pair for every two members. Keys and minima are
-partial aggregates; joins back to them are plain equality joins.
+partial aggregates; joins back to them are plain equality joins. The texts of
+lines move only if the line is in question: the others are dropped where they
+are read, by a broadcast bitmap of ``2 ** BITS`` bits (at most 2 ** (BITS - 6)
+rows of 64; with far more lines in question than bits it drops fewer, and the
+join after it does the rest).
 
 Defined cases: a NULL text has no lines; lines without a word are neither
 compared nor counted; spaces at either end are not compared. Documents with
@@ -37,16 +42,17 @@ from .common import named, pick
 from .components import written
 from .line_quality import SPACE, let
 
-MIN_CHARS = 8
+SHORT = 8
+MIN_CHARS = 1
+BITS = 24
 CHUNKS = 8
 WHOLE = 16  # a part up to so long is one chunk
 
 
 def _place() -> Column:
     """(doc_id, hash of the text, line number), NULL ids last: no two lines
-    that differ have one place."""
-    number = F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(str(1 << 63)).cast("decimal(20,0)"))
-    return F.struct(number.alias("d"), F.col("t").alias("t"), F.col("line").alias("line"))
+    that differ have one place. The id is of any type that sorts."""
+    return F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("t").alias("t"), F.col("line").alias("line"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -65,7 +71,7 @@ def _halves(s: Column) -> list[Column]:
     for more in (0, 1):
         h = F.floor((n - more) / 2).cast("int")
         for side, part in ((0, F.left(s, h)), (1, F.right(s, h))):
-            use = (n >= MIN_CHARS) if not more else ((n >= MIN_CHARS) & (n % 2 == 0))
+            use = (n >= SHORT) if not more else ((n >= SHORT) & (n % 2 == 0))
             out.append(F.when(use, F.xxhash64(F.lit(side), h, part)))
     return out
 
@@ -76,21 +82,32 @@ def _several(rows: DataFrame, key: str) -> DataFrame:
     return rows.join(many, key, "left_semi")
 
 
-def near_lines(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _marked(rows: DataFrame, among: DataFrame) -> DataFrame:
+    """The rows whose place may be among the given ones: a bitmap of their
+    hashes, 64 bits a row, goes to all tasks."""
+    bit = F.pmod(F.xxhash64("at"), F.lit(1 << BITS))
+    one = F.shiftleft(F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    words = among.groupBy(F.shiftright(bit, 6).alias("_w")).agg(F.bit_or(one).alias("_bits"))
+    return rows.withColumn("_w", F.shiftright(bit, 6)).join(F.broadcast(words), "_w").filter(F.col("_bits").bitwiseAND(one) != 0).drop("_w", "_bits")
+
+
+def near_lines(occ: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
     """(distinct, near): distinct lines as (h1, h2, at), at the place of the
     first occurrence; near: at of the lines that are near an earlier one."""
     s = F.col("s")
     keyed = occ.select(
-        F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2"), _place().alias("at"),
+        F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2"), _place().alias("at"), F.char_length(s).alias("n"),
         *[k.alias(f"b{i}") for i, k in enumerate(_halves(s))],
     )
-    distinct = written(keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(4)]), "lines")
+    distinct = written(keyed.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("n").alias("n"), *[F.first(f"b{i}").alias(f"b{i}") for i in range(4)]), "lines")
     # Halves that two distinct lines share.
-    half = distinct.select("at", F.explode(F.array("b0", "b1", "b2", "b3")).alias("b")).filter("b IS NOT NULL")
+    half = distinct.filter(F.col("n") >= min_chars).select("at", F.explode(F.array("b0", "b1", "b2", "b3")).alias("b")).filter("b IS NOT NULL")
     half = written(_several(half, "b"), "line-halves")
     # Lines still in question are numbered in the order of their places.
-    number = written(half.select("at").distinct().orderBy("at").select("at", F.monotonically_increasing_id().alias("o")), "line-numbers")
-    text = occ.select(_place().alias("at"), "s").join(number, "at").select("o", "s")
+    short = distinct.filter(F.col("n").between(min_chars, SHORT)).select("at")
+    asked = half.select("at").unionAll(short).distinct()
+    number = written(asked.orderBy("at").select("at", F.monotonically_increasing_id().alias("o")), "line-numbers")
+    text = _marked(occ.select(_place().alias("at"), "s"), number).join(number, "at").select("o", "s")
     text = written(text.groupBy("o").agg(F.first("s").alias("s")), "line-text")
     # The other half, in chunks, for a pair of lengths (m, m) and (m, m + 1).
     n = F.char_length(s)
@@ -109,7 +126,8 @@ def near_lines(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
     around = F.xxhash64("b", "m", "k", before, after)
     chunk = F.substring("mid", F.col("k") * F.col("c") + 1, F.char_length("mid") - F.char_length(before) - F.char_length(after))
     chunks = cut.select("o", "longer", around.alias("g"), chunk.alias("x"))
-    chunks = written(_several(chunks, "g"), "line-chunks")
+    whole = text.filter(n <= SHORT).select("o", F.explode(F.array(F.lit(0), F.lit(1))).alias("longer"), F.lit(0).cast("long").alias("g"), F.col("s").alias("x"))
+    chunks = written(_several(chunks, "g").unionByName(whole), "line-chunks")
     # The chunk's deletion neighbourhood.
     x = F.col("x")
     deletions = F.transform(F.sequence(F.lit(1), F.char_length(x)), lambda i: F.struct(
@@ -133,11 +151,11 @@ def near_lines(occ: DataFrame) -> tuple[DataFrame, DataFrame]:
     return distinct.select("h1", "h2", "at"), near.select("o").distinct().join(number, "o").select("at")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """The query: doc_id, t, n_lines (with a word), n_equal and n_near
     removed, and the numbers of the removed lines, in order."""
     occ = occurrences(docs)
-    distinct, near = near_lines(occ)
+    distinct, near = near_lines(occ, min_chars)
     known = distinct.join(near.withColumn("near", F.lit(True)), "at", "left").select("h1", "h2", F.col("at").alias("first"), F.coalesce("near", F.lit(False)).alias("near"))
     at = occ.select("doc_id", "t", "line", F.xxhash64("s").alias("h1"), F.xxhash64(F.lit("second"), "s").alias("h2")).join(known, ["h1", "h2"])
     later = _place() > F.col("first")
