@@ -7,8 +7,10 @@ of the items a set has there. A set is keyed in its own band and, where a
 partner can be smaller, in the band below.
 
 What a segment costs decides whether it is used. An empty segment is equal
-for many sets and is never used; nor is a hot key, one that ``HOT`` or more
-groups of not linked sets share (a passage that very many documents carry).
+for many sets and is never used; nor is a hot key: one whose pairs across
+groups of linked sets are more than ``HOT`` times its sets (a passage that
+many documents carry, or two large groups that share one). So the candidates
+of a key grow in proportion to its sets.
 m is larger than H + 1 by what that takes away as a rule (a set with too few
 segments that hold items is keyed by single items as well), and a pair is
 sure to be found while one of the two sets has more than H segments left.
@@ -330,21 +332,22 @@ def join(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
     links = written(verify(star, sets_of_nodes(ends(star)), percent), "links")
     comps = written(components(links), "comps")
     at = shared.select("key", "v", "node").join(comps, "node", "left").join(sketches.select("node", "n"), "node").select("key", "v", "node", F.coalesce("comp", "node").alias("comp"), "n")
-    groups = at.select("key", "comp").distinct().groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    groups = at.groupBy("key", "comp").agg(F.count("*").cast("double").alias("s")).groupBy("key").agg(F.count("*").alias("c"), F.sum("s").alias("s"), F.sum(F.col("s") * F.col("s")).alias("s2"))
+    groups = groups.filter("c > 1").select("key", (F.col("s") * F.col("s") - F.col("s2") > 2 * HOT * F.col("s")).alias("hot"))
     at = written(at.join(groups, "key"), "open")
-    # Keys of few components: every pair across them.
-    few = at.filter(F.col("c") <= HOT)
+    # Other keys: every pair across components.
+    few = at.filter(~F.col("hot"))
     x = few.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("n").alias("na"))
     y = few.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("n").alias("nb"))
     close = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     pairs = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & close).select("a", "b").distinct()
     pairs = written(likely(pairs, sketches, percent), "pairs")
     # Hot keys: sets that have too few other segments left.
-    lost = at.filter(F.col("c") > HOT).groupBy("node").agg(
+    lost = at.filter("hot").groupBy("node").agg(
         F.count(F.when(F.col("v") == F.col("node"), 1)).alias("lost_own"), F.count(F.when(F.col("v") != F.col("node"), 1)).alias("lost_low"))
     room = classes.filter("node IS NOT NULL").groupBy("node").agg(F.min("own").alias("own"), F.min("low").alias("low"))
     short = lost.join(room, "node").filter("(lost_own > 0 AND own - lost_own < 1) OR (lost_low > 0 AND low - lost_low < 1)").select("node")
-    hot = at.filter(F.col("c") > HOT).join(short, "node", "left_semi").select("key", "node")
+    hot = at.filter("hot").join(short, "node", "left_semi").select("key", "node")
     first = hot.groupBy("key").agg(F.min("node").alias("a"))
     second = written(components(hot.join(first, "key").select("a", F.col("node").alias("b"))), "second")
     sets = sets_of_nodes(ends(pairs), second.select("node"))
