@@ -86,7 +86,7 @@ def _marked(rows: DataFrame, among: DataFrame) -> DataFrame:
     """The rows whose place may be among the given ones: a bitmap of their
     hashes, 64 bits a row, goes to all tasks."""
     bit = F.pmod(F.xxhash64("at"), F.lit(1 << BITS))
-    one = F.shiftleft(F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit, F.lit(64)).cast("int"))
     words = among.groupBy(F.shiftright(bit, 6).alias("_w")).agg(F.bit_or(one).alias("_bits"))
     return rows.withColumn("_w", F.shiftright(bit, 6)).join(F.broadcast(words), "_w").filter(F.col("_bits").bitwiseAND(one) != 0).drop("_w", "_bits")
 

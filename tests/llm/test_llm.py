@@ -347,6 +347,23 @@ def test_near_lines_by_brute_force(spark):
     assert near and got == expect
 
 
+def test_short_lines_and_ids_of_any_type(spark):
+    """Every line length from one character on, ids as texts; ``min_chars``
+    leaves short lines out of the search for near ones only."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(rng.choice(list("ab"), int(rng.integers(1, 11)))) for _ in range(120)]
+    rows = [(f"d{k:03d}", "\n".join(texts[4 * k : 4 * k + 4])) for k in range(30)] + [("e0", "Page 9 of 12\nPage 10 of 12"), ("e1", "")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    at = [((d, n), x) for d, t in rows for n, x in enumerate(t.split("\n")) if x]
+    for least in (1, 4, 9):
+        first = {}
+        for p, x in at:
+            first.setdefault(x, p)
+        near = {x for x in first if len(x) >= least for y in first if len(y) >= least and first[y] < first[x] and _one_edit(x, y)}
+        expect = {d: [n for (e, n), x in at if e == d and ((e, n) > first[x] or x in near)] for d, _ in rows}
+        assert {r.doc_id: r.removed for r in line_dedup.removed_lines(df, least).collect()} == expect and near
+
+
 def test_lines_of_documents_without_an_own_id(spark):
     """NULL ids and one repeated id: different and equal lines at one place."""
     rng = np.random.default_rng(8)
