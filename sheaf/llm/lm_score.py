@@ -44,7 +44,7 @@ from .components import written
 from .slices import answers, n_parts, next_slice, pack, pack_rising, request, requests, unpack, unpack_rising, with_answers
 
 ORDER = 2
-SLICE_TOKENS = 1 << 21
+SLICE_TOKENS = 1 << 20
 BUCKETS = 64
 ROUNDS = 12
 TOP = 1 - 1e-6
