@@ -5,7 +5,10 @@ the bronze layout, the landing-folder inventory and small document peeks.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,21 +50,45 @@ def _reader(r, whole_text: bool, options: dict | None):
 _LINE_END = r"(?:\r\n|\n|\r)"
 
 
+def _without_first_lines(n: int):
+    """Leave out the first ``n`` rows of each file, task by task: a file's
+    blocks go to different tasks, rows of a block come in order, and only the
+    block at the file's start holds lines to leave out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, int] = {}  # lines of the first block so far, by file of this task
+        whole: dict[str, bool] = {}
+        for batch in batches:
+            first = np.asarray(batch.column("file_block_start")) == 0
+            if first.any():
+                keep = np.ones(batch.num_rows, dtype=bool)
+                files = batch.column("file_path").dictionary_encode()
+                of = np.asarray(files.indices)
+                for k in np.unique(of[first]):
+                    name, rows = files.dictionary[int(k)].as_py(), np.flatnonzero(first & (of == k))
+                    keep[rows[: max(0, n - seen.get(name, 0))]] = False
+                    seen[name] = seen.get(name, 0) + len(rows)
+                    whole[name] = batch.column("file_block_length")[int(rows[0])].as_py() == batch.column("file_size")[int(rows[0])].as_py()
+                batch = batch.filter(pa.array(keep))
+            yield batch
+        for name, lines in seen.items():
+            if lines < n and not whole[name]:
+                raise ValueError(f"the first {n} lines of {name} are longer than a block; read larger blocks (spark.sql.files.maxPartitionBytes)")
+
+    return run
+
+
 def _skip_lines(df: DataFrame, skip_rows: int, whole_text: bool) -> DataFrame:
-    """Drop the first ``skip_rows`` lines of each file. The text source has
-    no such option, so: cut them off the whole text, or (line mode) split the
-    whole text and keep line numbers >= skip_rows. Lines end as they do for
-    the text source: at ``\\n``, ``\\r\\n`` or ``\\r``, and a line end at the
-    end of the file starts no further line."""
+    """Drop the first ``skip_rows`` lines of each file; the text source has no
+    such option. From whole texts they are cut off; lines, which are read in
+    blocks by several tasks, are counted as they pass (no shuffle; batch and
+    streams). Lines end as they do for the text source: at ``\\n``, ``\\r\\n``
+    or ``\\r``, and a line end at the end of the file starts no further line."""
     if skip_rows <= 0:
         return df
     if whole_text:
         return df.withColumn("value", F.regexp_replace("value", r"\A(?:[^\r\n]*+(?:%s|\z)){0,%d}+" % (_LINE_END, skip_rows), ""))
-    text = F.regexp_replace("value", _LINE_END + r"\z", "")
-    lines = df.select("*", F.posexplode(F.split(text, _LINE_END)).alias("_line_no", "_line")).filter(
-        F.col("_line_no") >= skip_rows
-    )
-    return lines.withColumn("value", F.col("_line")).drop("_line_no", "_line")
+    return df.mapInArrow(_without_first_lines(skip_rows), df.schema)
 
 
 def with_file_columns(df: DataFrame) -> DataFrame:
@@ -81,9 +108,6 @@ def read_documents(spark: SparkSession, path: str, whole_text: bool = True, skip
     """Batch twin of :func:`stream_documents`. A zero-length file yields no
     row (Spark's file sources skip empty files), so it never reaches
     parsing."""
-    if skip_rows > 0 and not whole_text:
-        df = _reader(spark.read, True, options).schema(RAW_SCHEMA).load(path)
-        return _skip_lines(with_file_columns(df), skip_rows, False)
     df = _reader(spark.read, whole_text, options).schema(RAW_SCHEMA).load(path)
     return _skip_lines(with_file_columns(df), skip_rows, whole_text)
 
@@ -108,8 +132,7 @@ def stream_documents(
         r = r.option("maxBytesPerTrigger", str(parse_size(max_bytes)))
     elif max_files is not None:
         r = r.option("maxFilesPerTrigger", str(int(max_files)))
-    read_whole = whole_text or skip_rows > 0
-    df = _reader(r, read_whole, options).schema(RAW_SCHEMA).load(path)
+    df = _reader(r, whole_text, options).schema(RAW_SCHEMA).load(path)
     return _skip_lines(with_file_columns(df), skip_rows, whole_text)
 
 
