@@ -18,7 +18,7 @@ from sheaf.llm import decontam, line_quality, mixing, ngram_join, training_order
 from sheaf.llm.common import pick, table
 from sheaf.session import scratch_path
 
-KEY = "_pipeline_key"
+KEY, PLACE = "_pipeline_key", "_pipeline_place"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -53,13 +53,11 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    keyed = _keyed(docs)
+    """Each document as often as the mix takes it, in the order of the mix."""
+    keyed = _keyed(docs).dropDuplicates([KEY])
     sized = _as_docs(keyed, "source", "text").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
-    plan = mixing.schedule(sized.dropDuplicates(["doc_id"])).filter("taken > 0")
-    times = plan.select(F.col("doc_id").alias(KEY), (F.col("taken") / F.col("size")).cast("int").alias("_times"))
-    rows = keyed.dropDuplicates([KEY]).join(times, KEY)
-    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    order = mixing.mix_order(sized).select(F.col("doc_id").alias(KEY), F.col("place").alias(PLACE))
+    return keyed.join(order, KEY).repartitionByRange(PLACE).sortWithinPartitions(PLACE).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,21 +2,24 @@
 
 Each source's documents are shuffled by a keyed hash and given a virtual
 finish time: the source's cumulative tokens up to and including the
-document, over the source's target. Documents of all sources are then taken
-in order of finish time until the total budget is used, so at any moment of
-the mix every source has had its share. A source may be gone through
-``max_repeats`` times.
-
-A running sum over a whole source, or over the whole mix, would put all its
-rows in one task. Both are taken over hash (or time) buckets instead: sums
-per bucket, a running sum of those few rows, and a window inside each
-bucket; the number of buckets follows the row count.
-
-Defined cases: NULL or wordless texts have size 0 and are taken 0 times; a
-source of only such texts has target 0 and no finish times;
-NULL source is a source, the last; repeated rows are separate documents with
-equal sizes, taken as such; an empty table gives an empty mix. Only doc_id,
-source and the text are read.
+document, over the source's target. A document has one turn for each time
+that its source may be gone through (``max_repeats``). The turns of all
+sources are range-sorted by finish time, over all tasks, and the mix ends
+where their running total passes the budget. So at any place of the mix every
+source has had its share. :func:`mix` gives the turns in that order, each with its
+place (tokens before it); :func:`schedule` adds them up for each document.
+
+No running sum goes through one task. Rows fall into buckets by hash (within
+a source) or by finish time, whose number follows the row count: sums per
+bucket, running sums over a thousand buckets each, running sums over those
+thousands (:func:`_before`), and a window inside each bucket. Only the sources
+themselves, one row each, meet in one task for their targets.
+
+Defined cases: NULL or wordless texts have size 0, no turns, and are taken 0
+times; a source of only such texts has target 0; NULL source is a source, the
+last; repeated rows are separate documents (rows with one id and one size have
+one hash, and stand next to each other in the order of their source); an empty
+table gives an empty mix. Only doc_id, source and the text are read.
 """
 
 from __future__ import annotations
@@ -63,79 +66,78 @@ def targets(sources: DataFrame, weights=WEIGHTS, percent: int = SHARE_PERCENT, r
     )
 
 
-def schedule(docs: DataFrame, seed: str = SEED, rows_a_bucket: int = ROWS_A_BUCKET, **how) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target and
-    ``taken`` words. ``docs``: doc_id, source, size and columns to carry."""
-    docs = reliable_checkpoint(docs)
+def _before(buckets: DataFrame, bucket: str, size: str, within: tuple = ()) -> DataFrame:
+    """``buckets`` (one row each, numbered) with ``_base``: the sum of ``size``
+    over all buckets before, for each ``within``. A window sees a thousand
+    buckets, or one row for each thousand."""
+    fits = list(within)
+    b = buckets.withColumn("_k", F.shiftright(bucket, 10))
+    inside = Window.partitionBy(*fits, "_k").orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    over = Window.partitionBy(*fits).orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    none = F.lit(0).cast("long")
+    sums = b.groupBy(*fits, "_k").agg(F.sum(size).alias("_n")).select(*[F.col(c).alias(f"_w{i}") for i, c in enumerate(fits)], F.col("_k").alias("_kk"), F.coalesce(F.sum("_n").over(over), none).alias("_far"))
+    same = F.col("_k") == F.col("_kk")
+    for i, c in enumerate(fits):
+        same = same & F.col(c).eqNullSafe(F.col(f"_w{i}"))
+    near = b.withColumn("_near", F.coalesce(F.sum(size).over(inside), none))
+    return near.join(sums, same).select(*buckets.columns, (F.col("_near") + F.col("_far")).alias("_base"))
+
+
+def turns(docs: DataFrame, seed: str = SEED, rows_a_bucket: int = ROWS_A_BUCKET, **how) -> tuple[DataFrame, DataFrame]:
+    """(documents, turns). ``docs``: doc_id, source, size and columns to
+    carry. Documents get a row number, their source's size and target; turns,
+    range-sorted in the order of the mix, have the row number, the time, and
+    the place: the tokens of the mix before them."""
+    docs = reliable_checkpoint(docs.withColumn("_row", F.monotonically_increasing_id()))  # numbers are fixed from here on
     src = docs.groupBy("source").agg(F.sum("size").alias("source_size"))
     goal = targets(src, **how).withColumnRenamed("source", "_s")
-    hashed = docs.withColumn("_h", F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string"))))
+    repeats = how.get("repeats", MAX_REPEATS)
     n = docs.count()
     digits = 1
     while 16**digits * rows_a_bucket < n and digits < 8:
         digits += 1
-    hashed = hashed.withColumn("_b", F.substring("_h", 1, digits))
-    # running sums per source: buckets of the hash, then rows of a bucket
+    name = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("size").cast("string")))
+    hashed = docs.filter("size > 0").select("_row", "source", "size", name.alias("_h")).withColumn("_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("long"))
     sums = hashed.groupBy("source", "_b").agg(F.sum("size").alias("_n"))
-    up_to = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select(F.col("source").alias("_s"), F.col("_b").alias("_sb"), F.coalesce(F.sum("_n").over(up_to), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("source", "_b").orderBy("_h", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = _before(sums, "_b", "_n", ("source",)).select(F.col("source").alias("_sb"), F.col("_b").alias("_bb"), "_base")
+    inside = Window.partitionBy("source", "_b").orderBy("_h", "_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at = hashed.withColumn("_in", F.sum("size").over(inside))
-    at = at.join(sums, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_b") == F.col("_sb"))).drop("_s", "_sb")
-    at = at.join(goal, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-    cum = F.col("_base") + F.col("_in")
-    repeats = how.get("repeats", MAX_REPEATS)
-    turns = [F.try_divide(cum + F.col("source_size") * e, F.col("target")).alias(f"_f{e}") for e in range(repeats)]
-    extra = [c for c in docs.columns if c not in ("doc_id", "source", "size")]
-    timed = reliable_checkpoint(at.select("doc_id", "source", "size", *extra, "source_size", "target", "_h", *turns))
-    cut = _cut(timed, repeats, rows_a_bucket)
-    if cut is None:
-        taken = F.lit(0)
-    else:
-        lim = F.struct(*[F.lit(v) for v in cut[:1]], F.lit(cut[1]).cast("boolean"), F.lit(cut[2]).cast("string"), F.lit(cut[3]))
-        taken = sum(F.when(F.struct(F.col(f"_f{e}"), F.col("source").isNull(), F.coalesce("source", F.lit("")), F.col("_h")) <= lim, F.col("size")).otherwise(0) for e in range(repeats))
-    return timed.select("doc_id", "source", "size", *extra, "source_size", "target", taken.cast("long").alias("taken"))
-
-
-def _cut(timed: DataFrame, repeats: int, rows_a_bucket: int):
-    """The last place of the mix: (time, NULL source, source, hash) of the
-    last document within the budget. Time buckets first; only the bucket in
-    which the budget ends is gone through row by row, narrowed until small."""
-    runs = None
-    for e in range(repeats):
-        one = timed.filter("size > 0").select(F.col(f"_f{e}").alias("f"), F.col("source").isNull().alias("n"), F.coalesce("source", F.lit("")).alias("s"), F.col("_h").alias("h"), "size")
-        runs = one if runs is None else runs.unionAll(one)
-    budget = timed.select("source", "target").distinct().agg(F.sum("target")).first()[0]
-    if budget is None:
-        return None
-    low, high, used = 0.0, float(2**40), 0
-    while True:
-        part = runs.filter(F.col("f").between(low, high))
-        if high > 1e6:
-            edges = [0.0, 0.5, *[0.9 + i / 2000 for i in range(201)], 1.1, 2.0, 16.0]
-            b = F.lit(0)
-            for x in edges:
-                b = b + (F.col("f") > x).cast("int")
-        else:
-            b = F.floor((F.col("f") - low) / (high - low) * 256)
-        rows = part.groupBy(b.alias("b")).agg(F.sum("size").alias("n"), F.count("*").alias("c"), F.min("f").alias("lo"), F.max("f").alias("hi")).orderBy("b").collect()
-        inside = None
-        for r in rows:
-            if used + r["n"] > budget:
-                inside = r
-                break
-            used += r["n"]
-        if inside is None:  # everything fits
-            return float(2**40), True, "~", "~"
-        if inside["c"] <= rows_a_bucket or inside["lo"] == inside["hi"]:
-            rest = part.filter(F.col("f").between(inside["lo"], inside["hi"]))
-            run = F.sum("size").over(Window.orderBy("f", "n", "s", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-            last = rest.withColumn("c", run + F.lit(used)).filter(F.col("c") <= budget).orderBy(F.desc("c"), F.desc("f"), F.desc("n"), F.desc("s"), F.desc("h")).first()
-            if last is None:  # the budget ends with the bucket before
-                before = runs.filter(F.col("f") < inside["lo"]).agg(F.max(F.struct("f", "n", "s", "h")).alias("x")).first()["x"]
-                return None if before is None else tuple(before)
-            return last["f"], last["n"], last["s"], last["h"]
-        low, high = inside["lo"], inside["hi"]
+    at = at.join(sums, F.col("source").eqNullSafe(F.col("_sb")) & (F.col("_b") == F.col("_bb")))
+    at = at.join(goal, F.col("source").eqNullSafe(F.col("_s")))
+    again = F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+    at = at.select("_row", "source", "size", "_h", "target", "source_size", (F.col("_base") + F.col("_in")).alias("_cum"), again.alias("turn"))
+    time = (F.col("_cum") + F.col("source_size") * F.col("turn")) / F.col("target")
+    # buckets of time: of equal width, and of equal ratio from 4 on (sources far above their target)
+    fine = max(1, -(-n * repeats // rows_a_bucket))
+    bucket = F.when(F.col("time") < 4, F.floor(F.col("time") * fine)).otherwise(4 * fine + F.floor((F.log2("time") - 2) * fine)).cast("long")
+    all_turns = reliable_checkpoint(at.select("_row", "source", "size", "_h", "turn", time.alias("time")).withColumn("_t", bucket))
+    # the global sort: buckets by range, rows of a bucket in order, and the running total over all
+    order = [F.col("time"), F.col("source").isNull(), F.col("source"), F.col("_h"), F.col("_row"), F.col("turn")]
+    base = _before(all_turns.groupBy("_t").agg(F.sum("size").alias("_n")), "_t", "_n").select(F.col("_t").alias("_tt"), "_base")
+    run = Window.partitionBy("_t").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = all_turns.repartitionByRange("_t").withColumn("_run", F.sum("size").over(run))
+    placed = ranged.join(base, F.col("_t") == F.col("_tt")).withColumn("place", F.col("_base") + F.col("_run") - F.col("size"))
+    budget = goal.agg(F.coalesce(F.sum("target"), F.lit(0.0))).first()[0]
+    taken = placed.filter(F.col("place") + F.col("size") <= F.lit(budget))
+    known = docs.join(goal, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+    return known, taken.select("_row", "turn", "time", "place", "size")
+
+
+def schedule(docs: DataFrame, seed: str = SEED, rows_a_bucket: int = ROWS_A_BUCKET, **how) -> DataFrame:
+    """One row per document: doc_id, source, size, carried columns,
+    source_size, target and ``taken`` words."""
+    known, taken = turns(docs, seed, rows_a_bucket, **how)
+    per = taken.groupBy("_row").agg(F.sum("size").alias("taken"))
+    return known.join(per, "_row", "left").select(*docs.columns, "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+
+
+def mix_order(docs: DataFrame, **how) -> DataFrame:
+    """The mix itself: a row for each turn taken, with all columns of
+    ``docs`` (doc_id, source and size among them), its ``turn`` and ``place``,
+    in the order of places over all partitions."""
+    known, taken = turns(docs, **how)
+    rows = known.join(taken.select("_row", "turn", "place"), "_row").select(*docs.columns, "turn", "place")
+    return rows.repartitionByRange("place").sortWithinPartitions("place")
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -145,3 +147,27 @@ def sizes(docs: DataFrame) -> DataFrame:
 def mix(docs: DataFrame) -> DataFrame:
     """The query: how often each document's words are in the mix."""
     return schedule(sizes(docs)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The same in DuckDB: the order of the mix is one running sum there.
+ORACLE = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, (row_number() OVER (ORDER BY source IS NULL, source) - 1) % {len(WEIGHTS)} AS r FROM d GROUP BY source),
+w AS (SELECT source, source_size, CAST(list_value({", ".join(map(str, WEIGHTS))})[r + 1] AS DOUBLE) AS w, source_size * {MAX_REPEATS} AS cap FROM s),
+l AS (
+  SELECT *, (sum(source_size) OVER () * {SHARE_PERCENT} / 100.0
+             - coalesce(sum(cap) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / sum(w) OVER (ORDER BY cap / w, source IS NULL, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+g AS (
+  SELECT source, source_size, least(CAST(cap AS DOUBLE), coalesce((SELECT arg_min(level, cap / w) FROM l WHERE level * w <= cap) * w, CAST(cap AS DOUBLE))) AS target FROM l),
+h AS (SELECT *, md5(concat_ws(':', '{SEED}', coalesce(CAST(doc_id AS VARCHAR), ''), CAST(size AS VARCHAR))) AS h FROM d WHERE size > 0),
+c AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY h, rid ROWS UNBOUNDED PRECEDING) AS cum FROM h),
+t AS (
+  SELECT c.rid, c.size, c.source, c.h, e, (CAST(c.cum AS BIGINT) + g.source_size * e) / g.target AS f
+  FROM c JOIN g ON c.source IS NOT DISTINCT FROM g.source CROSS JOIN range({MAX_REPEATS}) AS r(e)),
+p AS (SELECT *, sum(size) OVER (ORDER BY f, source IS NULL, source, h, rid, e ROWS UNBOUNDED PRECEDING) AS place FROM t),
+k AS (SELECT rid, sum(size) AS taken FROM p WHERE place <= (SELECT sum(target) FROM g) GROUP BY rid)
+SELECT d.doc_id, d.size, g.source_size, g.target, CAST(coalesce(k.taken, 0) AS BIGINT) AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN k USING (rid)
+"""

@@ -87,5 +87,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_url_reputation": url_reputation.ORACLE,
     "op2_warc": warc.ORACLE,
     "op5_line_quality": line_quality.ORACLE,
+    "op8_fair_mix": mixing.ORACLE,
     "op9_decontaminate": decontam.ORACLE,
 }
