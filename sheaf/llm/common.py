@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import _hadoop
+
 SLICE_BYTES = 2 << 20
 _MASK = (1 << 64) - 1
 
@@ -21,6 +23,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def qualified(spark: SparkSession, root: str) -> str:
+    """A folder with its file system's scheme: without one it is that of the
+    cluster's default file system, not a machine's own disk."""
+    fs, path = _hadoop(spark, root)
+    return fs.makeQualified(path).toString()
+
+
 def named(name: str) -> Column:
     """A column by its exact name (dots and back-ticks are part of it)."""
     return F.col("`" + name.replace("`", "``") + "`")

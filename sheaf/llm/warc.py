@@ -38,7 +38,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import pick, qualified
 
 MIN_REVISIT = 1000
 MAX_BYTES = 64 << 20
@@ -85,8 +85,9 @@ def record(page: int | None, serial: int, url: str | None, payload: bytes, refer
 
 
 def _bounds(pages: DataFrame, shards: int) -> np.ndarray:
-    """Shard bounds from a fixed share of the ids, chosen by their hash."""
-    ids = pages.filter("page_id IS NOT NULL").select("page_id")
+    """Shard bounds from a fixed share of the distinct ids, chosen by their
+    hash: however often an id occurs, it comes to the driver once."""
+    ids = pages.filter("page_id IS NOT NULL").select("page_id").distinct()
     n = ids.count()
     share = max(1, -(-n // BOUND_SAMPLE))
     some = sorted(r[0] for r in ids.filter(F.pmod(F.xxhash64("page_id"), F.lit(share)) == 0).collect())
@@ -160,6 +161,7 @@ def write(pages: DataFrame, root: str, max_bytes: int = MAX_BYTES, shard_bytes:
     """Write ``pages`` (page_id, url, html) under ``root`` and return the
     manifest, which is kept at ``root``/manifest."""
     spark = pages.sparkSession
+    root = qualified(spark, root)
     p = pick(pages, "page_id", "url", "html").select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.coalesce(F.col("html").cast("string").cast("binary"), F.lit(b"")).alias("html"),
@@ -255,6 +257,7 @@ def read(manifest: DataFrame, root: str) -> DataFrame:
     """Every record of the archives in the manifest, checked on the way:
     page_id, payload_bytes, payload_digest, record_type, refers_to."""
     n = max(1, manifest.count())
+    root = qualified(manifest.sparkSession, root)
     return manifest.select("name", "records").repartition(min(n, 10_000)).mapInArrow(_read(root), PAGE)
 
 
