@@ -16,9 +16,11 @@ sequences without gaps, would tokenise all of them twice. Places of parts
 that do not exist stay empty and take up nothing.
 
 Shards are written under temporary names and renamed by the manifest, as in
-``warc``. Defined cases: NULL and empty texts have no sequences; a NULL id
-counts as one below the least; rows with equal ids keep separate sequences,
-next to each other, by text; other columns are not read. A token id takes
+``warc``. Defined cases: NULL and empty texts have no sequences; a document
+whose id is NULL, or no number, takes the number of a hash of id and text, so
+that many of them lie in all shards; rows with equal ids keep separate
+sequences, next to each other, by text; very long texts are sequences like
+others; an empty table gives no shard with records; other columns are not read. A token id takes
 two bytes, or four if the vocabulary is larger than 65,536.
 """
 
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import mix, pick
+from .common import mix, pick, qualified
 from .warc import _commit, _files
 
 LENGTH = 256
@@ -155,6 +157,7 @@ def materialise(docs: DataFrame, root: str, tokenizer: str = TOKENIZER, length:
     shard (name, first_slot, records, bytes, sha256), also kept at
     ``root``/manifest."""
     spark = docs.sparkSession
+    root = qualified(spark, root)
     ranks = load_ranks(tokenizer)
     end = max(ranks.values()) + 1
     width = 2 if end < 1 << 16 else 4
@@ -166,9 +169,9 @@ def materialise(docs: DataFrame, root: str, tokenizer: str = TOKENIZER, length:
     low, parts = (low or 0) - 1, (longest or 0) // length + 1
     span = ((high or 0) - low + 1) * parts
     if span < DOMAIN:
-        base = F.coalesce(number - F.lit(low), F.lit(0))
+        base = F.coalesce(number - F.lit(low), F.pmod(F.xxhash64("doc_id", "text"), F.lit((high or 0) - low + 1)))
     else:  # ids too far apart to number: by their hash
-        base = F.pmod(F.xxhash64("doc_id"), F.lit(DOMAIN // parts))
+        base = F.pmod(F.when(number.isNull(), F.xxhash64("doc_id", "text")).otherwise(F.xxhash64("doc_id")), F.lit(DOMAIN // parts))
         span = DOMAIN // parts * parts
     shards = max(1, -(-(total or 0) // shard_bytes), min(spark.sparkContext.defaultParallelism, -(-(total or 0) // (1 << 20))))
     per_shard = -(-span // shards)
@@ -202,6 +205,7 @@ def materialise(docs: DataFrame, root: str, tokenizer: str = TOKENIZER, length:
 def resume(spark: SparkSession, root: str, slot: int, length: int = LENGTH, width: int = 2) -> Iterator[np.ndarray]:
     """Sequences from ``slot`` on, in training order: a training loop's
     reader. One seek, then sequential reads of one record at a time."""
+    root = qualified(spark, root)
     files, base = _files(root)
     dtype = np.uint16 if width == 2 else np.uint32
     for r in spark.read.parquet(f"{root}/manifest").filter(F.col("first_slot") + F.col("records") > slot).orderBy("first_slot").toLocalIterator():
