@@ -304,7 +304,7 @@ def find_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = md.resource_silver(_fields(spark, sf_dir), "Order", ORDER_KEYS)
+    s = md.resource_silver(None, "Order", ORDER_KEYS, entries=ex.explode_entries(_bronze(spark, sf_dir), url_check=True))
     return pv.typed(s, ORDER_TYPES).select("Order_uuid", *ORDER_KEYS)
 
 

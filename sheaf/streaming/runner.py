@@ -274,6 +274,23 @@ def stream_changes(spark: SparkSession, log_path: str) -> DataFrame:
     return stream_table(spark, f"{log_path.rstrip('/')}/log", merge_schema=True)
 
 
+def follow_changes(spark: SparkSession, log_path: str, out_path: str, checkpoint: str) -> StreamingQuery:
+    """Copy the change feed of a log to ``out_path``, batch by batch, each
+    whole and once. A stream's columns are fixed when it starts; a column that
+    the log got since then raises before the batch is taken, and the next
+    start has it, so it is not lost."""
+    changes = stream_changes(spark, log_path)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        now = spark.read.option("mergeSchema", "true").parquet(f"{log_path.rstrip('/')}/log").columns
+        new = sorted(set(now) - set(changes.columns))
+        if new:
+            raise RuntimeError(f"{log_path} has columns that this stream began without: {', '.join(new)}; start it again")
+        publish(batch, f"{out_path.rstrip('/')}/feed={batch_id}")
+
+    return run_batches(changes, step, checkpoint)
+
+
 def landing_writer(df: DataFrame, folder: str, column: str = "value") -> None:
     """Write a text column as files (one JSON document per line) into a
     landing folder, as an upstream system would."""

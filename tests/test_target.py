@@ -182,3 +182,26 @@ def test_silver_counts_are_kept_once(spark, tmp_path):
     other.append(wide, 0)  # the run ended before its counts were there
     rn._checked_append(other, wide.withColumnRenamed("A_uuid", "B_uuid"), 0, rn._silver_rules("B"))
     assert rn.expectation_table(spark, other.path).count() == 2
+
+
+def test_a_column_that_comes_while_the_feed_is_followed(spark, tmp_path):
+    """The copy stops before it would lose the column, and has it after."""
+    log = rn.ChangeLog(spark, str(tmp_path / "log"), "k", "s")
+    log.append(spark.createDataFrame([(1, 1)], "k INT, s INT"), 0)
+    out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
+    whole, once = rn.run_batches, []
+
+    def late(changes, step, checkpoint):
+        if not once:  # another batch lands after the stream's columns were read
+            once.append(log.append(spark.createDataFrame([(2, 2, "n")], "k INT, s INT, new STRING"), 1))
+        return whole(changes, step, checkpoint)
+
+    rn.run_batches = late
+    try:
+        with pytest.raises(Exception, match="start it again"):
+            rn.follow_changes(spark, log.path, out, ck)
+        rn.follow_changes(spark, log.path, out, ck)
+    finally:
+        rn.run_batches = whole
+    got = spark.read.option("mergeSchema", "true").parquet(out).select("k", "s", "new").collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, None), (2, 2, "n")]
