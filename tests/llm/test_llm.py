@@ -166,6 +166,25 @@ def test_hot_keys_take_the_second_index(spark, monkeypatch):
     assert got == dict(enumerate(comp))
 
 
+@pytest.mark.parametrize("hot", [1, 16])
+def test_candidates_of_two_families_grow_in_proportion(spark, monkeypatch, hot):
+    """Two groups of near copies that share a passage and are not linked:
+    pairs across them are not all looked at, and the groups are found."""
+    monkeypatch.setattr(ngram_join, "HOT", hot)
+    seen = []
+    whole = ngram_join.likely
+    monkeypatch.setattr(ngram_join, "likely", lambda pairs, *rest: (seen.append(pairs.count()), whole(pairs, *rest))[1])
+    across = {}
+    for n in (30, 90):
+        passage = " ".join(f"p{i}" for i in range(40))
+        rows = [(f * 1000 + k, " ".join(f"{'ab'[f]}{i}" for i in range(60)) + " " + passage + f" t{f}x{k}") for f in (0, 1) for k in range(n)]
+        got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+        assert got == {d: d // 1000 * 1000 for d, _ in rows}
+        across[n] = seen[-1]
+    assert across[90] <= 2 * hot * 180 * 8  # so many times its sets for a key, of a few keys
+    assert across[90] <= 4 * max(across[30], 60)
+
+
 def test_repeated_bytes_by_brute_force(spark, docs, empty):
     rows = [(d, t) for d, t, *_ in DOCS] + [(20, "q" * 400), (21, "zz" + "q" * 120 + "é" + LONG[40:200]), (22, "q" * 49)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
