@@ -1,12 +1,19 @@
 """The corpus pipeline: quality rules, near-duplicate removal, benchmark
 decontamination, mixing, and token shards in training order.
 
+Defined cases, for every stage: a document without words has no quality, so
+NULL, empty and blank texts go in the first; a NULL id is one like others, after
+all numbers where an order counts; copies tie, and the smallest id of a group
+stays; texts of any length are worked on whole; an empty table stays empty;
+columns beyond those of ``documents`` pass through to the last stage, whatever
+their names.
+
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is
 written and read again as the next one's ``docs``; all but the last return
 the columns of ``documents``. A row is known by its id and text together, so
 repeated ids are no trouble; rows equal in both are one document from the
 second stage on. No SQL gives the rows of the last stage (tokens), so
-``ORACLE_SQL`` is None and the stages are tested against plain Python.
+``ORACLE_SQL`` is None; stages and whole are tested against a plain-Python model.
 """
 
 from __future__ import annotations

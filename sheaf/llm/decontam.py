@@ -18,6 +18,8 @@ documents.
 Defined cases: NULL or wordless texts have no words, no hits and no windows;
 repeated rows are judged alike, each has its own result row; other columns
 are not read. A NULL item id takes part in hits but is not counted as item.
+Texts of any length are gone through whole; an empty table of documents gives
+no rows, an empty one of items no hits.
 """
 
 from __future__ import annotations

@@ -29,7 +29,8 @@ Defined cases: a NULL text has no lines; lines without a word are neither
 compared nor counted; spaces at either end are not compared. Documents with
 one id and different texts are in the order of the texts' hashes; rows with
 one id and one text are judged alike, each has its own result row. NULL ids
-come last. Other columns are not read, and
+come last. Texts and lines of any length take part whole; an empty table gives
+no rows. Other columns are not read, and
 ``dedup`` passes them through.
 """
 

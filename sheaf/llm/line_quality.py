@@ -6,7 +6,8 @@ text goes with them. Each rule reads one row, so nothing is shuffled and no
 document depends on another: the plan is a scan and a projection.
 
 Defined cases: a NULL text has no words and fails; lines without a word are
-neither judged nor counted; repeated rows are judged alike; other columns
+neither judged nor counted; repeated rows are judged alike; texts and lines
+of any length are judged whole; an empty table gives no rows; other columns
 pass through ``clean`` untouched and may have any name except the ones it
 appends, which replace columns of that name.
 """

@@ -15,8 +15,10 @@ few values each, so there are at most ``PATTERNS`` patterns however many
 spans exist, and the counts are partial aggregates over all documents. Texts
 are read once; spans wait in a table in the shared checkpoint folder.
 
-Defined cases: a NULL text is empty; repeated rows are judged alike; spans
-are offsets in code points, end exclusive; other columns are not read.
+Defined cases: a NULL text is empty and has no spans; texts of any length are
+gone through whole; repeated rows and texts that tie are judged alike; a NULL id
+stays NULL; spans are offsets in code points, end exclusive; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -14,6 +14,9 @@ equality join on the host, which Spark broadcasts or splits by measured size.
 Defined cases: NULL url or one without ``://`` has empty host and path; it
 takes the verdict of the empty host. A NULL outcome is no outcome. No
 outcomes at all: the prior mean is ``DEFAULT_BAD`` and everything passes.
+Repeated pages are judged alike, repeated outcomes count each, an url of any
+length is taken whole; an empty table gives no rows. Other columns are not
+read, whatever their names.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ rows are revisits is found on digests only; the html is shuffled once.
 Defined cases: NULL html is an empty payload; a NULL url has no target
 header; a NULL page id sorts first, as the smallest; repeated rows are
 separate records (of a repeated largest page id with one payload, the first
-record is the response). Other columns are not read.
+record is the response). A payload of any length is one record; an empty table
+gives an empty manifest. Other columns are not read.
 """
 
 from __future__ import annotations

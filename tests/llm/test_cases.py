@@ -1,0 +1,91 @@
+"""Every operator on an empty table, and on one with NULLs in all columns,
+very long and blank texts, ties, repeated rows and columns whose names clash
+with its own."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from sheaf.llm import (
+    decontam, line_dedup, line_quality, lm_score, mixing, ngram_join, pii, suffix_dedup, token_alignment, training_order, url_reputation, warc, whitening,
+)
+
+LONG = " ".join(f"w{i % 997}x{i // 997}" for i in range(30000)) + " a@b.co +12 345 678 90123 " + "z" * 20000
+DOCS = [(None, None, None), (None, "", "s"), (1, " \n\t ", None), (2, LONG, "s"), (3, LONG, "s"), (2, LONG, "s"), (None, LONG + " tail", "t"), (4, "one two", "t"), (5, "one two", None), (6, "\n" * 5000, "t")]
+CLASH = ["size", "t", "node", "key", "place", "turn", "_row", "_words", "slice", "ids", "kept", "base", "shard", "doc", "n", "h1", "at", "part", "d", "x", "kind", "_h"]
+
+OPERATORS = {
+    "op3": lambda d, tmp: pii.personal_data(d),
+    "op4": lambda d, tmp: line_dedup.removed_lines(d),
+    "op5": lambda d, tmp: line_quality.line_quality(d),
+    "op6": lambda d, tmp: suffix_dedup.repeated_bytes(d),
+    "op8": lambda d, tmp: mixing.mix(d),
+    "op9": lambda d, tmp: decontam.decontaminate(d, d.select(F.col("doc_id").alias("item_id"), "text", F.lit(1).alias("n")).filter("doc_id = 4")),
+    "op10": lambda d, tmp: ngram_join.near_duplicates(d),
+    "op12": lambda d, tmp: token_alignment.align_documents(d),
+    "op13": lambda d, tmp: lm_score.score(d),
+}
+
+
+def documents(spark):
+    df = spark.createDataFrame(DOCS, "doc_id long, text string, source string")
+    for k, c in enumerate(CLASH):
+        df = df.withColumn(c, F.when(F.rand(k) < 0.5, F.lit("clash")))
+    return df.repartition(3)
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_documents(spark, tmp_path, name):
+    df = documents(spark)
+    got = OPERATORS[name](df, str(tmp_path)).collect()
+    assert len(got) == len(DOCS) and sorted(str(r.doc_id) for r in got) == sorted(str(d[0]) for d in DOCS)
+    rows = [tuple(v for k, v in sorted(r.asDict().items())) for r in got if r.doc_id == 2]
+    assert len(rows) == 2 and (rows[0] == rows[1] or name == "op8")  # repeated rows; the mix takes each as a document of its own
+    assert OPERATORS[name](df.limit(0), str(tmp_path)).count() == 0
+
+
+def test_token_order(spark, tmp_path):
+    df = documents(spark)
+    index, _ = training_order.materialise(df, str(tmp_path / "a"))
+    rows = index.collect()
+    assert sorted(r.slot for r in rows) == list(range(len(rows)))
+    texts = [(d, t) for d, t, _ in DOCS if t]
+    assert {(d, 0) for d, _ in texts} <= {(r.doc_id, r.part) for r in rows} and sum(r.part == 0 for r in rows) == len(texts)
+    empty, manifest = training_order.materialise(df.limit(0), str(tmp_path / "b"))
+    assert empty.count() == 0 and manifest.count() == 0
+
+
+def test_many_documents_without_a_number_are_spread(spark, tmp_path):
+    rows = [(None, f"text number {i} " + "word " * 400) for i in range(60)] + [(i, "short") for i in range(20)]
+    index, _ = training_order.materialise(spark.createDataFrame(rows, "doc_id long, text string"), str(tmp_path / "n"), shard_bytes=1 << 14)
+    sizes = [r["count"] for r in index.filter("doc_id IS NULL").groupBy("shard").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 0.6 * sum(sizes)
+    named = spark.createDataFrame([(f"id{i}", t) for i, (_, t) in enumerate(rows)], "doc_id string, text string")
+    index, _ = training_order.materialise(named, str(tmp_path / "s"), shard_bytes=1 << 14)
+    assert index.select("shard").distinct().count() >= 4 and index.select("doc_id").distinct().count() == len(rows)
+
+
+def test_pages(spark, tmp_path):
+    big = "<p>" + "é" * 300000
+    rows = [(None, None, None), (1, "http://a.example.com/" + "x" * 100000, big), (2, "http://a.example.com/1", big), (2, "http://a.example.com/1", big), (3, "", ""), (None, "http://b.net/", "x")]
+    pages = spark.createDataFrame([(*r, "clash", "clash") for r in rows], "page_id long, url string, html string, host string, shard string")
+    pages = pages.withColumn("n", F.lit(1)).withColumn("sha", F.lit("clash")).withColumn("verdict", F.lit("clash"))
+    labels = spark.createDataFrame([(1, 1, 0), (2, None, 1), (None, 0, 0), (2, 1, 1)], "doc_id long, quality int, toxic int")
+    judged = url_reputation.url_reputation(pages, labels).collect()
+    assert len(judged) == len(rows) and {r.verdict for r in judged} <= {"allow", "block"}
+    found = warc.round_trip(pages, str(tmp_path / "w")).collect()
+    assert sorted((r.page_id or 0, r.payload_bytes, r.record_type) for r in found) == [
+        (0, 0, "response"), (0, 1, "response"), (1, 600003, "revisit"), (2, 600003, "response"), (2, 600003, "revisit"), (3, 0, "response")]
+    assert url_reputation.url_reputation(pages.limit(0), labels.limit(0)).count() == 0
+    assert warc.round_trip(pages.limit(0), str(tmp_path / "e")).count() == 0
+
+
+def test_one_id_on_many_rows_is_one_bound(spark):
+    ids = spark.range(5000).select(F.when(F.col("id") < 4000, F.lit(7)).otherwise(F.col("id")).alias("page_id"))
+    assert len(warc._bounds(ids, 8)) == 7
+
+
+def test_vectors(spark):
+    rows = [(None, [1.0, 2.0]), (1, None), (2, [None, 1.0]), (3, [0.5, 1.5]), (3, [0.5, 1.5]), (4, [9.0] * 2), (5, [1.0] * 3), (6, [])]
+    df = spark.createDataFrame([(*r, "clash", "clash", 1) for r in rows], "vec_id long, embedding array<double>, x string, component string, d int")
+    got = whitening.whiten(df).collect()
+    assert sorted(str(r.vec_id) for r in got if r.component == 1) == ["3", "3", "4", "None"]
