@@ -326,7 +326,7 @@ STREAM_SQL: dict[str, str] = {
         UNION ALL SELECT 'valid_Order_uuid', count(*) FILTER (WHERE o_totalprice > 100000),
                          count(*) FILTER (WHERE NOT coalesce(o_totalprice > 100000, false)) FROM orders""",
     "landing_inventory": f"""
-        SELECT CAST(s_nationkey AS INTEGER) AS nation, true AS new, 1 AS files, CAST(sum(octet_length(CAST({SUPPLIER_JSON} AS BLOB)) + 1) AS BIGINT) AS bytes
+        SELECT CAST(s_nationkey AS INTEGER) AS nation, true AS new, CAST(1 AS BIGINT) AS files, CAST(sum(octet_length(CAST({SUPPLIER_JSON} AS BLOB)) + 1) AS BIGINT) AS bytes
         FROM supplier GROUP BY s_nationkey""",
     "landed_documents": f"""
         SELECT CAST(s_suppkey AS VARCHAR) AS bundle_id, CAST(s_nationkey AS INTEGER) AS nation, true AS in_sub_folder, true AS names_agree,
