@@ -61,10 +61,10 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, in the order of the mix."""
-    keyed = _keyed(docs).dropDuplicates([KEY])
+    keyed = _keyed(docs)
     sized = _as_docs(keyed, "source", "text").select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"))
-    order = mixing.mix_order(sized).select(F.col("doc_id").alias(KEY), F.col("place").alias(PLACE))
-    return keyed.join(order, KEY).repartitionByRange(PLACE).sortWithinPartitions(PLACE).select(*docs.columns)
+    order = mixing.mix_order(sized.dropDuplicates(["doc_id"])).select(F.col("doc_id").alias(KEY), F.col("place").alias(PLACE))
+    return keyed.dropDuplicates([KEY]).join(order, KEY).repartitionByRange(PLACE).sortWithinPartitions(PLACE).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
