@@ -105,6 +105,35 @@ def duplicate_keys(fields: DataFrame, resource_type: str | None = None, only_dup
     return out.orderBy(F.desc("cnt"), "bundleUUID", "fullUrl", "key")
 
 
+def duplicate_keys_of(bronze: DataFrame, resource_type: str | None = None) -> DataFrame:
+    """:func:`duplicate_keys` (counts above 1) straight from the documents.
+    A (document, url) pair never leaves its document, and an object holds a
+    key once: so entries travel once, by document, each with the list of its
+    keys, and keys become rows after the sort. The long form moves one row a
+    key, twice."""
+    from .explode import explode_entries
+
+    entries = explode_entries(bronze)
+    if resource_type is not None:
+        entries = entries.filter(F.col("resourceType") == resource_type)
+    keys = F.map_keys(F.try_variant_get("entry", "$.resource", "map<string,variant>"))
+    listed = entries.select("bundleUUID", "fullUrl", keys.alias("keys")).filter(F.size("keys") > 0).repartition("bundleUUID")
+    # equal key lists of one url are added up first, so a hot url stays one row
+    lists = listed.groupBy("bundleUUID", "fullUrl", "keys").agg(F.count(F.lit(1)).alias("n"))
+    urls = lists.groupBy("bundleUUID", "fullUrl").agg(F.sum("n").alias("n"), F.collect_list(F.struct("keys", "n")).alias("_lists")).filter("n > 1")
+    of = lambda k: F.aggregate("_lists", F.lit(0).cast("bigint"), lambda a, x: a + F.when(F.array_contains(x["keys"], k), x["n"]).otherwise(0))
+    names = F.array_sort(F.array_distinct(F.flatten(F.col("_lists")["keys"])))
+    counted = urls.select("bundleUUID", "fullUrl", F.transform(names, lambda k: F.struct(of(k).alias("cnt"), k.alias("key"))).alias("_counts"))
+    # keys of one url with one count sort side by side: one row until then
+    each = F.transform(
+        F.array_distinct(F.col("_counts")["cnt"]),
+        lambda c: F.struct(c.alias("cnt"), F.filter("_counts", lambda x: x["cnt"] == c)["key"].alias("keys")),
+    )
+    rows = counted.select("bundleUUID", "fullUrl", F.explode(each).alias("_r")).select("bundleUUID", "fullUrl", F.col("_r.cnt").alias("cnt"), F.col("_r.keys").alias("keys"))
+    ordered = rows.filter(F.col("cnt") > 1).orderBy(F.desc("cnt"), "bundleUUID", "fullUrl")
+    return ordered.select("bundleUUID", "fullUrl", F.explode("keys").alias("key"), "cnt")
+
+
 def name_difference(
     spark: SparkSession,
     expected: list[str] | DataFrame,

@@ -129,7 +129,7 @@ def discover_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = sm.duplicate_keys(_fields(spark, sf_dir, "order"), "LineItem")
+    d = sm.duplicate_keys_of(_bronze(spark, sf_dir, "order"), "LineItem")
     return d.select("fullUrl", "key", "cnt")
 
 
