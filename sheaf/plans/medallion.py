@@ -329,11 +329,12 @@ def refresh_all(
         paths.update({"silver": f"{b}/silver", "silver_header": f"{b}/silver_header", "bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})
         return paths
     type_keys = sm.type_key_dict(spark.read.parquet(paths["resource_type_keys"]), types)
-    silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False)
+    splits = docs.small_splits(spark)  # long rows are sorted before they are regrouped
+    silver = build_silver(fields, types=types, type_keys=type_keys, out_path=f"{b}/silver", persist_source=False, write_options={"spark_conf": splits})
     header_keys = sm.discover_header_keys(spark.read.parquet(paths["meta_keys"]))
     if header_keys:
         bronze = spark.read.parquet(f"{b}/bronze")
-        write_table(header_silver(header, header_keys, bronze=bronze), f"{b}/silver_header", cluster_by=["bundleUUID"])
+        write_table(header_silver(header, header_keys, bronze=bronze), f"{b}/silver_header", cluster_by=["bundleUUID"], spark_conf=splits)
         paths["silver_header"] = f"{b}/silver_header"
     paths.update({f"silver/{t}": f"{b}/silver/{t}" for t in silver})
     paths.update({"bronze": f"{b}/bronze", "fields": f"{b}/fields", "header": f"{b}/header"})

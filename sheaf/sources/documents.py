@@ -34,6 +34,18 @@ def parse_size(size: str | int | None) -> int | None:
     return int(float(m.group(1)) * _UNITS[m.group(2).lower()])
 
 
+#: a task that explodes documents reads so many bytes of files at most: what
+#: it holds in memory is a multiple of what it reads
+SPLIT_BYTES = 16 * 1024**2
+
+
+def small_splits(spark: SparkSession) -> dict[str, str]:
+    """Session settings under which a task reads :data:`SPLIT_BYTES` of files
+    at most, or the session's own limit if that is smaller."""
+    key = "spark.sql.files.maxPartitionBytes"
+    return {key: str(min(parse_size(spark.conf.get(key)), SPLIT_BYTES))}
+
+
 def source_path(root: str, sub_folder: str = "") -> str:
     """Root folder plus optional sub-folder, always with a trailing slash."""
     root = root.rstrip("/")

@@ -26,7 +26,7 @@ from ..operators import pivot as pv
 from ..operators import quality as q
 from ..operators import summaries as sm
 from ..functions.variant import col_of
-from ..session import claim, folder_names, path_exists, publish, scratch_path, variant_shredding
+from ..session import claim, folder_names, path_exists, publish, scratch_path, session_settings, variant_shredding
 from ..sources import documents as docs
 
 
@@ -100,8 +100,10 @@ def ingest_documents(
     folder = docs.source_path(source, sub_folder)
     raw = docs.stream_documents(spark, folder, max_files=max_files, max_bytes=max_bytes, whole_text=whole_text, skip_rows=skip_rows, options=options)
     bronze = docs.to_bronze(raw, datasource or folder, id_mode=id_mode, on_error="quarantine" if rejects_path else on_error)
+    # first lines are counted in a file's first block: that keeps its size
+    splits = None if skip_rows > 0 else docs.small_splits(spark)
     if rejects_path is None:
-        with variant_shredding(spark, enabled=shred):
+        with variant_shredding(spark, enabled=shred), session_settings(spark, splits):
             return run_stream(bronze, bronze_path, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -115,7 +117,8 @@ def ingest_documents(
             for rows, sink in zip(docs.split_rejects(spark.read.schema(batch.schema).parquet(parsed)), sinks):
                 publish(rows, sink)
 
-    return run_batches(bronze, step, checkpoint)
+    with session_settings(spark, splits):
+        return run_batches(bronze, step, checkpoint)
 
 
 def read_sink(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -131,13 +134,15 @@ def explode_stream(spark: SparkSession, bronze_path: str, fields_path: str, head
     prune whole folders. Returns batch readers of the two tables."""
     fields = ex.explode_fields(stream_table(spark, bronze_path))
     header = ex.explode_header(stream_table(spark, bronze_path))
-    # the two streams are independent: run them side by side
-    queries = [
-        run_stream(fields, fields_path, f"{checkpoint}/fields", partition_by=["resourceType"], wait=False),
-        run_stream(header, header_path, f"{checkpoint}/header", wait=False),
-    ]
-    for query in queries:
-        query.awaitTermination()
+    # Writing by type sorts a task's long rows, which are many times what it
+    # reads: small splits. The two streams are independent: run them side by side
+    with session_settings(spark, docs.small_splits(spark)):
+        queries = [
+            run_stream(fields, fields_path, f"{checkpoint}/fields", partition_by=["resourceType"], wait=False),
+            run_stream(header, header_path, f"{checkpoint}/header", wait=False),
+        ]
+        for query in queries:
+            query.awaitTermination()
     return read_sink(spark, fields_path, fields.schema), read_sink(spark, header_path, header.schema)
 
 
@@ -151,7 +156,8 @@ def pivot_stream(spark: SparkSession, bronze_path: str, resource_type: str, keys
         wide = pv.pivot_resource(None, resource_type, keys, entries=entries)
         publish(wide, f"{stage_path.rstrip('/')}/batch_id={batch_id}")
 
-    return run_batches(stream_table(spark, bronze_path), step, checkpoint)
+    with session_settings(spark, docs.small_splits(spark)):
+        return run_batches(stream_table(spark, bronze_path), step, checkpoint)
 
 
 class ChangeLog:
@@ -392,7 +398,8 @@ def silver_stream(
         finally:
             entries.unpersist()
 
-    return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
+    with session_settings(spark, docs.small_splits(spark)):
+        return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
 
 
 def header_stream(spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, max_files: int | None = None) -> StreamingQuery:
@@ -407,7 +414,8 @@ def header_stream(spark: SparkSession, bronze_path: str, silver_path: str, check
         names = _named(spark, log.path, found, pv.HEADER_GROUP, batch_id)
         _checked_append(log, pv.pivot_header(None, found, method="project", bronze=batch, only_with_keys=True, names=names), batch_id, HEADER_RULES)
 
-    return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
+    with session_settings(spark, docs.small_splits(spark)):
+        return run_batches(stream_table(spark, bronze_path, max_files=max_files), step, checkpoint)
 
 
 def _header_log(spark: SparkSession, silver_path: str) -> "ChangeLog":

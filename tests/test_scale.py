@@ -58,3 +58,29 @@ def test_query_of_repeated_keys_moves_no_row_a_key(spark, tmp_path):
     keys = ["disc", "line", "part", "price", "qty", "resourceType", "shipdate", "status", "supp", "tax"]
     assert [tuple(r) for r in got.collect()] == [("urn:li:1:1", k, 2) for k in keys]
     assert not re.search(r"Exchange hashpartitioning\([^)]*\bkey#", got._jdf.queryExecution().executedPlan().toString())
+
+
+def _texts(n):
+    return [(json.dumps({"id": str(k), "entry": [_entry(f"u{k}-{i}", a=k, b=f"{k * 7919 % 1000003}-{i}" * 4) for i in range(40)]}),) for k in range(n)]
+
+
+def test_streams_split_files_small_and_keep_the_sessions_own_limit(spark, tmp_path, monkeypatch):
+    from sheaf.sources import documents as docs
+    from sheaf.streaming import runner as rn
+
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    assert docs.small_splits(spark) == {key: str(16 * 1024**2)}
+    monkeypatch.setattr(docs, "SPLIT_BYTES", 256 * 1024)
+    rn.landing_writer(spark.createDataFrame(_texts(600), "value STRING").coalesce(1), f"{tmp_path}/landing")
+    rn.ingest_documents(spark, f"{tmp_path}/landing", f"{tmp_path}/bronze", f"{tmp_path}/ck", whole_text=False)
+    bronze = spark.read.parquet(f"{tmp_path}/bronze")
+    assert bronze.count() == 600 and len(bronze.inputFiles()) > 4  # one text file: a task a split
+    fields, _ = rn.explode_stream(spark, f"{tmp_path}/bronze", f"{tmp_path}/fields", f"{tmp_path}/header", f"{tmp_path}/ckl")
+    assert fields.count() == 600 * 40 * 3 and len(fields.inputFiles()) > 4
+    assert spark.conf.get(key) == old
+    spark.conf.set(key, "64k")
+    try:
+        assert docs.small_splits(spark) == {key: "65536"}
+    finally:
+        spark.conf.set(key, old)
