@@ -24,14 +24,18 @@ from . import medallion as md
 from . import queries as q
 
 # A landing folder of the streaming fixtures has so many files
-# at least, and as many as the rows have partitions where these are more; it
-# is taken in in so many micro-batches.
+# at least, as many as the rows have partitions where these are more, and so
+# many that a file has about so many rows or bytes of documents at most; it is
+# taken in in so many micro-batches.
 LANDING_FILES = 8
+LANDING_ROWS = 100_000
+LANDING_BYTES = 32 * 1024 * 1024
 EVENT_BATCHES = 4
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    return df.repartition(max(LANDING_FILES, df.rdd.getNumPartitions()))
+    rows, size = df.agg(F.count(F.lit(1)), F.sum("file_size") if "file_size" in df.columns else F.lit(0)).first()
+    return df.repartition(max(LANDING_FILES, df.rdd.getNumPartitions(), -(-rows // LANDING_ROWS), -(-(size or 0) // LANDING_BYTES)))
 
 
 def _files_per_batch(spark: SparkSession, folder: str, batches: int = EVENT_BATCHES) -> int:

@@ -84,3 +84,15 @@ def test_streams_split_files_small_and_keep_the_sessions_own_limit(spark, tmp_pa
         assert docs.small_splits(spark) == {key: "65536"}
     finally:
         spark.conf.set(key, old)
+
+
+def test_landing_files_grow_in_number_with_the_rows(spark, monkeypatch):
+    from sheaf.plans import streaming_queries as sq
+
+    monkeypatch.setattr(sq, "LANDING_ROWS", 100, raising=False)
+    monkeypatch.setattr(sq, "LANDING_BYTES", 1000, raising=False)
+    assert sq._spread(spark.range(0, 5000, 1, 2)).rdd.getNumPartitions() == 50
+    assert sq._spread(spark.range(0, 50, 1, 2)).rdd.getNumPartitions() == sq.LANDING_FILES
+    documents = spark.range(0, 50, 1, 2).select(F.lit("x").alias("value"), F.lit(1000).cast("bigint").alias("file_size"))
+    assert sq._spread(documents).rdd.getNumPartitions() == 50
+    assert sq._spread(documents.limit(0)).rdd.getNumPartitions() == sq.LANDING_FILES
