@@ -103,7 +103,7 @@ def ingest_documents(
     # first lines are counted in a file's first block: that keeps its size
     splits = None if skip_rows > 0 else docs.small_splits(spark)
     if rejects_path is None:
-        with variant_shredding(spark, enabled=shred), session_settings(spark, splits):
+        with variant_shredding(spark, enabled=shred or None), session_settings(spark, splits):
             return run_stream(bronze, bronze_path, checkpoint)
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -112,7 +112,7 @@ def ingest_documents(
         if all(path_exists(spark, p) for p in sinks):
             return
         parsed = scratch_path(spark, "ingest")
-        with variant_shredding(spark, enabled=shred):
+        with variant_shredding(spark, enabled=shred or None):
             batch.write.parquet(parsed)
             for rows, sink in zip(docs.split_rejects(spark.read.schema(batch.schema).parquet(parsed)), sinks):
                 publish(rows, sink)
