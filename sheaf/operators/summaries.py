@@ -25,10 +25,12 @@ def _documents_per_name(documents: DataFrame, names: Column, column: str) -> Dat
     """Documents per name, from one row of names for each document row. The
     names of a row are made distinct in the row, those of a document by its
     id (several rows can share one): one exchange of one small set a document,
-    none of (name, document) pairs. Names are counted by partial sums."""
+    none of (name, document) pairs. Sets become rows after it, so that names
+    are made distinct and counted by hash, with nothing sorted or collected."""
     sets = documents.select("bundleUUID", F.array_distinct(F.coalesce(names, F.array().cast("array<struct<n:string>>"))).alias("_s"))
-    whole = sets.groupBy("bundleUUID").agg(F.array_distinct(F.flatten(F.collect_list("_s"))).alias("_s"))
-    return whole.select(F.explode("_s").alias("_n")).groupBy(F.col("_n.n").alias(column)).agg(F.count(F.lit(1)).alias("raw_bundle_count"))
+    whole = sets.filter(F.size("_s") > 0).repartition("bundleUUID")
+    pairs = whole.select("bundleUUID", F.explode("_s").alias("_n")).select("bundleUUID", F.col("_n.n").alias(column)).distinct()
+    return pairs.groupBy(column).agg(F.count(F.lit(1)).alias("raw_bundle_count"))
 
 
 def _members(v: Column) -> Column:
