@@ -68,7 +68,7 @@ def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build
             return found
         _TABLES.pop(key, None)  # folder gone: build again
     path = scratch_path(spark, f"{layer}-{fixture}")
-    # every step over this bronze reads whole entry arrays: a shredded VARIANT
+    # most steps over this bronze read whole entry arrays: a shredded VARIANT
     # would be taken apart here and put together again at each read
     with variant_shredding(spark, enabled=False if layer == "bronze" else None):
         build().write.mode("overwrite").parquet(path)
