@@ -37,6 +37,22 @@ def with_document_columns(bronze: DataFrame, lenient_time: bool = False) -> Data
 
 
 UNIQUE_URLS = "doc_unique_urls"
+ROW_ID = "doc_row_id"
+#: a part of the documents dealt out by id has about so many bytes of the
+#: table: the rows made of them are sorted in a task, and are many times larger
+DOCUMENT_BYTES = 8 * 1024**2
+
+
+def by_document(bronze: DataFrame) -> DataFrame:
+    """The documents dealt out by their id. What is exploded from them later
+    stays where its document is, so a step that groups by document (and more)
+    moves nothing: documents travel once, in place of the rows made of them.
+    The number of parts follows the size of the table (the session's own
+    number if that is not known)."""
+    size = int(str(bronze._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= 1 << 50:  # no estimate
+        return bronze.repartition("bundleUUID")
+    return bronze.repartition(max(bronze.sparkSession.sparkContext.defaultParallelism, -(-size // DOCUMENT_BYTES)), "bundleUUID")
 
 
 def unique_urls(resource: Column) -> Column:

@@ -77,7 +77,10 @@ def pivot_long(
     aggs = [_first_value(k, order).alias(names[k]) for k in keys]
     if not aggs:  # a type whose only key is the discriminator: key columns only
         return long.select(*group).distinct()
-    return long.groupBy(*group).agg(*aggs)
+    # an exploded value carries the names of its whole document; the rows that
+    # are sorted and moved here take the value alone
+    alone = F.variant_get("value", "$", "variant") if long.schema["value"].dataType.typeName() == "variant" else F.col("value")
+    return long.select(*dict.fromkeys([*group, "key", *order]), alone.alias("value")).groupBy(*group).agg(*aggs)
 
 
 def pivot_resource(

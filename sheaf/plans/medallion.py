@@ -71,7 +71,7 @@ def _persisted(spark: SparkSession, sf_dir: str, fixture: str, layer: str, build
     # most steps over this bronze read whole entry arrays: a shredded VARIANT
     # would be taken apart here and put together again at each read
     with variant_shredding(spark, enabled=False if layer == "bronze" else None):
-        build().write.mode("overwrite").parquet(path)
+        build().write.mode("overwrite").option("compression", "zstd").parquet(path)
     _TABLES[key] = path
     return spark.read.parquet(path)
 

@@ -196,7 +196,7 @@ def pivot_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pivot_duplicates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same merge computed from the long key/value table."""
-    b = _bronze(spark, sf_dir, "order")
+    b = ex.by_document(_bronze(spark, sf_dir, "order"))
     w = pv.pivot_resource(ex.explode_fields(b, types=["LineItem"]), "LineItem", LINEITEM_KEYS)
     return pv.typed(w, LINEITEM_TYPES).select("LineItem_uuid", _doc_time(), *LINEITEM_KEYS)
 
