@@ -40,7 +40,7 @@ UNIQUE_URLS = "doc_unique_urls"
 ROW_ID = "doc_row_id"
 #: a part of the documents dealt out by id has about so many bytes of the
 #: table: the rows made of them are sorted in a task, and are many times larger
-DOCUMENT_BYTES = 8 * 1024**2
+DOCUMENT_BYTES = 4 * 1024**2
 
 
 def by_document(bronze: DataFrame) -> DataFrame:
@@ -63,7 +63,7 @@ def unique_urls(resource: Column) -> Column:
     return F.size(F.array_distinct(urls)) == F.size(urls)
 
 
-def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: bool = False, url_check: bool = False) -> DataFrame:
+def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: bool = False, url_check: bool = False, row_ids: bool = False) -> DataFrame:
     """One row per entry of each document: document columns, ``entry_pos``,
     ``fullUrl``, ``resourceType`` and the entry itself (VARIANT).
 
@@ -74,12 +74,18 @@ def explode_entries(bronze: DataFrame, keep_empty: bool = False, lenient_time: b
     which lets the regroup pivot skip the shuffle for such documents. That
     shortcut assumes one bronze row per document id, which holds for random
     ids and for content ids of whole files (identical lines of one
-    line-mode file share a content id and would count as one document)."""
+    line-mode file share a content id and would count as one document).
+    ``row_ids=True`` adds ``doc_row_id``, a number of the bronze row: with it
+    the regroup pivot keeps to one group-by for all documents, which suits
+    documents dealt out :func:`by_document`."""
     docs = with_document_columns(bronze, lenient_time)
     extra = []
     if url_check:
         docs = docs.withColumn(UNIQUE_URLS, unique_urls(F.col("resource")))
-        extra = [UNIQUE_URLS]
+        extra.append(UNIQUE_URLS)
+    if row_ids:
+        docs = docs.withColumn(ROW_ID, F.monotonically_increasing_id())
+        extra.append(ROW_ID)
     e = _explode(docs, field("resource", "$.entry"), "e", keep_empty)
     return e.select(
         *DOCUMENT_COLUMNS,

@@ -25,12 +25,12 @@ from pyspark.sql import functions as F
 
 from ..functions.variant import col_of, field
 from .changes import DEL, END_AT, SEQ, START_AT, TRUNC
-from .explode import UNIQUE_URLS
+from .explode import ROW_ID, UNIQUE_URLS
 
 RESOURCE_GROUP = ["bundleUUID", "bundle_timestamp"]
 HEADER_GROUP = ["bundleUUID", "fileMetadata", "ingestDate", "ingestTime", "bundle_id", "bundle_timestamp"]
 # Columns that later steps add beside the keys: no key may take their names.
-INTERNAL = ["batch_id", "entry_pos", UNIQUE_URLS, SEQ, DEL, TRUNC, START_AT, END_AT]
+INTERNAL = ["batch_id", "entry_pos", UNIQUE_URLS, ROW_ID, SEQ, DEL, TRUNC, START_AT, END_AT]
 
 
 def column_names(keys: list[str], reserved: list[str], known: dict[str, str] | None = None) -> dict[str, str]:
@@ -138,12 +138,16 @@ def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], gr
     Same result, but about (keys per entry) times fewer rows to shuffle and
     sort, since the long table repeats the group columns for every key."""
     names = column_names(keys, group, names)
-    checked = UNIQUE_URLS in entries.columns
+    numbered = {UNIQUE_URLS, ROW_ID} <= set(entries.columns)
+    checked = UNIQUE_URLS in entries.columns and not numbered
     e = entries.filter(F.col("resourceType") == resource_type).select(
         *RESOURCE_GROUP,
         F.col("fullUrl").alias(group[-1]),
         "entry_pos",
         *([F.col(UNIQUE_URLS)] if checked else []),
+        # a document of distinct urls keeps its entries apart from those of
+        # other rows with its id, as the split below does
+        *([F.when(F.col(UNIQUE_URLS), F.col(ROW_ID)).alias(ROW_ID)] if numbered else []),
         *[field("entry", ("resource", k)).alias(names[k]) for k in keys],
     )
     value_cols = [col_of(names[k]) for k in keys]
@@ -154,11 +158,14 @@ def _regroup_entries(entries: DataFrame, resource_type: str, keys: list[str], gr
         # through the group-by.
         direct = e.filter(F.col(UNIQUE_URLS)).select(*group, *value_cols)
         e = e.filter(~F.coalesce(F.col(UNIQUE_URLS), F.lit(False)))
+    by = [*group, ROW_ID] if numbered else group
     if not keys:
-        merged = e.select(*group).distinct()
+        merged = e.select(*by).distinct()
     else:
         present = lambda c: F.when(col_of(c).isNotNull(), F.col("entry_pos"))
-        merged = e.groupBy(*group).agg(*[F.min_by(col_of(names[k]), present(names[k])).alias(names[k]) for k in keys])
+        merged = e.groupBy(*by).agg(*[F.min_by(col_of(names[k]), present(names[k])).alias(names[k]) for k in keys])
+    if numbered:
+        merged = merged.drop(ROW_ID)
     return direct.unionByName(merged) if checked else merged
 
 
@@ -208,17 +215,24 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def wide_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+def wide_difference(a: DataFrame, b: DataFrame, within: list[str] | None = None) -> DataFrame:
     """Rows of ``a`` not in ``b`` (side 'a_only') and of ``b`` not in ``a``
     (side 'b_only'), multiset semantics, on ``a``'s columns. VARIANT cells are
     compared through their JSON text (Spark cannot compare VARIANT). One pass:
     rows of a count +1 and of b -1, and what does not cancel is given back as
-    often as it is left over. Equal rows are added up before the shuffle."""
-    columns = [col_of(c) for c in a.columns]
-    tagged = comparable(a).select(F.struct(*columns).alias("_row"), F.lit(1).alias("_n")).unionAll(
-        comparable(b.select(*columns)).select(F.struct(*columns).alias("_row"), F.lit(-1).alias("_n"))
-    )
+    often as it is left over. Equal rows are added up before the shuffle.
+    ``within``: columns of both tables that are not compared, by which rows
+    that are alike are likely to be in one place already (both dealt out by
+    them). Counts are added up there first, and only what is left moves."""
+    within = list(within or [])
+    names = [c for c in a.columns if c not in within]
+    columns = [col_of(c) for c in names]
+    near = [col_of(c) for c in within]
+    tag = lambda df, n: comparable(df.select(*near, *columns)).select(*near, F.struct(*columns).alias("_row"), F.lit(n).alias("_n"))
+    tagged = tag(a, 1).unionAll(tag(b, -1))
+    if within:
+        tagged = tagged.groupBy(*near, "_row").agg(F.sum("_n").alias("_n")).filter("_n <> 0").select("_row", "_n")
     left = tagged.groupBy("_row").agg(F.sum("_n").alias("_n")).filter("_n <> 0")
     side = F.when(F.col("_n") > 0, "a_only").otherwise("b_only")
     each = left.select("_row", side.alias("side"), F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n"))))
-    return each.select(*[F.col("_row")[c].alias(c) for c in a.columns], "side")
+    return each.select(*[F.col("_row")[c].alias(c) for c in names], "side")

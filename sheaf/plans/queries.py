@@ -202,9 +202,14 @@ def pivot_duplicates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wide_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = _lineitem_wide(spark, sf_dir, "regroup")
-    per_entry = _lineitem_wide(spark, sf_dir, "project")
-    return pv.wide_difference(merged, per_entry)
+    # both sides are made where the documents are, so what they share cancels there
+    e = ex.explode_entries(ex.by_document(_bronze(spark, sf_dir, "order")), url_check=True, row_ids=True)
+    merged, per_entry = (
+        pv.typed(pv.pivot_resource(None, "LineItem", LINEITEM_KEYS, method=m, entries=e), LINEITEM_TYPES)
+        .select("bundleUUID", "LineItem_uuid", _doc_time(), *LINEITEM_KEYS)
+        for m in ("regroup", "project")
+    )
+    return pv.wide_difference(merged, per_entry, within=["bundleUUID"])
 
 
 def text_pivot_user(spark: SparkSession, sf_dir: str) -> DataFrame:

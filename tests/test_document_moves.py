@@ -60,3 +60,41 @@ def test_a_value_to_be_regrouped_leaves_the_names_of_its_document(spark):
     row = wide.collect()[0]
     assert row.missing is None and row.a.toJson() == "null" and row.b.toJson() == '{"c":1}'
     assert b"a_long_key" not in bytes(row.b.metadata)
+
+
+def test_difference_query_moves_documents_once_and_what_is_left(spark, tmp_path):
+    got = q.wide_difference(spark, _tables(spark, tmp_path))
+    rows = Counter((r.LineItem_uuid, r.part, r.flag, r.side) for r in got.collect())
+    assert rows == Counter({("urn:li:1:1", 1, "A", "a_only"): 1, ("urn:li:1:1", 1, None, "b_only"): 1, ("urn:li:1:1", 2, "A", "b_only"): 1})
+    assert sorted(_exchanges(got)) == ["_row", "bundleUUID"]
+
+
+def test_difference_within_columns_is_the_plain_difference(spark):
+    s = "d STRING, k INT, v DOUBLE"
+    a = [("x", 1, 0.0), ("x", 1, float("nan")), ("y", 1, None), (None, 2, 1.0), ("x", 3, 5.0), ("y", 3, 5.0)]
+    b = [("x", 1, -0.0), ("y", 1, float("nan")), ("x", 1, None), (None, 2, 1.0), (None, 2, 1.0), ("z", 3, 5.0)]
+    da, db = spark.createDataFrame(a, s), spark.createDataFrame(b, s)
+    plain = pv.wide_difference(da.drop("d"), db.drop("d"))
+    near = pv.wide_difference(da, db, within=["d"])
+    assert near.columns == plain.columns == ["k", "v", "side"]
+    want = Counter([(3, 5.0, "a_only"), (2, 1.0, "b_only")])
+    assert Counter(map(tuple, near.collect())) == Counter(map(tuple, plain.collect())) == want
+
+
+def test_numbered_rows_regroup_like_checked_ones(spark):
+    entry = lambda url, **r: {**({"fullUrl": url} if url else {}), "resource": {"resourceType": "T", **r}}
+    docs = [
+        ("a", [entry("u", p=1), entry("v", q=2), entry(None, p=3)]), ("a", [entry("u", p=1), entry("v", q=2), entry(None, p=3)]),  # one id twice, urls distinct
+        ("b", [entry("u", q=1), entry("u", p=2, q=3), entry(None), entry(None, p=None)]), ("b", [entry("u", p=9)]),
+        ("c", {"x": entry("u", p=1), "y": entry("u", q=1)}), (None, [entry("u", p=1)]), (None, [entry("u", p=2)]),
+    ]
+    rows = [(i, json.dumps({"id": "1", "timestamp": "2024-01-01T00:00:00Z", "entry": e})) for i, e in docs]
+    bronze = spark.createDataFrame(rows, "bundleUUID STRING, value STRING").select(
+        F.lit(None).cast("string").alias("fileMetadata"), F.lit(None).cast("date").alias("ingestDate"), F.lit(None).cast("timestamp").alias("ingestTime"),
+        "bundleUUID", F.parse_json("value").alias("resource"),
+    )
+    for keys in (["p", "q"], []):
+        split = pv.pivot_resource(None, "T", keys, entries=ex.explode_entries(bronze, url_check=True))
+        one = pv.pivot_resource(None, "T", keys, entries=ex.explode_entries(ex.by_document(bronze), url_check=True, row_ids=True))
+        assert one.columns == split.columns
+        assert Counter(map(tuple, pv.comparable(one).collect())) == Counter(map(tuple, pv.comparable(split).collect()))
